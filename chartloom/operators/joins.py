@@ -38,13 +38,9 @@ def hot_keys(fact: DataFrame, key: str, parts: int = 1000) -> DataFrame:
 
     One map-side-combined count per key; the bound is what makes the result safe to broadcast.
     """
-    counts = fact.where(F.col(key).isNotNull()).groupBy(key).agg(F.count(F.lit(1)).alias("n"))
-    total = counts.agg(F.sum("n").alias("total"))
-    # the total is one row, so this join is a scalar lookup
-    return (
-        counts.join(F.broadcast(total), F.col("n") * parts >= F.col("total"), "inner")
-        .select(key)
-    )
+    floor = fact.count() / parts
+    counts = fact.where(F.col(key).isNotNull()).groupBy(key).agg(F.count(F.lit(1)).alias("_n"))
+    return counts.where(F.col("_n") >= floor).select(key)
 
 
 def split_hot_join(fact: DataFrame, dim: DataFrame, key: str, parts: int = 1000) -> DataFrame:
