@@ -1,9 +1,10 @@
 """Summaries over run records: micro-batches and pipeline stages."""
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from chartloom import schemas
+from chartloom.operators.positions import with_running_total
 
 
 def read_batch_metrics(spark: SparkSession, path: str) -> DataFrame:
@@ -28,13 +29,10 @@ def batch_summary(batches: DataFrame) -> DataFrame:
 
 
 def cumulative_rows(batches: DataFrame) -> DataFrame:
-    """Rows ingested up to each batch.
-
-    One record per micro-batch makes this a small frame: a year of ten-second batches is
-    about three million rows of two numbers.
-    """
-    w = Window.orderBy("batch_id").rowsBetween(Window.unboundedPreceding, 0)
-    return batches.select("batch_id", "rows", F.sum("rows").over(w).alias("cumulative_rows"))
+    """Rows ingested up to each batch; the running sum is spread over range partitions."""
+    return with_running_total(
+        batches.select("batch_id", "rows"), [], "batch_id", "rows", "cumulative_rows"
+    )
 
 
 def _mean_when(adaptive: bool) -> Column:

@@ -67,8 +67,9 @@ def top_moods_of_season(mart: DataFrame, year: int, season: str, k: int = 10) ->
 
 
 def mood_totals(mart: DataFrame, year: int) -> DataFrame:
+    """Streams per known mood."""
     return (
-        mart.where(F.col("year") == year)
+        mart.where((F.col("year") == year) & F.col("mood_quadrant").isNotNull())
         .groupBy("mood_quadrant").agg(F.sum("total_streams").alias("total_streams"))
     )
 
