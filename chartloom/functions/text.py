@@ -27,7 +27,7 @@ def streak_label(title: Column | str, artist: Column | str) -> Column:
 
 def split_credits(artist: Column | str) -> Column:
     """An array of trimmed, non-empty names credited in one artist field."""
-    names = F.transform(F.split(artist, CREDIT_SEPARATORS), F.trim)
+    names = F.transform(F.split(artist, CREDIT_SEPARATORS), lambda name: F.trim(name))
     return F.filter(names, lambda name: name != "")
 
 

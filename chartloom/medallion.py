@@ -9,16 +9,17 @@ import time
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from chartloom import schemas
 from chartloom.functions import dates
 from chartloom.operators import cleaning, enrich
 from chartloom.operators.quality import Expectation, enforce
 from chartloom.plans import artists, longevity, mood, streaks, tiers
-from chartloom.registry import DATASETS, Lake, table_exists
+from chartloom.registry import DATASETS, Lake
 from chartloom.session import get_spark
-from chartloom.sinks.tables import new_rows, replace_partitions, stamp_ingestion, write_table
-from chartloom.sources.files import read_raw, read_table
+from chartloom.sinks.tables import ensure_table, new_rows, replace_partitions, stamp_ingestion, write_table
+from chartloom.sources.files import read_raw, read_stored, read_table
 
 
 def _write(df: DataFrame, lake: Lake, key: str, **kwargs) -> dict[str, int]:
@@ -80,18 +81,18 @@ def build_charts_enriched(spark: SparkSession, lake: Lake, split_hot: bool = Fal
 
 
 def load_increment(
-    spark: SparkSession, lake: Lake, key: str, rows: DataFrame, keys: list[str], batch_id: int
+    spark: SparkSession, path: str, rows: DataFrame, keys: list[str], batch_id: int, fmt: str = "parquet"
 ) -> int:
     """Insert the rows whose key the table lacks, as load `batch_id`; repeating a load changes nothing.
 
     For tables that are loaded in increments instead of overwritten; they are partitioned by `batch_id`.
     """
-    target = None
-    if table_exists(spark, lake, key):
-        target = read_table(spark, lake, key).where(F.col("batch_id") != batch_id)
     rest = [F.col(c).asc_nulls_last() for c in sorted(rows.columns) if c not in keys]
+    schema = T.StructType([*rows.schema.fields, T.StructField("batch_id", T.LongType())])
+    ensure_table(spark, path, schema, ("batch_id",), fmt)
+    target = read_stored(spark, path, schema, fmt).where(F.col("batch_id") != batch_id)
     fresh = new_rows(rows, target, keys, rest).withColumn("batch_id", F.lit(batch_id).cast("bigint"))
-    return replace_partitions(fresh, lake.path(key), ("batch_id",), lake.fmt)
+    return replace_partitions(fresh, path, ("batch_id",), fmt)
 
 
 # --- gold --------------------------------------------------------------------

@@ -6,7 +6,6 @@ default; `Lake(root, fmt="delta")` works unchanged where the Delta connector is
 
 from dataclasses import dataclass
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
@@ -36,23 +35,28 @@ DATASETS = {
         Dataset("bronze", "charts", ("year",), about="raw chart rows, ingestion time, malformed lines"),
         Dataset("bronze", "track_features", about="raw features and ingestion time"),
         Dataset("bronze", "countries", about="raw countries and ingestion time"),
-        Dataset("bronze", "charts_streaming", ("batch_id",), about="feed messages by micro-batch"),
+        Dataset("bronze", "charts_streaming", ("batch_id",), schemas.FEED_BRONZE_SCHEMA,
+                about="feed messages by micro-batch"),
         Dataset("silver", "charts_cleaned", ("region", "year"), about="typed, deduplicated entries"),
         Dataset("silver", "tracks_cleaned", about="one row per track with its artists"),
         Dataset("silver", "tracks_cleaned_track_artist", about="one row per track and artist"),
         Dataset("silver", "countries", about="trimmed country dimension"),
         Dataset("silver", "charts_enriched", ("region", "year"), about="entries with features and country"),
-        Dataset("silver", "charts_streaming", ("month_start", "batch_id"), about="upserted feed entries"),
+        Dataset("silver", "charts_streaming", ("month_start", "batch_id"), schemas.FEED_SILVER_SCHEMA,
+                about="upserted feed entries"),
         Dataset("gold", "regional_mood_seasonal", about="mood shares by region and season"),
         Dataset("gold", "streak_analysis", about="consecutive days at the top"),
         Dataset("gold", "sonic_dna_by_rank_tier", about="feature profile per stream decile"),
         Dataset("gold", "track_longevity", about="chart life per track and region"),
         Dataset("gold", "global_top_artists", about="monthly artist leaderboard"),
-        Dataset("gold", "top_artists_partials", ("month_start", "batch_id"),
+        Dataset("gold", "top_artists_partials", ("month_start", "batch_id"), schemas.ARTIST_PARTIALS_SCHEMA,
                 about="per-batch artist totals the streaming leaderboard is summed from"),
-        Dataset("gold", "top_artists_streaming", ("month_start",), about="artist totals of the feed"),
-        Dataset("gold", "recent_submissions", ("batch_id",), about="newest 100 feed entries after each batch"),
-        Dataset("gold", "batch_metrics", ("batch_id",), about="one record per micro-batch"),
+        Dataset("gold", "top_artists_streaming", ("month_start",), schemas.ARTIST_TOTALS_SCHEMA,
+                about="artist totals of the feed"),
+        Dataset("gold", "recent_submissions", ("batch_id",), schemas.RECENT_SCHEMA,
+                about="newest 100 feed entries after each batch"),
+        Dataset("gold", "batch_metrics", ("batch_id",), schemas.BATCH_METRICS_SCHEMA,
+                about="one record per micro-batch"),
     ]
 }
 
@@ -70,13 +74,14 @@ class Lake:
         return f"{self.root.rstrip('/')}/checkpoints/{name}"
 
 
+def path_exists(spark: SparkSession, path: str) -> bool:
+    """Ask the path's own file system; nothing is listed or read."""
+    hadoop_path = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return hadoop_path.getFileSystem(spark._jsc.hadoopConfiguration()).exists(hadoop_path)
+
+
 def table_exists(spark: SparkSession, lake: Lake, key: str) -> bool:
-    dataset = DATASETS[key]
-    try:
-        spark.read.format(dataset.source_format or lake.fmt).load(lake.path(key))
-    except AnalysisException:
-        return False
-    return True
+    return path_exists(spark, lake.path(key))
 
 
 def available_tables(spark: SparkSession, lake: Lake, layer: str = "gold") -> list[str]:

@@ -9,11 +9,17 @@ from pyspark.sql import types as T
 CORRUPT_COLUMN = "_corrupt_record"
 
 
-def _struct(ddl: str, required: tuple[str, ...] = ()) -> T.StructType:
-    parsed = T.StructType.fromDDL(ddl)
-    return T.StructType(
-        [T.StructField(f.name, f.dataType, f.name not in required) for f in parsed.fields]
-    )
+_TYPES = {
+    "string": T.StringType(), "int": T.IntegerType(), "bigint": T.LongType(),
+    "double": T.DoubleType(), "date": T.DateType(), "boolean": T.BooleanType(),
+    "timestamp": T.TimestampType(),
+}
+
+
+def _struct(columns: str, required: tuple[str, ...] = ()) -> T.StructType:
+    """A schema from `name type, ...`; unlike the built-in parser it needs no session."""
+    pairs = [c.split() for c in columns.split(",")]
+    return T.StructType([T.StructField(n, _TYPES[t], n not in required) for n, t in pairs])
 
 
 # Column names and types of the sources, in file order.
@@ -51,6 +57,26 @@ STAGE_METRICS_SCHEMA = _struct(
     "label string, aqe boolean, wall_sec double, shuffle_partitions string"
 )
 
+# Tables the feed writes; partition columns come last.
+FEED_BRONZE_SCHEMA = T.StructType(
+    [*CHARTS_RAW_SCHEMA.fields, *_struct("ingestion_ts timestamp, batch_id bigint").fields]
+)
+FEED_SILVER_SCHEMA = _struct(
+    "title string, rank int, artist string, url string, region string, chart string, trend string, "
+    "streams bigint, ingestion_ts timestamp, track_id string, chart_date date, year int, month int, "
+    "month_start date, batch_id bigint"
+)
+ARTIST_PARTIALS_SCHEMA = _struct(
+    "artist string, monthly_streams bigint, chart_entries bigint, month_start date, batch_id bigint"
+)
+ARTIST_TOTALS_SCHEMA = _struct(
+    "artist string, monthly_streams bigint, chart_entries bigint, month_start date"
+)
+RECENT_SCHEMA = _struct(
+    "ingestion_ts timestamp, artist string, title string, region string, chart string, rank int, "
+    "streams bigint, chart_date date, batch_id bigint"
+)
+
 
 def with_corrupt_column(schema: T.StructType, name: str = CORRUPT_COLUMN) -> T.StructType:
     """A copy of `schema` that also captures malformed lines (`StructType.add` would mutate it)."""

@@ -1,10 +1,12 @@
 """Table writers. Each write is one pass over its input; row counts ride along with it."""
 
-from pyspark.sql import Column, DataFrame, Observation
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from chartloom.operators.joins import not_in_target
 from chartloom.operators.shaping import keep_latest
+from chartloom.registry import path_exists
 
 
 def stamp_ingestion(df: DataFrame, name: str = "ingestion_ts") -> DataFrame:
@@ -40,6 +42,16 @@ def write_table(
     return seen.get
 
 
+def ensure_table(
+    spark: SparkSession, path: str, schema: T.StructType, partition_by: tuple[str, ...] = (), fmt: str = "parquet"
+) -> None:
+    """Create an empty table unless something is stored at `path` already."""
+    if path_exists(spark, path):
+        return
+    empty = spark.createDataFrame([], schema).write.format(fmt).mode("ignore")
+    (empty.partitionBy(*partition_by) if partition_by else empty).save(path)
+
+
 def replace_partitions(
     df: DataFrame, path: str, partition_by: tuple[str, ...], fmt: str = "parquet", sized: bool = True
 ) -> int:

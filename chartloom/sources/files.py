@@ -23,7 +23,7 @@ def read_csv(
     reader = (
         spark.read.option("header", "true").option("encoding", "UTF-8")
         .option("multiLine", str(multi_line).lower())
-        .option("quote", '"').option("escape", '"')
+        .option("quote", '"')
     )
     if corrupt_column:
         schema = schemas.with_corrupt_column(schema, corrupt_column)
@@ -35,18 +35,18 @@ def read_csv(
 
 
 def corrupt_counts(df: DataFrame, corrupt_column: str = schemas.CORRUPT_COLUMN) -> DataFrame:
-    """Total and malformed row counts with their ratio, in one scan."""
-    # a data column must be part of the query for the line to be parsed at all
-    data_column = next(c for c in df.columns if c != corrupt_column)
+    """Total and malformed row counts with their ratio, in one scan.
+
+    `filled_rows` counts rows with a first field. It also makes the query read a data column,
+    without which lines would not be parsed at all.
+    """
+    first_column = next(c for c in df.columns if c != corrupt_column)
     bad = F.count_if(F.col(corrupt_column).isNotNull())
-    total = F.count(F.lit(1))
     return df.agg(
-        total.alias("total_rows"),
+        F.count(F.lit(1)).alias("total_rows"),
+        F.count(first_column).alias("filled_rows"),
         bad.alias("corrupt_rows"),
-        F.count(data_column).alias("_parsed"),
-    ).select(
-        "total_rows", "corrupt_rows",
-        F.try_divide(F.col("corrupt_rows").cast("double"), "total_rows").alias("corrupt_ratio"),
+        F.try_divide(bad.cast("double"), F.count(F.lit(1))).alias("corrupt_ratio"),
     )
 
 
@@ -65,8 +65,18 @@ def read_raw(spark: SparkSession, lake: Lake, key: str, **options) -> DataFrame:
 
 
 def read_table(spark: SparkSession, lake: Lake, key: str) -> DataFrame:
-    """A registered table; partition columns come from its folders or log."""
-    return spark.read.format(lake.fmt).load(lake.path(key))
+    """A registered table; partition columns come from its folders or log.
+
+    Parquet tables with a declared schema are read under it, also while they are still empty.
+    """
+    return read_stored(spark, lake.path(key), DATASETS[key].schema, lake.fmt)
+
+
+def read_stored(spark: SparkSession, path: str, schema: T.StructType | None, fmt: str = "parquet") -> DataFrame:
+    reader = spark.read.format(fmt)
+    if schema is not None and fmt == "parquet":
+        reader = reader.schema(schema)
+    return reader.load(path)
 
 
 def as_of(df: DataFrame, version: int | None, column: str = "batch_id") -> DataFrame:

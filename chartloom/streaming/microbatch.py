@@ -15,14 +15,18 @@ from chartloom import schemas
 from chartloom.functions import dates
 from chartloom.operators.cleaning import ENTRY_KEY, transform_charts
 from chartloom.operators.shaping import top_k
-from chartloom.registry import Lake, table_exists
-from chartloom.sinks.tables import new_rows, replace_partitions, stamp_ingestion
+from chartloom.registry import DATASETS, Lake
+from chartloom.sinks.tables import ensure_table, new_rows, replace_partitions, stamp_ingestion
 from chartloom.sources.files import read_table
 
 # The identity of a feed entry, and how many entries "recent" means.
 MERGE_KEY = ["track_id", "chart_date", "region"]
 RECENT_ROWS = 100
 RECENT_COLUMNS = ["ingestion_ts", "artist", "title", "region", "chart", "rank", "streams", "chart_date"]
+FEED_TABLES = [
+    "bronze.charts_streaming", "silver.charts_streaming", "gold.top_artists_partials",
+    "gold.top_artists_streaming", "gold.recent_submissions", "gold.batch_metrics",
+]
 
 
 @dataclass
@@ -37,6 +41,7 @@ class ChartSink:
         if batch.isEmpty():
             return
         spark, started = batch.sparkSession, time.perf_counter()
+        self.create_tables(spark)
         rows = self.write_bronze(batch, batch_id)
         try:
             fresh = self.merge_silver(spark, batch_id)
@@ -48,6 +53,11 @@ class ChartSink:
             self.update_recent(spark, fresh, batch_id)
         self.write_metrics(spark, batch_id, rows, (time.perf_counter() - started) * 1000)
 
+    def create_tables(self, spark: SparkSession) -> None:
+        for key in FEED_TABLES:
+            table = DATASETS[key]
+            ensure_table(spark, self.lake.path(key), table.schema, table.partition_by, self.lake.fmt)
+
     def write_bronze(self, batch: DataFrame, batch_id: int) -> int:
         stamped = stamp_ingestion(batch.drop("timestamp")).withColumn("batch_id", F.lit(batch_id).cast("bigint"))
         return replace_partitions(
@@ -66,13 +76,11 @@ class ChartSink:
             transform_charts(raw.drop("batch_id"), self.entry_key)
             .withColumn("month_start", dates.month_start("chart_date"))
         )
-        target = None
-        if table_exists(spark, self.lake, "silver.charts_streaming"):
-            # calendar months: a short list, pruned to folders by the scan
-            months = [r.month_start for r in cleaned.select("month_start").distinct().collect()]
-            target = read_table(spark, self.lake, "silver.charts_streaming").where(
-                F.col("month_start").isin(months) & (F.col("batch_id") != batch_id)
-            )
+        # calendar months: a short list, pruned to folders by the scan
+        months = [r.month_start for r in cleaned.select("month_start").distinct().collect()]
+        target = read_table(spark, self.lake, "silver.charts_streaming").where(
+            F.col("month_start").isin(months) & (F.col("batch_id") != batch_id)
+        )
         rest = [c for c in sorted(cleaned.columns) if c not in MERGE_KEY]
         inserted = new_rows(cleaned, target, MERGE_KEY, [F.col(c).asc_nulls_last() for c in rest])
         replace_partitions(
@@ -91,8 +99,6 @@ class ChartSink:
         replace_partitions(
             partial, self.lake.path("gold.top_artists_partials"), ("month_start", "batch_id"), self.lake.fmt
         )
-        if not table_exists(spark, self.lake, "gold.top_artists_partials"):
-            return  # no entry with streams has arrived yet
         months = [r.month_start for r in fresh.select("month_start").distinct().collect()]
         partials = read_table(spark, self.lake, "gold.top_artists_partials")
         refreshed = sum_partials(partials.where(F.col("month_start").isin(months)))
@@ -103,10 +109,8 @@ class ChartSink:
     def update_recent(self, spark: SparkSession, fresh: DataFrame, batch_id: int) -> None:
         """Newest entries after this batch, from those before it and the batch's own."""
         candidates = top_k(fresh, RECENT_ROWS, recent_order()).select(*RECENT_COLUMNS)
-        if table_exists(spark, self.lake, "gold.recent_submissions"):
-            table = read_table(spark, self.lake, "gold.recent_submissions").where(F.col("batch_id") < batch_id)
-            previous = latest_snapshot(table)
-            candidates = candidates.unionByName(previous.select(*RECENT_COLUMNS))
+        snapshots = read_table(spark, self.lake, "gold.recent_submissions").where(F.col("batch_id") < batch_id)
+        candidates = candidates.unionByName(latest_snapshot(snapshots).select(*RECENT_COLUMNS))
         recent = top_k(candidates, RECENT_ROWS, recent_order())
         replace_partitions(
             recent.withColumn("batch_id", F.lit(batch_id).cast("bigint")),
@@ -115,10 +119,8 @@ class ChartSink:
 
     def write_metrics(self, spark: SparkSession, batch_id: int, rows: int, elapsed_ms: float) -> None:
         """One record per batch; the running bronze total is the sum of the earlier records."""
-        before = 0
-        if table_exists(spark, self.lake, "gold.batch_metrics"):
-            earlier = read_table(spark, self.lake, "gold.batch_metrics").where(F.col("batch_id") < batch_id)
-            before = earlier.agg(F.coalesce(F.sum("rows"), F.lit(0)).alias("n")).first().n
+        earlier = read_table(spark, self.lake, "gold.batch_metrics").where(F.col("batch_id") < batch_id)
+        before = earlier.agg(F.coalesce(F.sum("rows"), F.lit(0)).alias("n")).first().n
         rate = rows / elapsed_ms * 1000 if elapsed_ms > 0 else 0.0
         record = [(batch_id, rows, round(elapsed_ms, 1), round(rate, 1), before + rows,
                    time.strftime("%Y-%m-%dT%H:%M:%S", time.gmtime()))]
