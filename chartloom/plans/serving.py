@@ -22,29 +22,27 @@ ERA_FEATURES = ["energy", "valence", "danceability", "acousticness"]
 # --- mood mart ---------------------------------------------------------------
 
 def kpi_year(mart: DataFrame, year: int) -> DataFrame:
-    """Total streams, leading region, leading mood and number of regions of a year."""
-    cells = (
+    """Total streams, leading region, leading mood and number of regions of a year.
+
+    One pass totals the year by region and by mood; the leaders are picked from those few rows,
+    alphabetically among equals.
+    """
+    totals = (
         mart.where(F.col("year") == year)
-        .groupBy("region", "mood_quadrant").agg(F.sum("total_streams").alias("streams"))
+        .groupingSets([["region"], ["mood_quadrant"]], "region", "mood_quadrant")
+        .agg(F.sum("total_streams").alias("streams"), F.grouping("region").alias("by_mood"))
     )
-    regions = cells.groupBy("region").agg(F.sum("streams").alias("streams"))
-    moods = (
-        cells.where(F.col("mood_quadrant").isNotNull())
-        .groupBy("mood_quadrant").agg(F.sum("streams").alias("streams"))
-    )
-    # alphabetical among equals: the smallest (-streams, name) pair
-    def leader(name: str) -> Column:
-        return F.min_by(name, F.struct(-F.col("streams"), name))
-
-    top = regions.agg(
-        F.sum("streams").alias("total_streams"),
-        leader("region").alias("top_region"),
-        F.count("region").alias("regions"),
-    )
-    mood = moods.agg(leader("mood_quadrant").alias("top_mood"))
-    # two one-row frames side by side, keyed by a constant
-    return (
-        top.withColumn("_k", F.lit(1)).join(mood.withColumn("_k", F.lit(1)), "_k", "left").drop("_k")
+    by_region = F.col("by_mood") == 0
+
+    def leader(name: str, among: Column) -> Column:
+        order = F.struct(-F.coalesce("streams", F.lit(-1)), name)
+        return F.min_by(name, F.when(among & F.col(name).isNotNull(), order))
+
+    return totals.agg(
+        F.sum(F.when(by_region, F.col("streams"))).alias("total_streams"),
+        leader("region", by_region).alias("top_region"),
+        F.count_if(by_region & F.col("region").isNotNull()).alias("regions"),
+        leader("mood_quadrant", ~by_region).alias("top_mood"),
     )
 
 
@@ -74,40 +72,48 @@ def mood_totals(mart: DataFrame, year: int) -> DataFrame:
     )
 
 
-def _grid(like: DataFrame, **columns: Sequence[str]) -> DataFrame:
-    """All combinations of a few constant labels."""
-    grid = like.sparkSession.range(1).drop("id")
-    for name, values in columns.items():
-        grid = grid.withColumn(name, F.explode(F.array(*[F.lit(v) for v in values])))
-    return grid
-
-
 def season_grid(mart: DataFrame, year: int) -> DataFrame:
     """Streams per season and mood with a zero where nothing was charted."""
-    totals = (
-        mart.where(F.col("year") == year)
-        .groupBy("season", "mood_quadrant").agg(F.sum("total_streams").alias("total_streams"))
-    )
-    grid = _grid(mart, season=dates.SEASONS, mood_quadrant=audio.MOODS)
-    return grid.join(totals, ["season", "mood_quadrant"], "left").withColumn(
-        "total_streams", F.coalesce("total_streams", F.lit(0))
-    )
+    cells = [(season, mood) for season in dates.SEASONS for mood in audio.MOODS]
+
+    def total(season: str, mood: str) -> Column:
+        here = (F.col("season") == season) & (F.col("mood_quadrant") == mood)
+        return F.coalesce(F.sum(F.when(here, F.col("total_streams"))), F.lit(0))
+
+    wide = mart.where(F.col("year") == year).agg(*[total(*cell).alias(f"c{i}") for i, cell in enumerate(cells)])
+    rows = [
+        F.struct(F.lit(s).alias("season"), F.lit(m).alias("mood_quadrant"), F.col(f"c{i}").alias("total_streams"))
+        for i, (s, m) in enumerate(cells)
+    ]
+    return wide.select(F.inline(F.array(*rows)))
 
 
 def mood_tiles(mart: DataFrame, year: int) -> DataFrame:
     """Share of the year's streams and number of regions per named mood."""
-    rows = mart.where(F.col("year") == year)
-    per_mood = rows.groupBy("mood_quadrant").agg(
-        F.sum("total_streams").alias("streams"), F.count_distinct("region").alias("regions")
-    )
-    whole = per_mood.agg(F.sum("streams").alias("whole")).withColumn("_k", F.lit(1))
-    tiles = _grid(mart, mood_quadrant=audio.MOODS).join(per_mood, "mood_quadrant", "left")
-    share = F.try_divide(F.coalesce("streams", F.lit(0)).cast("double"), F.col("whole").cast("double"))
-    return tiles.withColumn("_k", F.lit(1)).join(whole, "_k", "left").select(
-        "mood_quadrant",
-        F.coalesce(share, F.lit(0.0)).alias("share"),
-        F.coalesce("regions", F.lit(0)).alias("regions"),
+    wide = mart.where(F.col("year") == year).groupBy("region").agg(
+        F.sum("total_streams").alias("whole"),
+        *[
+            F.sum(F.when(F.col("mood_quadrant") == m, F.col("total_streams"))).alias(f"s{i}")
+            for i, m in enumerate(audio.MOODS)
+        ],
+        *[F.count_if(F.col("mood_quadrant") == m).alias(f"n{i}") for i, m in enumerate(audio.MOODS)],
+    ).agg(
+        F.sum("whole").alias("whole"),
+        *[F.coalesce(F.sum(f"s{i}"), F.lit(0)).alias(f"s{i}") for i in range(len(audio.MOODS))],
+        *[
+            F.count_if((F.col(f"n{i}") > 0) & F.col("region").isNotNull()).alias(f"n{i}")
+            for i in range(len(audio.MOODS))
+        ],
     )
+    tiles = [
+        F.struct(
+            F.lit(m).alias("mood_quadrant"),
+            F.coalesce(F.try_divide(F.col(f"s{i}").cast("double"), F.col("whole").cast("double")), F.lit(0.0)).alias("share"),
+            F.col(f"n{i}").alias("regions"),
+        )
+        for i, m in enumerate(audio.MOODS)
+    ]
+    return wide.select(F.inline(F.array(*tiles)))
 
 
 # --- streak mart -------------------------------------------------------------
@@ -277,16 +283,9 @@ def top_artists_year(mart: DataFrame, year: int, k: int = 20, max_rank: int | No
 
 def top_artist_fingerprint(mart: DataFrame, year: int, dims: Sequence[str] = FINGERPRINT) -> DataFrame:
     """The year's first artist with its streams and mean features (0 where unknown)."""
-    rows = _of_year(mart, year)
-    leader = _leaders(rows, 1)
-    return (
-        rows.join(F.broadcast(leader.select("artist")), "artist", "left_semi")
-        .groupBy("artist")
-        .agg(
-            F.sum("monthly_streams").alias("streams"),
-            *[F.coalesce(F.avg(f"avg_{d}"), F.lit(0.0)).alias(d) for d in dims],
-        )
-    )
+    sound = [F.coalesce(F.avg(f"avg_{d}"), F.lit(0.0)).alias(d) for d in dims]
+    totals = _of_year(mart, year).groupBy("artist").agg(F.sum("monthly_streams").alias("streams"), *sound)
+    return top_k(totals, 1, [F.col("streams").desc_nulls_last(), F.col("artist")])
 
 
 def artist_series(mart: DataFrame, artists: Sequence[str]) -> DataFrame:

@@ -4,6 +4,7 @@ from pyspark.sql import functions as F
 
 from chartloom import bindings, medallion
 from chartloom.operators import enrich, joins
+from chartloom.plans import mood
 from chartloom.registered.catalog import query
 from chartloom.registered.expected import expect
 from chartloom.registry import Lake, available_tables, register_views
@@ -143,17 +144,15 @@ def partitioned_roundtrip(spark, folder):
     return read_parquet(spark, path, rows.schema).select(*rows.columns)
 
 
-@query("partition_pruned_read", expect("charts", (
-    'SELECT track_id, chart, CAST("rank" AS BIGINT) AS "rank", CAST(chart_date AS VARCHAR) AS chart_date, streams'
-    " FROM charts WHERE year = 1998"
+@query("gold_by_year", expect("mood_mart", (
+    "SELECT region, season, mood_quadrant, total_streams, distinct_tracks, chart_entries FROM mood_mart WHERE year = 1998"
 )))
-def partition_pruned_read(spark, folder):
-    """Written by year; the filter on the partition column reads one folder."""
-    rows = bindings.charts(spark, folder)
-    path = staging_path(spark, "by-year")
-    write_table(rows, path, partition_by=("year",))
+def gold_by_year(spark, folder):
+    """A mart written by year; the filter on the partition column reads one folder."""
+    path = staging_path(spark, "mood-by-year")
+    write_table(mood.build_regional_mood_seasonal(bindings.enriched(spark, folder)), path, partition_by=("year",))
     written = read_parquet(spark, path).where(F.col("year") == 1998)
-    return written.select("track_id", "chart", "rank", "chart_date", "streams")
+    return written.select("region", "season", "mood_quadrant", "total_streams", "distinct_tracks", "chart_entries")
 
 
 @query("write_counters", expect("feed", (

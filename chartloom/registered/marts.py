@@ -3,10 +3,12 @@
 from pyspark.sql import functions as F
 
 from chartloom import bindings
+from chartloom.operators.positions import with_ntile
 from chartloom.plans import artists, longevity, mood, streaks, tiers
 from chartloom.registered.catalog import query
 from chartloom.registered.expected import expect
 from chartloom.schemas import BOUNDED_AUDIO_FEATURES, PROFILE_FEATURES
+from chartloom.sinks.staging import stage
 
 # chart_daily positions run from 1 to 100; streaks are taken over its upper half
 TOP = 50
@@ -24,10 +26,15 @@ def streak_mart(spark, folder):
     return streaks.build_streak_analysis(bindings.chart_daily(spark, folder), TOP)
 
 
+def stored_hits(spark, folder):
+    """The top chart's entries as a table: the marts below scan it several times."""
+    return stage(_top_charts(spark, folder).select(
+        "track_id", "title", "artist", "region", "chart", "rank", "chart_date", "streams"
+    ), "hits")
+
+
 def tier_mart(spark, folder):
-    return tiers.build_sonic_dna(
-        bindings.charts(spark, folder), bindings.tracks(spark, folder)
-    )
+    return tiers.build_sonic_dna(stored_hits(spark, folder), bindings.tracks(spark, folder))
 
 
 def longevity_mart(spark, folder):
@@ -35,7 +42,7 @@ def longevity_mart(spark, folder):
 
 
 def artist_mart(spark, folder):
-    return artists.build_top_artists(bindings.charts(spark, folder), bindings.tracks(spark, folder))
+    return artists.build_top_artists(stored_hits(spark, folder), bindings.tracks(spark, folder))
 
 
 @query("mood_seasonal", expect("mood_mart", (
@@ -120,8 +127,6 @@ def stream_deciles(spark, folder):
 ))
 def customer_tiles(spark, folder):
     """The distributed ntile over another table and tile count."""
-    from chartloom.operators.positions import with_ntile
-
     customers = bindings.table(spark, folder, "customer").select("c_custkey", "c_acctbal")
     return with_ntile(customers, 7, [F.col("c_acctbal").desc(), F.col("c_custkey")], "tile").select("c_custkey", "tile")
 
@@ -206,7 +211,7 @@ _MONTH_ROWS = (
 
 @query("artist_month", expect("artist_months", f"{_MONTH_ROWS} FROM artist_months"))
 def artist_month(spark, folder):
-    return artists.artist_months(_top_charts(spark, folder))
+    return artists.artist_months(stored_hits(spark, folder))
 
 
 @query("artist_month_per_day", expect("artist_days", (
@@ -225,7 +230,7 @@ def artist_month_per_day(spark, folder):
     " AS BIGINT) AS monthly_rank FROM artist_months QUALIFY monthly_rank <= 10"
 )))
 def monthly_leaderboard(spark, folder):
-    return artists.monthly_leaderboard(artists.artist_months(_top_charts(spark, folder)), 10)
+    return artists.monthly_leaderboard(artists.artist_months(stored_hits(spark, folder)), 10)
 
 
 @query("artist_profile", expect("artist_profiles", (
