@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from chartloom import schemas
 from chartloom.operators import cleaning, enrich
 from chartloom.operators.joins import lookup
+from chartloom.sinks.staging import stage
 
 # --- derived columns, as SQL text --------------------------------------------
 
@@ -91,6 +92,11 @@ def feed(spark: SparkSession, folder: str) -> DataFrame:
     return _select(events, FEED_COLUMNS, "event_id", F.col("ts").cast("timestamp").alias("ingestion_ts"))
 
 
+def bronze_feed(spark: SparkSession, folder: str) -> DataFrame:
+    """The raw rows as a stored table, which is what the cleaning operators read."""
+    return stage(feed(spark, folder), "bronze-feed")
+
+
 def feed_messages(events: DataFrame) -> DataFrame:
     """The same rows as JSON messages; every 37th is cut off in the middle."""
     rows = _select(keyed_events(events), FEED_COLUMNS, "event_id")

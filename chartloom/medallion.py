@@ -92,7 +92,7 @@ def load_increment(
     ensure_table(spark, path, schema, ("batch_id",), fmt)
     target = read_stored(spark, path, schema, fmt).where(F.col("batch_id") != batch_id)
     fresh = new_rows(rows, target, keys, rest).withColumn("batch_id", F.lit(batch_id).cast("bigint"))
-    return replace_partitions(fresh, path, ("batch_id",), fmt)
+    return replace_partitions(fresh, path, ("batch_id",), fmt)["rows"]
 
 
 # --- gold --------------------------------------------------------------------

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from chartloom import schemas
-from chartloom.functions import audio, dates, text
+from chartloom.functions import audio, dates, numbers, text
 from chartloom.operators.shaping import keep_latest
 
 # A chart entry is one rank of one chart on one day. The narrower key leaves `chart` out,
@@ -31,8 +31,8 @@ def cast_date_with_fallback(df: DataFrame, source: str = "date", name: str = "ch
 def cast_numeric_columns(df: DataFrame) -> DataFrame:
     """rank to int and streams to bigint; text that is not a number becomes null."""
     return df.withColumns({
-        "rank": F.col("rank").try_cast("int"),
-        "streams": F.col("streams").try_cast("bigint"),
+        "rank": numbers.whole_number("rank", "int"),
+        "streams": numbers.whole_number("streams", "bigint"),
     })
 
 
@@ -57,7 +57,10 @@ def corrupt_stats(df: DataFrame, required: Sequence[str] = REQUIRED_ENTRY_COLUMN
 
 
 def filter_corrupt_rows(df: DataFrame, required: Sequence[str] = REQUIRED_ENTRY_COLUMNS) -> DataFrame:
-    return df.dropna(subset=list(required))
+    # one predicate per column, so the cheap ones can stop the evaluation of the others
+    for column in reversed(required):
+        df = df.where(F.col(column).isNotNull())
+    return df
 
 
 def deduplicate_chart_entries(

@@ -44,7 +44,7 @@ def safe_numeric_cast(spark, folder):
 
 def _typed(spark, folder):
     return (
-        bindings.feed(spark, folder)
+        bindings.bronze_feed(spark, folder)
         .transform(cleaning.extract_track_id)
         .transform(cleaning.cast_date_with_fallback)
         .transform(cleaning.cast_numeric_columns)
@@ -99,7 +99,7 @@ def dedup_narrow_key(spark, folder):
     " CAST(chart_date AS VARCHAR) AS chart_date, year, month FROM cleaned"
 )))
 def clean_chain(spark, folder):
-    return cleaning.transform_charts(bindings.feed(spark, folder).drop("event_id")).drop("ingestion_ts")
+    return cleaning.transform_charts(bindings.bronze_feed(spark, folder).drop("event_id")).drop("ingestion_ts")
 
 
 @query("week_column", (

@@ -53,14 +53,16 @@ def ensure_table(
 
 
 def replace_partitions(
-    df: DataFrame, path: str, partition_by: tuple[str, ...], fmt: str = "parquet", sized: bool = True
-) -> int:
+    df: DataFrame, path: str, partition_by: tuple[str, ...], fmt: str = "parquet", sized: bool = True,
+    counters: dict[str, Column] | None = None,
+) -> dict:
     """Overwrite only the partitions present in `df`: repeating a write leaves one copy.
 
-    Returns the number of rows written.
+    Returns the `rows` written and any named `counters`, as `write_table` does.
     """
     seen = Observation()
-    out = df.observe(seen, F.count(F.lit(1)).alias("rows"))
+    named = [c.alias(name) for name, c in (counters or {}).items()]
+    out = df.observe(seen, F.count(F.lit(1)).alias("rows"), *named)
     if sized:
         out = out.hint("rebalance", *partition_by)
     (
@@ -69,7 +71,7 @@ def replace_partitions(
         .partitionBy(*partition_by)
         .save(path)
     )
-    return seen.get["rows"]
+    return seen.get
 
 
 def new_rows(

@@ -6,7 +6,9 @@ retries the tables hold each batch once.
 """
 
 import time
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
+from datetime import date
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -36,35 +38,53 @@ class ChartSink:
     lake: Lake
     entry_key: list[str] = field(default_factory=lambda: list(ENTRY_KEY))
     failures: list[tuple[int, str]] = field(default_factory=list)
+    _created: bool = False
+    _last: tuple[int, int, int] | None = None  # batch id, bronze rows before it, bronze rows after it
+    _snapshot: int | None = None  # batch id of the newest list of recent entries
 
     def __call__(self, batch: DataFrame, batch_id: int) -> None:
-        if batch.isEmpty():
-            return
         spark, started = batch.sparkSession, time.perf_counter()
         self.create_tables(spark)
-        rows = self.write_bronze(batch, batch_id)
+        rows, months = self.write_bronze(batch, batch_id)
+        if rows == 0:
+            return
         try:
-            fresh = self.merge_silver(spark, batch_id)
+            fresh = self.merge_silver(spark, months, batch_id)
         except Exception as error:  # bronze is kept; the batch can be cleaned again later
             self.failures.append((batch_id, str(error)))
             fresh = None
         if fresh is not None:
-            self.update_totals(spark, fresh, batch_id)
-            self.update_recent(spark, fresh, batch_id)
+            # two small, independent jobs: their scheduling overlaps
+            with ThreadPoolExecutor(2) as pool:
+                marts = [
+                    pool.submit(self.update_totals, spark, fresh, months, batch_id),
+                    pool.submit(self.update_recent, spark, fresh, batch_id),
+                ]
+                for mart in marts:
+                    mart.result()
         self.write_metrics(spark, batch_id, rows, (time.perf_counter() - started) * 1000)
 
     def create_tables(self, spark: SparkSession) -> None:
-        for key in FEED_TABLES:
-            table = DATASETS[key]
-            ensure_table(spark, self.lake.path(key), table.schema, table.partition_by, self.lake.fmt)
+        if not self._created:
+            for key in FEED_TABLES:
+                table = DATASETS[key]
+                ensure_table(spark, self.lake.path(key), table.schema, table.partition_by, self.lake.fmt)
+            self._created = True
+
+    def write_bronze(self, batch: DataFrame, batch_id: int) -> tuple[int, list[date]]:
+        """Store the batch; returns its row count and the months its dates fall in.
 
-    def write_bronze(self, batch: DataFrame, batch_id: int) -> int:
+        Both are taken by the write itself. The months are a short list, bounded by the calendar.
+        """
         stamped = stamp_ingestion(batch.drop("timestamp")).withColumn("batch_id", F.lit(batch_id).cast("bigint"))
-        return replace_partitions(
-            stamped, self.lake.path("bronze.charts_streaming"), ("batch_id",), self.lake.fmt
+        month = dates.month_start(dates.parse_date("date"))
+        seen = replace_partitions(
+            stamped, self.lake.path("bronze.charts_streaming"), ("batch_id",), self.lake.fmt, sized=False,
+            counters={"months": F.collect_set(month)},
         )
+        return seen["rows"], sorted(seen["months"])
 
-    def merge_silver(self, spark: SparkSession, batch_id: int) -> DataFrame:
+    def merge_silver(self, spark: SparkSession, months: list[date], batch_id: int) -> DataFrame:
         """Insert the batch's new entries; returns them as read back from the table.
 
         The batch is read from bronze, so the source is scanned once. Only the target's
@@ -76,20 +96,18 @@ class ChartSink:
             transform_charts(raw.drop("batch_id"), self.entry_key)
             .withColumn("month_start", dates.month_start("chart_date"))
         )
-        # calendar months: a short list, pruned to folders by the scan
-        months = [r.month_start for r in cleaned.select("month_start").distinct().collect()]
-        target = read_table(spark, self.lake, "silver.charts_streaming").where(
-            F.col("month_start").isin(months) & (F.col("batch_id") != batch_id)
-        )
+        silver = read_table(spark, self.lake, "silver.charts_streaming")
+        target = silver.where(F.col("month_start").isin(months) & (F.col("batch_id") != batch_id))
         rest = [c for c in sorted(cleaned.columns) if c not in MERGE_KEY]
         inserted = new_rows(cleaned, target, MERGE_KEY, [F.col(c).asc_nulls_last() for c in rest])
         replace_partitions(
             inserted.withColumn("batch_id", F.lit(batch_id).cast("bigint")),
             self.lake.path("silver.charts_streaming"), ("month_start", "batch_id"), self.lake.fmt,
         )
-        return read_table(spark, self.lake, "silver.charts_streaming").where(F.col("batch_id") == batch_id)
+        stored = read_table(spark, self.lake, "silver.charts_streaming")
+        return stored.where(F.col("month_start").isin(months) & (F.col("batch_id") == batch_id))
 
-    def update_totals(self, spark: SparkSession, fresh: DataFrame, batch_id: int) -> None:
+    def update_totals(self, spark: SparkSession, fresh: DataFrame, months: list[date], batch_id: int) -> None:
         """Add the batch's artist totals, then refresh the months it touched.
 
         Each batch contributes one row per artist and month it inserted; the leaderboard of
@@ -97,37 +115,49 @@ class ChartSink:
         """
         partial = artist_month_totals(fresh).withColumn("batch_id", F.lit(batch_id).cast("bigint"))
         replace_partitions(
-            partial, self.lake.path("gold.top_artists_partials"), ("month_start", "batch_id"), self.lake.fmt
+            partial, self.lake.path("gold.top_artists_partials"), ("month_start", "batch_id"), self.lake.fmt,
+            sized=False,
         )
-        months = [r.month_start for r in fresh.select("month_start").distinct().collect()]
         partials = read_table(spark, self.lake, "gold.top_artists_partials")
         refreshed = sum_partials(partials.where(F.col("month_start").isin(months)))
         replace_partitions(
-            refreshed, self.lake.path("gold.top_artists_streaming"), ("month_start",), self.lake.fmt
+            refreshed, self.lake.path("gold.top_artists_streaming"), ("month_start",), self.lake.fmt, sized=False,
         )
 
     def update_recent(self, spark: SparkSession, fresh: DataFrame, batch_id: int) -> None:
         """Newest entries after this batch, from those before it and the batch's own."""
         candidates = top_k(fresh, RECENT_ROWS, recent_order()).select(*RECENT_COLUMNS)
-        snapshots = read_table(spark, self.lake, "gold.recent_submissions").where(F.col("batch_id") < batch_id)
-        candidates = candidates.unionByName(latest_snapshot(snapshots).select(*RECENT_COLUMNS))
+        snapshots = read_table(spark, self.lake, "gold.recent_submissions")
+        if self._snapshot is not None and self._snapshot < batch_id:
+            previous = snapshots.where(F.col("batch_id") == self._snapshot)
+        else:  # first batch of this run, or a repeated one
+            previous = latest_snapshot(snapshots.where(F.col("batch_id") < batch_id))
+        candidates = candidates.unionByName(previous.select(*RECENT_COLUMNS))
         recent = top_k(candidates, RECENT_ROWS, recent_order())
         replace_partitions(
             recent.withColumn("batch_id", F.lit(batch_id).cast("bigint")),
             self.lake.path("gold.recent_submissions"), ("batch_id",), self.lake.fmt, sized=False,
         )
+        self._snapshot = batch_id
 
     def write_metrics(self, spark: SparkSession, batch_id: int, rows: int, elapsed_ms: float) -> None:
         """One record per batch; the running bronze total is the sum of the earlier records."""
-        earlier = read_table(spark, self.lake, "gold.batch_metrics").where(F.col("batch_id") < batch_id)
-        before = earlier.agg(F.coalesce(F.sum("rows"), F.lit(0)).alias("n")).first().n
         rate = rows / elapsed_ms * 1000 if elapsed_ms > 0 else 0.0
-        record = [(batch_id, rows, round(elapsed_ms, 1), round(rate, 1), before + rows,
-                   time.strftime("%Y-%m-%dT%H:%M:%S", time.gmtime()))]
-        replace_partitions(
-            spark.createDataFrame(record, schemas.BATCH_METRICS_SCHEMA),
-            self.lake.path("gold.batch_metrics"), ("batch_id",), self.lake.fmt, sized=False,
-        )
+        before = self.rows_before(spark, batch_id)
+        values = [batch_id, rows, round(elapsed_ms, 1), round(rate, 1), before + rows,
+                  time.strftime("%Y-%m-%dT%H:%M:%S", time.gmtime())]
+        record = spark.range(0, 1, 1, 1).select(*[
+            F.lit(v).cast(f.dataType).alias(f.name) for v, f in zip(values, schemas.BATCH_METRICS_SCHEMA.fields)
+        ])
+        replace_partitions(record, self.lake.path("gold.batch_metrics"), ("batch_id",), self.lake.fmt, sized=False)
+        self._last = (batch_id, before, before + rows)
+
+    def rows_before(self, spark: SparkSession, batch_id: int) -> int:
+        """Bronze rows of the earlier batches: remembered from the last batch, else read from the records."""
+        if self._last is not None and batch_id >= self._last[0]:
+            return self._last[1] if batch_id == self._last[0] else self._last[2]
+        earlier = read_table(spark, self.lake, "gold.batch_metrics").where(F.col("batch_id") < batch_id)
+        return earlier.agg(F.coalesce(F.sum("rows"), F.lit(0)).alias("n")).first().n
 
 
 def recent_order():
