@@ -27,18 +27,20 @@ def _write(df: DataFrame, lake: Lake, key: str, **kwargs) -> dict[str, int]:
 
 
 # --- bronze ------------------------------------------------------------------
+# Rows go from the scan straight to the writer: the input splits already size the files, and
+# daily files arrive in date order, so a split holds one or two years.
 
 def ingest_charts(spark: SparkSession, lake: Lake, multi_line: bool = False) -> dict[str, int]:
     """One scan of the CSV: rows and malformed lines are counted by the write itself."""
     raw = read_raw(spark, lake, "raw.charts.csv", multi_line=multi_line)
     bronze = stamp_ingestion(raw).withColumn("year", F.year(dates.parse_date("date")))
     corrupt = F.count_if(F.col(schemas.CORRUPT_COLUMN).isNotNull())
-    return _write(bronze, lake, "bronze.charts", counters={"corrupt_rows": corrupt})
+    return _write(bronze, lake, "bronze.charts", counters={"corrupt_rows": corrupt}, sized=False)
 
 
 def ingest_features(spark: SparkSession, lake: Lake) -> dict[str, int]:
     raw = read_raw(spark, lake, "raw.track_features.parquet")
-    return _write(stamp_ingestion(raw), lake, "bronze.track_features")
+    return _write(stamp_ingestion(raw), lake, "bronze.track_features", sized=False)
 
 
 def ingest_countries(spark: SparkSession, lake: Lake) -> dict[str, int]:
@@ -57,7 +59,7 @@ def build_silver_features(spark: SparkSession, lake: Lake, null_as_low: bool = F
     """Track × artist rows first; the track view is then built from the written table."""
     bronze = read_table(spark, lake, "bronze.track_features")
     per_artist = _write(
-        cleaning.clean_features(bronze, null_as_low), lake, "silver.tracks_cleaned_track_artist"
+        cleaning.clean_features(bronze, null_as_low), lake, "silver.tracks_cleaned_track_artist", sized=False
     )
     written = read_table(spark, lake, "silver.tracks_cleaned_track_artist")
     per_track = _write(cleaning.build_track_level_view(written), lake, "silver.tracks_cleaned")
@@ -70,10 +72,16 @@ def build_silver_countries(spark: SparkSession, lake: Lake) -> dict[str, int]:
     )
 
 
+def build_tracks_charted(spark: SparkSession, lake: Lake) -> dict[str, int]:
+    charts = read_table(spark, lake, "silver.charts_cleaned")
+    tracks = read_table(spark, lake, "silver.tracks_cleaned")
+    return _write(enrich.charted_tracks(charts, tracks), lake, "silver.tracks_charted")
+
+
 def build_charts_enriched(spark: SparkSession, lake: Lake, split_hot: bool = False) -> dict[str, int]:
     enriched = enrich.enrich_charts(
         read_table(spark, lake, "silver.charts_cleaned"),
-        read_table(spark, lake, "silver.tracks_cleaned"),
+        read_table(spark, lake, "silver.tracks_charted"),
         read_table(spark, lake, "silver.countries"),
         split_hot,
     )
@@ -101,7 +109,7 @@ def _gold(plan, needs_tracks: bool = True):
     def build(spark: SparkSession, lake: Lake, key: str) -> dict[str, int]:
         inputs = [read_table(spark, lake, "silver.charts_enriched")]
         if needs_tracks:
-            inputs.append(read_table(spark, lake, "silver.tracks_cleaned"))
+            inputs.append(read_table(spark, lake, "silver.tracks_charted"))
         return _write(plan(*inputs), lake, key)
     return build
 
@@ -117,6 +125,7 @@ SILVER = {
     "silver.charts_cleaned": build_silver_charts,
     "silver.tracks_cleaned": build_silver_features,
     "silver.countries": build_silver_countries,
+    "silver.tracks_charted": build_tracks_charted,
     "silver.charts_enriched": build_charts_enriched,
 }
 

@@ -4,6 +4,18 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from chartloom.operators.joins import broadcast_if_small, split_hot_join
+from chartloom.sinks.staging import stage
+
+
+def charted_tracks(charts: DataFrame, tracks: DataFrame, max_ids: int = 1_000_000) -> DataFrame:
+    """The tracks that occur in the charts: all that the joins on the track can ever use.
+
+    Charts touch a small part of a track catalogue. Their distinct ids are collected into a
+    staged table; up to `max_ids` of them are broadcast, so the wide catalogue is filtered where
+    it is read and never shuffled as a whole. More ids than that meet it in a shuffle join.
+    """
+    ids = stage(charts.select("track_id").distinct(), "charted-ids")
+    return tracks.join(broadcast_if_small(ids, max_ids), "track_id", "left_semi")
 
 
 def join_tracks(charts: DataFrame, tracks: DataFrame, split_hot: bool = False) -> DataFrame:

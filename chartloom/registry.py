@@ -40,6 +40,7 @@ DATASETS = {
         Dataset("silver", "charts_cleaned", ("region", "year"), about="typed, deduplicated entries"),
         Dataset("silver", "tracks_cleaned", about="one row per track with its artists"),
         Dataset("silver", "tracks_cleaned_track_artist", about="one row per track and artist"),
+        Dataset("silver", "tracks_charted", about="the tracks that occur in the charts; joins read these"),
         Dataset("silver", "countries", about="trimmed country dimension"),
         Dataset("silver", "charts_enriched", ("region", "year"), about="entries with features and country"),
         Dataset("silver", "charts_streaming", ("month_start", "batch_id"), schemas.FEED_SILVER_SCHEMA,

@@ -25,7 +25,8 @@ def write_table(
 
     `sized` lets adaptive execution choose the output files: rows are rebalanced on the
     partition columns, small partitions merged and a partition column value that holds
-    much of the data split over several files and tasks.
+    much of the data split over several files and tasks. That is a shuffle; leave it out
+    where rows flow from a scan to the writer unchanged in number.
     """
     seen = Observation()
     out = df.observe(
