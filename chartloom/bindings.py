@@ -11,7 +11,6 @@ from pyspark.sql import functions as F
 
 from chartloom import schemas
 from chartloom.operators import cleaning, enrich
-from chartloom.operators.joins import lookup
 from chartloom.sinks.staging import stage
 
 # --- derived columns, as SQL text --------------------------------------------
@@ -75,8 +74,33 @@ def _select(df: DataFrame, columns: dict[str, str], *keep: str) -> DataFrame:
 
 # --- views -------------------------------------------------------------------
 
+# Declared, so that opening a table starts no job to infer its schema.
+TABLES = {
+    "region": "r_regionkey int, r_name string",
+    "nation": "n_nationkey int, n_name string, n_regionkey int",
+    "customer": "c_custkey bigint, c_name string, c_nationkey int, c_acctbal double, c_mktsegment string",
+    "supplier": "s_suppkey bigint, s_name string, s_nationkey int, s_acctbal double",
+    "part": (
+        "p_partkey bigint, p_name string, p_brand string, p_type string, p_size int, p_retailprice double"
+    ),
+    "orders": (
+        "o_orderkey bigint, o_custkey bigint, o_orderstatus string, o_totalprice double,"
+        " o_orderdate timestamp_ntz, o_orderpriority string"
+    ),
+    "lineitem": (
+        "l_orderkey bigint, l_partkey bigint, l_suppkey bigint, l_linenumber int, l_quantity double,"
+        " l_extendedprice double, l_discount double, l_tax double, l_returnflag string, l_linestatus string,"
+        " l_shipdate timestamp_ntz"
+    ),
+    "events": (
+        "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, value double, props string"
+    ),
+    "pages": "page_id bigint, url string, html string",
+}
+
+
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{folder}/{name}.parquet")
+    return spark.read.schema(TABLES[name]).parquet(f"{folder}/{name}.parquet")
 
 
 def keyed_events(events: DataFrame) -> DataFrame:
@@ -133,7 +157,7 @@ def charts(spark: SparkSession, folder: str) -> DataFrame:
     customers = table(spark, folder, "customer").select("c_custkey", "c_nationkey")
     parts = table(spark, folder, "part").select("p_partkey", "p_name", "p_brand")
     nations = table(spark, folder, "nation").select(F.col("n_nationkey").alias("c_nationkey"), "n_name")
-    placed = lookup(orders.join(customers, F.col("o_custkey") == F.col("c_custkey")), nations, "c_nationkey")
+    placed = orders.join(customers, F.col("o_custkey") == F.col("c_custkey")).join(nations, "c_nationkey", "left")
     entries = (
         lines.join(placed, F.col("l_orderkey") == F.col("o_orderkey"))
         .join(parts, F.col("l_partkey") == F.col("p_partkey"))
@@ -174,28 +198,32 @@ def track_artists(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
-def raw_countries(spark: SparkSession, folder: str) -> DataFrame:
+def raw_countries(spark: SparkSession, folder: str, population: bool = True) -> DataFrame:
     """Nations with padded names; the population is the number of customers."""
-    customers = table(spark, folder, "customer").groupBy("c_nationkey").agg(F.count(F.lit(1)).alias("customers"))
     nations = table(spark, folder, "nation")
     regions = table(spark, folder, "region")
-    joined = (
-        nations.join(regions, F.col("n_regionkey") == F.col("r_regionkey"))
-        .join(customers, F.col("n_nationkey") == F.col("c_nationkey"), "left")
-    )
-    return _select(joined, COUNTRY_COLUMNS)
+    joined = nations.join(regions, F.col("n_regionkey") == F.col("r_regionkey"))
+    columns = dict(COUNTRY_COLUMNS)
+    if population:
+        customers = table(spark, folder, "customer").groupBy("c_nationkey").agg(F.count(F.lit(1)).alias("customers"))
+        joined = joined.join(customers, F.col("n_nationkey") == F.col("c_nationkey"), "left")
+    else:
+        del columns["population_2020"]
+    return _select(joined, columns)
 
 
-def countries(spark: SparkSession, folder: str) -> DataFrame:
-    return cleaning.clean_countries(raw_countries(spark, folder))
+def countries(spark: SparkSession, folder: str, population: bool = True) -> DataFrame:
+    return cleaning.clean_countries(raw_countries(spark, folder, population))
 
 
-def enriched(spark: SparkSession, folder: str) -> DataFrame:
+def enriched(spark: SparkSession, folder: str, population: bool = False) -> DataFrame:
+    """Entries with track features and country; a counted population makes the dimension a stored table."""
     features = [*schemas.PROFILE_FEATURES, "mood_quadrant", "release_decade"]
+    dim = countries(spark, folder, population).drop("gdp_per_capita_usd")
     return enrich.enrich_charts(
         charts(spark, folder),
         tracks(spark, folder).select("track_id", *features),
-        countries(spark, folder).select("region_code", "country_name", "continent", "population_2020"),
+        stage(dim, "countries") if population else dim,
     )
 
 

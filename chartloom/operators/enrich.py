@@ -34,14 +34,14 @@ def join_tracks(charts: DataFrame, tracks: DataFrame, split_hot: bool = False) -
 def join_countries(charts: DataFrame, countries: DataFrame) -> DataFrame:
     """Every entry with its country's attributes, matching `region` by name or by code.
 
-    Two keyed lookups and a coalesce; one join on `name OR code` would compare every pair.
+    Two keyed lookups and a coalesce; one join on `name OR code` would compare every pair. The
+    dimension is broadcast when its stored size is below Spark's own threshold.
     """
     attributes = [c for c in countries.columns if c != "country_name"]
-    dim = broadcast_if_small(countries)
-    by_name = dim.select(
+    by_name = countries.select(
         F.col("country_name").alias("_name"), *[F.col(c).alias(f"_n_{c}") for c in attributes]
     )
-    by_code = dim.select(
+    by_code = countries.select(
         F.lower("region_code").alias("_code"), *[F.col(c).alias(f"_c_{c}") for c in attributes]
     )
     # the name wins: a row matched by name does not look up its code

@@ -16,12 +16,12 @@ from chartloom.sources.files import as_of, read_parquet
 @query("enriched_join", expect("enriched", (
     'SELECT track_id, title, artist, region, chart, CAST("rank" AS BIGINT) AS "rank",'
     " CAST(chart_date AS VARCHAR) AS chart_date, streams, mood_quadrant, CAST(release_decade AS BIGINT) AS release_decade,"
-    " round(tempo, 6) AS tempo, round(valence, 6) AS valence, region_code, continent, population_2020 FROM enriched"
+    " round(tempo, 6) AS tempo, round(valence, 6) AS valence, region_code, continent FROM enriched"
 )))
 def enriched_join(spark, folder):
     return bindings.enriched(spark, folder).select(
         "track_id", "title", "artist", "region", "chart", "rank", "chart_date", "streams", "mood_quadrant",
-        "release_decade", "tempo", "valence", "region_code", "continent", "population_2020",
+        "release_decade", "tempo", "valence", "region_code", "continent",
     )
 
 

@@ -286,7 +286,7 @@ def continent_rollup(spark, folder):
     " FROM enriched GROUP BY region, year)"
 )))
 def per_capita(spark, folder):
-    return mood.streams_per_capita(bindings.enriched(spark, folder), per=1000.0)
+    return mood.streams_per_capita(bindings.enriched(spark, folder, population=True), per=1000.0)
 
 
 _SIZES = "(SELECT track_id, count(DISTINCT artist_name) AS n FROM track_artists GROUP BY track_id)"

@@ -13,11 +13,8 @@ from chartloom.sources.feed import file_stream, parse_messages
 from chartloom.sources.files import load_gold, read_table
 from chartloom.streaming import consumer, microbatch
 
-EVENTS_SCHEMA = "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, value double, props string"
-
-
 def _events(spark, folder):
-    return file_stream(spark, f"{folder}/events.parquet", EVENTS_SCHEMA)
+    return file_stream(spark, f"{folder}/events.parquet", bindings.TABLES["events"])
 
 
 def _consumed(spark, folder) -> Lake:
