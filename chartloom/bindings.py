@@ -229,12 +229,12 @@ def enriched(spark: SparkSession, folder: str, population: bool = False) -> Data
 
 def batch_records(spark: SparkSession, folder: str) -> DataFrame:
     """Micro-batch records: each hour of events stands for a batch."""
-    hours = table(spark, folder, "events").groupBy(
-        F.date_trunc("hour", F.col("ts").cast("timestamp")).alias("hour")
-    ).agg(F.count(F.lit(1)).alias("rows"), F.sum(F.round(F.col("value") * 100).cast("bigint")).alias("cents"))
+    # counted from the wall clock of the column, so the session's time zone plays no part
+    hour_number = F.unix_date(F.col("ts").cast("date")).cast("bigint") * 24 + F.hour("ts")
+    hours = table(spark, folder, "events").groupBy(hour_number.alias("batch_id")).agg(F.count(F.lit(1)).alias("rows"), F.sum(F.round(F.col("value") * 100).cast("bigint")).alias("cents"))
     milliseconds = F.col("cents").cast("double") / 10
     return hours.select(
-        F.floor(F.unix_seconds("hour") / 3600).alias("batch_id"),
+        "batch_id",
         "rows",
         milliseconds.alias("processing_ms"),
         F.round(F.try_divide(F.col("rows") * 1000.0, milliseconds), 1).alias("throughput_rows_per_sec"),

@@ -62,7 +62,10 @@ def build_silver_features(spark: SparkSession, lake: Lake, null_as_low: bool = F
         cleaning.clean_features(bronze, null_as_low), lake, "silver.tracks_cleaned_track_artist", sized=False
     )
     written = read_table(spark, lake, "silver.tracks_cleaned_track_artist")
-    per_track = _write(cleaning.build_track_level_view(written), lake, "silver.tracks_cleaned")
+    # already partitioned on the track, which adaptive execution has sized
+    per_track = _write(
+        cleaning.build_track_level_view(written), lake, "silver.tracks_cleaned", sized=False
+    )
     return {"rows": per_track["rows"], "track_artist_rows": per_artist["rows"]}
 
 

@@ -18,6 +18,8 @@ def get_spark(app_name: str = "chartloom", adaptive: bool = True, extra: dict[st
         .config("spark.sql.adaptive.skewJoin.enabled", str(adaptive).lower())
         .config("spark.sql.adaptive.coalescePartitions.enabled", str(adaptive).lower())
         .config("spark.sql.adaptive.advisoryPartitionSizeInBytes", "128m")
+        # a task that writes a few partition folders keeps their files open instead of sorting its rows
+        .config("spark.sql.maxConcurrentOutputFileWriters", "8")
         .config("spark.sql.shuffle.partitions", os.getenv("SPARK_SHUFFLE_PARTITIONS", "200"))
     )
     master = os.getenv("SPARK_MASTER_URL")
