@@ -5,6 +5,8 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from chartloom.sinks.staging import stage
+
 BROADCAST_ROWS = 50_000
 
 
@@ -49,8 +51,9 @@ def split_hot_join(fact: DataFrame, dim: DataFrame, key: str, parts: int = 1000)
     Rows of a hot key (see `hot_keys`) take their attributes from a broadcast of the at
     most `parts` matching dimension rows and stay where they were read; all other rows go
     through an ordinary shuffle join. Together they give every row of the plain left join once.
+    The hot keys are measured once and staged; the three uses below read that small table.
     """
-    flagged = F.broadcast(hot_keys(fact, key, parts).withColumn("_hot", F.lit(True)))
+    flagged = F.broadcast(stage(hot_keys(fact, key, parts).withColumn("_hot", F.lit(True)), "hot-keys"))
     attributes = [c for c in dim.columns if c != key]
     ours = fact.join(flagged, key, "left")
     hot_dim = dim.join(flagged.drop("_hot"), key, "left_semi")
