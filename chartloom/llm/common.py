@@ -6,7 +6,7 @@ temporaries of a task are bounded by the larger of `CHUNK_BYTES` and its longest
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -37,8 +37,17 @@ def trainable(doc_id: Column) -> Column:
 
 
 def words_of(text: Column) -> Column:
-    """Words of a text as an array; a null text has none. Java drops trailing empty strings only with limit 0."""
-    return F.filter(F.split(F.coalesce(text, F.lit("")), WORD_SPLIT), lambda w: w != "")
+    """Words of a text as an array; a null text has none."""
+    return F.array_remove(F.split(F.coalesce(text, F.lit("")), WORD_SPLIT), "")
+
+
+def let(value: Column, then: Callable[[Column], Column]) -> Column:
+    """`then(value)` with `value` worked out once, however often `then` uses it.
+
+    A later filter on the result may be pushed below the projection and take the expression
+    along; bound this way, it is evaluated once more and not once for each use.
+    """
+    return F.get(F.transform(F.array(value), then), 0)
 
 
 def mix(x: np.ndarray) -> np.ndarray:
