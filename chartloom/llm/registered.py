@@ -1,6 +1,6 @@
 """Imports every operator module, so that all queries of this subpackage are registered."""
 
-from chartloom.llm import bpe, language, mixture, pii, quality, toxicity  # noqa: F401  (they register)
+from chartloom.llm import bpe, language, licenses, mixture, neighbours, pii, quality, toxicity  # noqa: F401  (they register)
 from chartloom.llm.catalog import EXPECTED, QUERIES
 
 __all__ = ["EXPECTED", "QUERIES"]
