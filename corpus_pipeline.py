@@ -1,12 +1,71 @@
-"""From raw documents to token ids. (Stages are added as their operators are.)"""
+"""From raw documents to token ids: five stages, each written and read again by the next.
+
+Every stage works on all rows its predecessor kept. The first four return the columns of
+`documents`; `n_chars`, where there is one, follows the text.
+
+1. language: documents without a language (no letters, or no language likelier than not) go.
+2. near_copies: of documents that share 80 of 100 five-word shingles one stays, also along chains.
+3. personal_data: spans of personal data are replaced by their kind.
+4. mix: sources in their target shares; a document taken twice comes twice, and the one in
+   which a source's budget ends comes with its first words only.
+5. tokens: ids of the whole text, and the digests that prove the way there and back.
+
+Null texts and texts without letters end at the first stage. Rows with a null id stay, as
+rows of their own. Columns beyond those of `documents` are carried along until the last stage.
+"""
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from chartloom.llm import bpe, jaccard, language, mixture, pii
+from chartloom.llm.common import documents
+from chartloom.sinks.staging import stage
+
+MIN_LANGUAGE_SCORE = 0.5
+TOKENIZER = "byte_bpe_50k.tiktoken"
+
+
+def _measured(docs: DataFrame) -> DataFrame:
+    return docs.withColumn("n_chars", F.length("text").cast("long")) if "n_chars" in docs.columns else docs
+
+
+def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    found = language.predict(docs, language.fit(docs), tuple(docs.columns), pred="_lang_pred", score="_lang_score")
+    sure = (F.col("_lang_pred") != language.UNDETERMINED) & (F.col("_lang_score") >= MIN_LANGUAGE_SCORE)
+    return found.where(sure).select(*docs.columns)
+
+
+def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return jaccard.keep_one(docs, 5, 80)
+
+
+def mask_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return _measured(pii.mask(docs))
+
+
+def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return _measured(mixture.apply(docs))
+
+
+def encode_tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return bpe.encode(docs, public_tokenizers.path(TOKENIZER), public_tokenizers.PATTERN, ("doc_id", "lang", "source"))
+
 
-STAGES: list = []
-ORACLE_SQL = None
+STAGES = [
+    ("language", identify_language),
+    ("near_copies", drop_near_copies),
+    ("personal_data", mask_personal_data),
+    ("mix", mix_sources),
+    ("tokens", encode_tokens),
+]
+ORACLE_SQL = None  # models, components and token ids are beyond SQL; tests/llm/test_pipeline.py compares with plain code
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/documents.parquet")
+    docs = documents(spark, sf_dir)
+    for name, step in STAGES[:-1]:
+        docs = stage(step(spark, docs, sf_dir), f"pipeline-{name}")
+    return STAGES[-1][1](spark, docs, sf_dir)
