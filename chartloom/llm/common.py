@@ -41,6 +41,14 @@ def words_of(text: Column) -> Column:
     return F.array_remove(F.split(F.coalesce(text, F.lit("")), WORD_SPLIT), "")
 
 
+BROADCAST_ROWS = 500_000  # of a few numbers each: some tens of MB on an executor
+
+
+def bounded(keys: DataFrame, limit: int = BROADCAST_ROWS) -> DataFrame:
+    """Staged narrow rows, marked for a broadcast if they are few; joins shuffle both sides if not."""
+    return F.broadcast(keys) if keys.count() <= limit else keys
+
+
 def let(value: Column, then: Callable[[Column], Column]) -> Column:
     """`then(value)` with `value` worked out once, however often `then` uses it.
 

@@ -8,7 +8,7 @@ prefixes must also meet under the second and the third order, and their sizes mu
 similarity, before the whole sets are compared.
 
 No group of copies is expanded into pairs. Equal sets are one node. In a bucket (the nodes
-with the same prefix token) first every node is compared with one leader only, and later
+with the same prefix token) first every node is compared with one leader at most, and later
 only nodes of different components are compared, because a link inside a component would
 tell nothing new. What is left at the end - all pairs of a bucket that lie in different
 components - is compared without exception, so no link between components is lost.
@@ -29,7 +29,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from chartloom.llm.catalog import query
-from chartloom.llm.common import Words, chunks, documents, mix, text_bytes
+from chartloom.llm.common import Words, bounded, chunks, documents, mix, text_bytes
 from chartloom.sinks.staging import stage
 
 HOT_SHARE = 2000  # a token that one in so many documents has stands last in every order
@@ -130,25 +130,40 @@ def sets(docs: DataFrame, width: int, percent: int) -> DataFrame:
         run, "doc_id bigint, mark bigint, n bigint, node bigint, one array<bigint>, two array<smallint>, three array<smallint>")
 
 
-def tokens_of(docs: DataFrame, wanted: DataFrame, width: int) -> DataFrame:
-    """node and its whole set, for the rows named by `wanted` (node, doc_id, mark)."""
-    w = wanted.alias("w")
-    rows = (
-        docs.select("doc_id", F.xxhash64("text").alias("mark"), "text").alias("d")
-        .join(w, F.col("d.doc_id").eqNullSafe(F.col("w.doc_id")) & (F.col("d.mark") == F.col("w.mark")))
-        .select("node", "text")
-    )
+def texts_of(docs: DataFrame, wanted: DataFrame) -> DataFrame:
+    """node and a text that has its set, for the rows named by `wanted` (node, doc_id, mark)."""
+    w = bounded(wanted).alias("w")
+    rows = docs.select("doc_id", F.xxhash64("text").alias("mark"), "text").alias("d").join(
+        w, F.col("d.doc_id").eqNullSafe(F.col("w.doc_id")) & (F.col("d.mark") == F.col("w.mark")))
+    # repeated rows have equal texts; tasks pass one on
+    return rows.groupBy("node").agg(F.first("text").alias("text"))
 
+
+def verified(pairs: DataFrame, width: int, percent: int) -> DataFrame:
+    """Of rows a, a_text, b, b_text the pairs (a, b) whose whole sets are similar enough."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            data, offsets = text_bytes(batch.column(1))
-            own = []
-            for lo, hi in chunks(offsets):
-                h, _, at = shingles(data, offsets[lo : hi + 1], width)
-                own += [_bits(np.unique(h[s:e])) for s, e in zip(at[:-1], at[1:])]
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(own, pa.list_(pa.int64()))], names=["node", "tokens"])
-
-    return rows.mapInArrow(run, "node bigint, tokens array<bigint>")
+            keep = np.zeros(batch.num_rows, bool)
+            known: dict[int, np.ndarray] = {}
+            for lo in range(0, batch.num_rows, 200):
+                part = batch.slice(lo, 200)
+                both = []
+                for node, text in ((0, 1), (2, 3)):
+                    data, offsets = text_bytes(part.column(text))
+                    ids = part.column(node).to_pylist()
+                    for d, i in enumerate(ids):
+                        if i not in known:
+                            known[i] = np.unique(shingles(data, offsets[d : d + 2], width)[0])
+                    both.append(ids)
+                for r, (i, j) in enumerate(zip(*both)):
+                    x, y = known[i], known[j]
+                    common = len(np.intersect1d(x, y, assume_unique=True))
+                    keep[lo + r] = 100 * common >= percent * (len(x) + len(y) - common)
+                known.clear()
+            chosen = pa.array(np.flatnonzero(keep))
+            yield pa.RecordBatch.from_arrays([batch.column(0).take(chosen), batch.column(2).take(chosen)], names=["a", "b"])
+
+    return pairs.select("a", "a_text", "b", "b_text").mapInArrow(run, "a bigint, b bigint")
 
 
 def components(links: DataFrame) -> DataFrame:
@@ -186,14 +201,10 @@ def linked(pairs: DataFrame, table: DataFrame, docs: DataFrame, width: int, perc
     close = stage(
         pairs.join(side(filters, "a", "two", "three"), "a").join(side(filters, "b", "two", "three"), "b").where(meets).select("a", "b"), "close")
     wanted = stage(filters.join(nodes_of(close), "node").select("node", "doc_id", "mark"), "wanted")
-    # repeated rows of a node give the same set, which is taken once
-    whole = stage(tokens_of(docs, wanted, width).dropDuplicates(["node"]), "whole-sets")
-    # one side's set goes along with the pair, which is keyed by the other node then: no node gathers sets
-    return stage(
-        close.join(side(whole, "a", "tokens"), "a").join(side(whole, "b", "tokens"), "b")
-        .withColumn("both", F.size(F.array_intersect("a_tokens", "b_tokens")))
-        .where(100 * F.col("both") >= percent * (F.size("a_tokens") + F.size("b_tokens") - F.col("both")))
-        .select("a", "b"), "linked")
+    whole = stage(texts_of(docs, wanted), "whole-texts")
+    # one side's text goes along with the pair, which is keyed by the other node then: no node gathers texts
+    both = close.join(side(whole, "a", "text"), "a").join(side(whole, "b", "text"), "b")
+    return stage(verified(both, width, percent), "linked")
 
 
 def join(docs: DataFrame, width: int, percent: int) -> DataFrame:
@@ -213,12 +224,9 @@ def join(docs: DataFrame, width: int, percent: int) -> DataFrame:
     shared = stage(
         postings.withColumn("_size", F.count(F.lit(1)).over(Window.partitionBy("token"))).where("_size > 1").drop("_size"), "buckets")
 
-    def pairs_of(frame: DataFrame) -> DataFrame:
-        """a, b in order, once, of frames with a, a_n, b, b_n."""
-        low = F.least("a", "b")
-        sized = frame.where((F.col("a") != F.col("b"))
-                            & (100 * F.least("a_n", "b_n") >= percent * F.greatest("a_n", "b_n")))
-        return sized.select(low.alias("a"), F.greatest("a", "b").alias("b")).distinct()
+    def likely(frame: DataFrame) -> DataFrame:
+        """Rows of a, a_n, b, b_n whose sizes allow the similarity."""
+        return frame.where((F.col("a") != F.col("b")) & (100 * F.least("a_n", "b_n") >= percent * F.greatest("a_n", "b_n")))
 
     links, tried, comps = None, None, None
     for leader in ("min", "max", None):
@@ -233,11 +241,13 @@ def join(docs: DataFrame, width: int, percent: int) -> DataFrame:
             pick = getattr(F, leader)
             lead = open_.groupBy("token").agg(pick(F.struct("node", "n", "comp")).alias("l")).select(
                 "token", F.col("l.node").alias("b"), F.col("l.n").alias("b_n"), F.col("l.comp").alias("b_c"))
-            met = member.join(lead, "token").where("a_c <> b_c")
+            # of its leaders a node is compared with the one it meets in most buckets
+            votes = likely(member.join(lead, "token").where("a_c <> b_c")).groupBy("a", "b").agg(F.count(F.lit(1)).alias("votes"))
+            met = votes.groupBy("a").agg(F.max(F.struct("votes", "b")).alias("best")).select("a", "best.b")
         else:
             other = open_.select("token", F.col("node").alias("b"), F.col("n").alias("b_n"), F.col("comp").alias("b_c"))
-            met = member.join(other, "token").where(F.col("a_c") < F.col("b_c"))
-        pairs = pairs_of(met)
+            met = likely(member.join(other, "token").where(F.col("a_c") < F.col("b_c")))
+        pairs = met.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
         if tried is not None:
             pairs = pairs.join(tried, ["a", "b"], "left_anti")
         pairs = stage(pairs, "pairs")
@@ -277,13 +287,14 @@ def keep_one(docs: DataFrame, width: int = 5, percent: int = 80) -> DataFrame:
     m, f = marked.distinct().alias("m"), first.alias("f")
     gone = stage(
         m.join(f, (F.col("m.group") == F.col("f.group")) & F.col("m.doc_id").eqNullSafe(F.col("f.doc_id"))
-               & (F.col("m.mark") == F.col("f.lowest")), "left_anti").select("doc_id", "mark").distinct(), "gone").alias("g")
-    twice = stage(first.where("rows > 1").select("doc_id", F.col("lowest").alias("mark")).distinct(), "twice").alias("t")
+               & (F.col("m.mark") == F.col("f.lowest")), "left_anti").select("doc_id", "mark").distinct(), "gone")
+    twice = stage(first.where("rows > 1").select("doc_id", F.col("lowest").alias("mark")).distinct(), "twice")
     d = docs.withColumn("_mark", F.xxhash64("text")).alias("d")
 
     def same(other: str):
         return F.col("d.doc_id").eqNullSafe(F.col(f"{other}.doc_id")) & (F.col("d._mark") == F.col(f"{other}.mark"))
 
+    gone, twice = bounded(gone).alias("g"), bounded(twice).alias("t")
     stay = d.join(gone, same("g"), "left_anti").alias("d")
     once = stay.join(twice, same("t"), "left_anti")
     # rows that occur several times and have words: any of them
