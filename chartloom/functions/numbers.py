@@ -3,8 +3,8 @@
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# Fixed value: what an ANSI cast accepts as a whole number.
-WHOLE_NUMBER = r"^[\x00-\x20]*[+-]?[0-9]+[\x00-\x20]*$"
+# Fixed value: decimal text; a fraction is cut off, as a plain cast of text to an integer does.
+DECIMAL_TEXT = r"^[\x00-\x20]*([+-]?[0-9]+)(?:\.[0-9]*)?[\x00-\x20]*$"
 
 
 def whole_number(value: Column | str, kind: str) -> Column:
@@ -14,4 +14,4 @@ def whole_number(value: Column | str, kind: str) -> Column:
     costs an exception.
     """
     value = F.col(value) if isinstance(value, str) else value
-    return F.when(value.rlike(WHOLE_NUMBER), value.try_cast(kind))
+    return F.when(value.rlike(DECIMAL_TEXT), F.regexp_extract(value, DECIMAL_TEXT, 1).try_cast(kind))

@@ -166,11 +166,11 @@ def manual_entries(df: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
     """Typed-in rows (artist, title, region, chart, rank, date, optional streams) as raw chart rows."""
     artist, title = F.col("artist").cast("string"), F.col("title").cast("string")
     url = F.concat(F.lit(text.TRACK_URL_PREFIX), text.surrogate_track_id(artist, title))
-    streams = F.col("streams").try_cast("bigint")
+    streams = numbers.whole_number(F.col("streams").cast("string"), "bigint")
     return df.select(
         *keep,
         title.alias("title"),
-        F.col("rank").try_cast("int").cast("string").alias("rank"),
+        numbers.whole_number(F.col("rank").cast("string"), "int").cast("string").alias("rank"),
         F.col("date").cast("string").alias("date"),
         artist.alias("artist"),
         url.alias("url"),

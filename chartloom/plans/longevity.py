@@ -13,6 +13,7 @@ CHART = "top200"
 KEYS = ["track_id", "region"]
 ATTRIBUTES = ["title", "artist", "continent", "release_decade"]
 _DAY_RANGE = 10_000_000  # more days than any date needs, so rank and day pack into one number
+_DAY_SHIFT = _DAY_RANGE // 2  # days before 1970 are negative
 
 
 def chart_life(
@@ -25,7 +26,7 @@ def chart_life(
     retitled track are settled on the reduced frame, where its latest spelling wins.
     With `per_title` every spelling keeps its own row under the span and peak of the key.
     """
-    rank_then_day = F.col("rank").cast("bigint") * _DAY_RANGE + F.unix_date("chart_date")
+    rank_then_day = F.col("rank").cast("bigint") * _DAY_RANGE + F.unix_date("chart_date") + _DAY_SHIFT
     parts = charts.groupBy(*KEYS, *attributes).agg(
         F.min("chart_date").alias("first_chart_date"),
         F.max("chart_date").alias("last_chart_date"),
@@ -58,7 +59,7 @@ def chart_life(
         )
     return life.select(
         *KEYS, "_named.*", "first_chart_date", "last_chart_date", "peak_rank",
-        F.date_from_unix_date((F.col("_peak") % _DAY_RANGE).cast("int")).alias("peak_date"),
+        F.date_from_unix_date((F.col("_peak") % _DAY_RANGE - _DAY_SHIFT).cast("int")).alias("peak_date"),
         "total_chart_days", "total_streams", "avg_rank",
         F.date_diff("last_chart_date", "first_chart_date").alias("chart_lifespan_days"),
     )

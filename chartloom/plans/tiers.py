@@ -92,4 +92,4 @@ def build_sonic_dna(
     charts = enriched.where(F.col("chart") == CHART)
     return tier_profile(
         stream_deciles(track_totals(charts), tiles), tracks, rank_trajectory(charts), features
-    ).orderBy("stream_decile")
+    )

@@ -20,6 +20,7 @@ class Dataset:
     schema: T.StructType | None = None
     source_format: str | None = None  # raw files only; tables use the lake's format
     about: str = ""
+    snapshots: bool = False  # every batch writes the whole content anew, under its batch id
 
 
 # Table names, layers and partition columns of the published data model.
@@ -55,7 +56,7 @@ DATASETS = {
         Dataset("gold", "top_artists_streaming", ("month_start",), schemas.ARTIST_TOTALS_SCHEMA,
                 about="artist totals of the feed"),
         Dataset("gold", "recent_submissions", ("batch_id",), schemas.RECENT_SCHEMA,
-                about="newest 100 feed entries after each batch"),
+                about="newest 100 feed entries after each batch", snapshots=True),
         Dataset("gold", "batch_metrics", ("batch_id",), schemas.BATCH_METRICS_SCHEMA,
                 about="one record per micro-batch"),
     ]

@@ -4,27 +4,30 @@ Staged tables go under the folder the cluster names in `spark.checkpoint.dir`, w
 executors share, so losing an executor never loses a staged result.
 """
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
 
 def staging_root(spark: SparkSession) -> str:
-    """The shared staging folder; a temporary one only on a local master without a setting."""
-    configured = spark.conf.get("spark.checkpoint.dir", None)
-    if configured:
-        return configured.rstrip("/")
-    if not spark.conf.get("spark.master", "").startswith("local"):
-        raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
-    folder = tempfile.mkdtemp(prefix="chartloom-")
-    spark.conf.set("spark.checkpoint.dir", folder)
-    return folder
+    """The folder in `spark.checkpoint.dir`; where none is set, one under the session's warehouse."""
+    configured = spark.conf.get("spark.checkpoint.dir", None) or f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/_staging"
+    return configured.rstrip("/")
+
+
+_KNOWN: set[str] = set()  # folders of applications that this driver has asked to be removed at its end
 
 
 def staging_path(spark: SparkSession, name: str) -> str:
-    """A fresh folder name; every run gets its own."""
-    return f"{staging_root(spark)}/chartloom/{name}-{uuid.uuid4().hex}"
+    """A fresh folder name in the application's own folder, which goes when the application ends."""
+    own = f"{staging_root(spark)}/chartloom/{spark.sparkContext.applicationId}"
+    if own not in _KNOWN:
+        path = spark._jvm.org.apache.hadoop.fs.Path(own)
+        files = path.getFileSystem(spark._jsc.hadoopConfiguration())
+        files.mkdirs(path)
+        files.deleteOnExit(path)
+        _KNOWN.add(own)
+    return f"{own}/{name}-{uuid.uuid4().hex}"
 
 
 def stage(df: DataFrame, name: str) -> DataFrame:

@@ -88,13 +88,21 @@ def load_gold(spark: SparkSession, lake: Lake, table: str, version: int | None =
     """A serving table, optionally as of an earlier version.
 
     Delta tables travel by their own version number; Parquet tables by the batch that wrote the rows.
+    Of a table that holds a snapshot per batch, the newest one (not after `version`) is served.
     """
     key = f"gold.{table}"
     if version is None:
-        return read_table(spark, lake, key)
+        df = read_table(spark, lake, key)
+        return newest_snapshot(df) if DATASETS[key].snapshots else df
     if lake.fmt == "delta":
         return spark.read.format("delta").option("versionAsOf", version).load(lake.path(key))
     df = read_table(spark, lake, key)
     if "batch_id" not in df.columns:
         raise ValueError(f"{key} is rewritten as a whole and keeps no earlier versions")
-    return as_of(df, version)
+    return newest_snapshot(as_of(df, version)) if DATASETS[key].snapshots else as_of(df, version)
+
+
+def newest_snapshot(df: DataFrame) -> DataFrame:
+    """The rows of the highest batch id of a table that holds a snapshot per batch."""
+    newest = df.agg(F.max("batch_id").alias("newest")).first().newest
+    return df.where(F.col("batch_id") == F.lit(newest)) if newest is not None else df.limit(0)

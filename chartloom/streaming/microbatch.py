@@ -6,7 +6,6 @@ retries the tables hold each batch once.
 """
 
 import time
-from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 from datetime import date
 
@@ -37,7 +36,6 @@ class ChartSink:
 
     lake: Lake
     entry_key: list[str] = field(default_factory=lambda: list(ENTRY_KEY))
-    failures: list[tuple[int, str]] = field(default_factory=list)
     _created: bool = False
     _last: tuple[int, int, int] | None = None  # batch id, bronze rows before it, bronze rows after it
     _snapshot: int | None = None  # batch id of the newest list of recent entries
@@ -48,20 +46,10 @@ class ChartSink:
         rows, months = self.write_bronze(batch, batch_id)
         if rows == 0:
             return
-        try:
-            fresh = self.merge_silver(spark, months, batch_id)
-        except Exception as error:  # bronze is kept; the batch can be cleaned again later
-            self.failures.append((batch_id, str(error)))
-            fresh = None
-        if fresh is not None:
-            # two small, independent jobs: their scheduling overlaps
-            with ThreadPoolExecutor(2) as pool:
-                marts = [
-                    pool.submit(self.update_totals, spark, fresh, months, batch_id),
-                    pool.submit(self.update_recent, spark, fresh, batch_id),
-                ]
-                for mart in marts:
-                    mart.result()
+        # an error here must reach the query: the batch is then delivered again and replaces what it left behind
+        fresh = self.merge_silver(spark, months, batch_id)
+        self.update_totals(spark, fresh, months, batch_id)
+        self.update_recent(spark, fresh, batch_id)
         self.write_metrics(spark, batch_id, rows, (time.perf_counter() - started) * 1000)
 
     def create_tables(self, spark: SparkSession) -> None:

@@ -2,23 +2,19 @@ import sys
 from pathlib import Path
 
 import pytest
-from pyspark.sql import SparkSession
 
 sys.path.insert(0, str(Path(__file__).resolve().parents[1]))
 
+from chartloom.session import get_spark  # noqa: E402
+
 
 @pytest.fixture(scope="session")
 def spark(tmp_path_factory):
-    session = (
-        SparkSession.builder.master("local[4]").appName("tests")
-        .config("spark.ui.enabled", "false")
-        .config("spark.ui.showConsoleProgress", "false")
-        .config("spark.sql.shuffle.partitions", "4")
-        .config("spark.sql.session.timeZone", "UTC")
-        .config("spark.driver.memory", "8g")
-        .config("spark.checkpoint.dir", str(tmp_path_factory.mktemp("staging")))
-        .getOrCreate()
-    )
+    session = get_spark("tests", extra={
+        "spark.master": "local[4]", "spark.driver.memory": "8g", "spark.ui.enabled": "false",
+        "spark.ui.showConsoleProgress": "false", "spark.sql.shuffle.partitions": "4",
+        "spark.checkpoint.dir": str(tmp_path_factory.mktemp("staging")),
+    })
     session.sparkContext.setLogLevel("ERROR")
     yield session
     session.stop()

@@ -204,3 +204,11 @@ def test_schema_contracts():
     before = len(schemas.CHARTS_RAW_SCHEMA.fields)
     assert len(schemas.with_corrupt_column(schemas.CHARTS_RAW_SCHEMA).fields) == before + 1
     assert len(schemas.CHARTS_RAW_SCHEMA.fields) == before
+
+
+def test_decimal_text_is_cut_to_whole_numbers(spark):
+    from chartloom.functions import numbers
+
+    text = ["1.0", "253019.0", " 7.9 ", "-2.5", "+3.", "x", "1.2.3", "1e3", "", None, "99999999999.0"]
+    rows = spark.createDataFrame([(t,) for t in text], "t string").select(numbers.whole_number("t", "int").alias("n")).collect()
+    assert [r.n for r in rows] == [1, 253019, 7, -2, 3] + [None] * 6

@@ -108,18 +108,38 @@ def test_three_batches_replay_and_restart(spark, feed_folder):
     assert load_gold(spark, lake, "batch_metrics").count() == 4
 
 
-def test_cleaning_failure_keeps_bronze(spark, monkeypatch):
+def test_a_failed_silver_write_is_retried_and_loses_nothing(spark, monkeypatch):
     lake = Lake(staging_path(spark, "lake"))
     sink = microbatch.ChartSink(lake)
 
-    def fail(*_args):
-        raise RuntimeError("boom")
+    write, calls = microbatch.replace_partitions, []
 
-    monkeypatch.setattr(sink, "merge_silver", fail)
-    sink(parse_messages(spark.createDataFrame([(message(1, 1),)], "value string")), 0)
-    assert sink.failures == [(0, "boom")]
-    assert read_table(spark, lake, "bronze.charts_streaming").count() == 1
-    assert read_table(spark, lake, "silver.charts_streaming").count() == 0
+    def fail_once(df, path, *args, **how):
+        if "silver" in path and not calls:
+            calls.append(path)
+            raise OSError("storage is away")
+        return write(df, path, *args, **how)
+
+    monkeypatch.setattr(microbatch, "replace_partitions", fail_once)
+    batch = parse_messages(spark.createDataFrame([(message(1, 1),), (message(2, 2),)], "value string"))
+    with pytest.raises(OSError, match="storage"):
+        sink(batch, 0)
+    assert read_table(spark, lake, "bronze.charts_streaming").count() == 2
+    assert load_gold(spark, lake, "batch_metrics").count() == 0
+    sink(batch, 0)
+    assert read_table(spark, lake, "bronze.charts_streaming").count() == 2
+    assert read_table(spark, lake, "silver.charts_streaming").count() == 2
+    assert load_gold(spark, lake, "batch_metrics").count() == 1
+
+
+def test_the_loader_serves_one_snapshot(spark):
+    lake = Lake(staging_path(spark, "lake"))
+    sink = microbatch.ChartSink(lake)
+    for b in range(3):
+        sink(parse_messages(spark.createDataFrame([(message(b + 1, b + 1),)], "value string")), b)
+    assert load_gold(spark, lake, "recent_submissions").count() == 3
+    assert load_gold(spark, lake, "recent_submissions", version=1).count() == 2
+    assert read_table(spark, lake, "gold.recent_submissions").count() == 6
 
 
 def test_recent_snapshot_equals_a_full_sort(spark):

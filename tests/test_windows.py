@@ -194,3 +194,11 @@ def test_collaboration(spark):
     assert rows == {"a": (3, 2, 3), "b": (2, 2, 3), "c": (1, 1, 2)}
     partners = {r.partner: r.shared_tracks for r in artists.collaborators_of(df, "a").collect()}
     assert partners == {"b": 2, "c": 1}
+
+
+def test_peak_before_1970(spark):
+    rows = [("t", "r", "a", "b", "c", "d", "top200", 3, 10, "1969-12-31"), ("t", "r", "a", "b", "c", "d", "top200", 5, 10, "1970-01-02")]
+    df = spark.createDataFrame(rows, "track_id string, region string, title string, artist string, continent string,"
+                               " release_decade string, chart string, rank int, streams bigint, chart_date string")
+    life = longevity.chart_life(df.withColumn("chart_date", F.to_date("chart_date"))).first()
+    assert str(life.peak_date) == "1969-12-31" and life.peak_rank == 3
