@@ -166,11 +166,12 @@ def verified(pairs: DataFrame, width: int, percent: int) -> DataFrame:
     return pairs.select("a", "a_text", "b", "b_text").mapInArrow(run, "a bigint, b bigint")
 
 
-def components(links: DataFrame) -> DataFrame:
+def components(links: DataFrame, settled: bool = True) -> DataFrame:
     """node and comp, the smallest node that links reach, for all nodes of `links` (a, b).
 
     Each step takes the smallest label around and then the label of that label, so paths
-    shrink by half. Steps are written to the shared folder.
+    shrink by half. Steps are written to the shared folder. Unless `settled` is asked for,
+    one step is enough: equal labels then still mean linked, but not the other way round.
     """
     edges = stage(links.select(F.col("a").alias("x"), F.col("b").alias("y")).union(links.select("b", "a")).distinct(), "links")
     labels = stage(edges.groupBy("x").agg(F.min("y").alias("m")).select(F.col("x").alias("node"), F.least("x", "m").alias("comp")), "labels")
@@ -182,7 +183,7 @@ def components(links: DataFrame) -> DataFrame:
             nearer.join(heads, nearer["c"] == heads["head"], "left")
             .select("node", "old", F.least("c", F.coalesce("beyond", "c")).alias("comp")), "labels")
         labels = after.select("node", "comp")
-        if after.where("old <> comp").isEmpty():
+        if not settled or after.where("old <> comp").isEmpty():
             return labels
     raise RuntimeError("the components did not settle")
 
@@ -228,8 +229,10 @@ def join(docs: DataFrame, width: int, percent: int) -> DataFrame:
         """Rows of a, a_n, b, b_n whose sizes allow the similarity."""
         return frame.where((F.col("a") != F.col("b")) & (100 * F.least("a_n", "b_n") >= percent * F.greatest("a_n", "b_n")))
 
-    links, tried, comps = None, None, None
+    links, tried, comps, whole = None, None, None, True
     for leader in ("min", "max", None):
+        if not (leader or whole):
+            comps, whole = components(links), True
         if comps is None:
             open_ = shared.withColumn("comp", F.col("node"))
         else:
@@ -257,8 +260,12 @@ def join(docs: DataFrame, width: int, percent: int) -> DataFrame:
             break
         found = linked(pairs, table, docs, width, percent)
         tried = pairs if tried is None else tried.union(pairs)
+        if found.isEmpty():
+            continue
         links = found if links is None else links.union(found)
-        comps = components(links)
+        # before the second leaders, labels only save comparisons; before the last look and at the end they must be whole
+        whole = leader != "min"
+        comps = components(links, settled=whole)
     result = table.select("doc_id", "mark", F.col("n").alias("n_shingles"), "node")
     if links is None:
         empty = classes.select("node").limit(0)
