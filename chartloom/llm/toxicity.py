@@ -21,7 +21,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from chartloom.llm.catalog import query
@@ -230,15 +230,19 @@ def train(seq: Sequences, toxic: np.ndarray) -> Tagger:
 
 
 def training_rows(docs: DataFrame, labels: DataFrame, toxic: int = SAMPLE_TOXIC, clean: int = SAMPLE_CLEAN) -> DataFrame:
-    """Texts and labels of the sample: of each label the rows with the smallest id hashes."""
-    by_label = Window.partitionBy("toxic").orderBy(F.xxhash64("doc_id"), "doc_id")
-    ids = (
+    """Texts and labels of the sample: of each label the rows with the smallest id hashes.
+
+    The ids are at most `toxic + clean`, so they are broadcast and no text is shuffled to find them.
+    """
+    known = (
         labels.where(F.col("toxic").isin(0, 1) & trainable(F.col("doc_id")))
         .groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
-        .withColumn("_rank", F.row_number().over(by_label))
-        .where(F.col("_rank") <= F.when(F.col("toxic") == 1, toxic).otherwise(clean))
-        .select("doc_id", "toxic")
     )
+
+    def least(label: int, most: int) -> DataFrame:
+        return known.where(F.col("toxic") == label).orderBy(F.xxhash64("doc_id"), "doc_id").limit(most)
+
+    ids = F.broadcast(least(1, toxic).union(least(0, clean)))
     return docs.select("doc_id", "text").join(ids, "doc_id").select("doc_id", "text", "toxic")
 
 
