@@ -123,10 +123,11 @@ def search(df: DataFrame, asks: Column, k: int = 5, vec_id: str = "vec_id", vect
         df[vec_id].cast("long").alias("vec_id"), df[vector].cast("array<double>").alias("vector"),
         F.coalesce(asks, F.lit(False)).alias("asks"))
     rows = rows.withColumn("vector", F.transform("vector", lambda x: x + F.lit(0.0)))  # -0.0 is 0.0
-    # entries: equal vectors with their k + 1 smallest ids; each task passes on no more than that of a vector
+    # entries: equal vectors with their k + 1 smallest ids; each task passes on no more than that of a vector.
+    # Repeated rows go first, or they would fill the places of other ids
     smallest = Window.partitionBy("vector").orderBy("vec_id")
-    ids = rows.select("vector", "vec_id").withColumn("_at", F.row_number().over(smallest)).where(F.col("_at") <= 2 * k + 2)
-    entries = stage(ids.groupBy("vector").agg(F.slice(F.sort_array(F.collect_set("vec_id")), 1, k + 1).alias("ids")), "ann-index")
+    ids = rows.select("vector", "vec_id").distinct().withColumn("_at", F.row_number().over(smallest)).where(F.col("_at") <= k + 1)
+    entries = stage(ids.groupBy("vector").agg(F.sort_array(F.collect_list("vec_id")).alias("ids")), "ann-index")
     asking = stage(rows.where("asks").select("vec_id", "vector").distinct(), "ann-queries")
     blocks, query_blocks = max(1, -(-entries.count() // BLOCK)), max(1, -(-asking.count() // QUERY_BLOCK))
     size = F.size("vector").alias("size")

@@ -61,3 +61,15 @@ def test_edges(spark):
     few = neighbours.search(df.where("vec_id in (0, 1, 2)"), F.col("vec_id") == 0).collect()
     assert [(r.rank, r.vec_id) for r in sorted(few, key=lambda r: r.rank)] == [(1, 1), (2, 2)]
     assert neighbours.search(df.limit(0), F.lit(True)).count() == 0
+
+
+def test_repeated_rows_do_not_push_out_other_ids(spark):
+    same = [1.0, 2.0, 3.0]
+    for rows in (
+        [(1000, same)] * 20 + [(1000 + i, same) for i in range(1, 10)],
+        [(1000 + i, same) for i in range(10) for _ in range(3)],
+    ):
+        df = spark.createDataFrame(rows + [(1, [3.0, 2.0, 1.0])], "vec_id long, embedding array<float>")
+        got = neighbours.search(df, F.col("vec_id") == 1000, share=1.0).collect()
+        assert sorted((r.rank, r.vec_id) for r in got) == [(i, 1000 + i) for i in range(1, 6)]
+        assert all(abs(r.score - 1) < 1e-12 for r in got)
