@@ -85,7 +85,7 @@ def find(text: str | None) -> list[tuple[str, int, int]]:
                 parts = list(re.finditer(r"[0-9]+", chain.group())) if (chain := DOTTED.match(text, at)) else []
                 ip_end = chain.end()
                 for k in range(0, len(parts) - 3, 4):
-                    if all(len(p.group().lstrip("0")) <= 3 and int(p.group()) <= 255 for p in parts[k : k + 4]):
+                    if all(len(p.group().lstrip("0")) <= 3 and int(p.group().lstrip("0") or "0") <= 255 for p in parts[k : k + 4]):
                         spans["ip"].append((at + parts[k].start(), at + parts[k + 3].end()))
             if at >= card_end:
                 run = DIGITS.match(text, at)

@@ -75,3 +75,10 @@ def test_frame(spark):
     assert sorted(pii.mask(df).collect(), key=str)[-1].text in ("é <EMAIL>", "", None)
     assert {r.text for r in pii.mask(df).collect()} == {None, "", "é <EMAIL>"}
     assert pii.mask(df).columns == df.columns
+
+
+def test_very_long_parts_of_dotted_numbers():
+    zeros = "0" * 5000
+    assert ("ip", 0, len(zeros) + 7) in pii.find(zeros + "1.2.3.4")
+    assert ("ip", 0, len(zeros) + 6) in pii.find("1.2.3." + zeros)
+    assert [s for s in pii.find(zeros + "256.2.3.4") if s[0] == "ip"] == []
