@@ -209,8 +209,9 @@ def linked(pairs: DataFrame, table: DataFrame, docs: DataFrame, width: int, perc
 
 
 def join(docs: DataFrame, width: int, percent: int) -> DataFrame:
-    """doc_id, mark (of the text), n_shingles, node (of equal sets), component_id and links of every row.
+    """doc_id, mark (of the text), n_shingles, node (of equal sets), comp, component_id and links of every row.
 
+    `comp` is the component's own label, its smallest node (null for an empty set); ids may occur in several components.
     `links` counts the links that were found between the row's node and others; links inside
     a component that other links had already joined are not looked for.
     """
@@ -274,9 +275,9 @@ def join(docs: DataFrame, width: int, percent: int) -> DataFrame:
     named = classes.join(comps, "node", "left").withColumn("comp", F.coalesce("comp", "node"))
     smallest = named.groupBy("comp").agg(F.min("least").alias("component_id"))
     of_node = named.join(smallest, "comp").join(ends, "node", "left").select(
-        F.col("node").alias("_node"), "component_id", F.coalesce("links", F.lit(0)).alias("links"))
+        F.col("node").alias("_node"), "comp", "component_id", F.coalesce("links", F.lit(0)).alias("links"))
     return result.join(of_node, F.col("node") == F.col("_node"), "left").select(
-        "doc_id", "mark", "n_shingles", "node",
+        "doc_id", "mark", "n_shingles", "node", "comp",
         F.when(F.col("n_shingles") == 0, F.col("doc_id")).otherwise(F.col("component_id")).alias("component_id"),
         F.coalesce("links", F.lit(0)).cast("long").alias("links"))
 
@@ -288,14 +289,14 @@ def keep_one(docs: DataFrame, width: int = 5, percent: int = 80) -> DataFrame:
     stays, once. Components whose rows have no id at all leave the row of the lowest hash.
     """
     found = join(docs, width, percent).where("n_shingles > 0")
-    marked = found.select("doc_id", "mark", "component_id", F.coalesce("component_id", "node").alias("group"))
-    keepers = marked.where(F.col("doc_id").eqNullSafe(F.col("component_id")))
-    first = keepers.groupBy("group", "doc_id").agg(F.min("mark").alias("lowest"), F.count(F.lit(1)).alias("rows"))
-    m, f = marked.distinct().alias("m"), first.alias("f")
+    marked = stage(found.groupBy("comp", "doc_id", "mark").agg(F.count(F.lit(1)).alias("rows")), "marked")
+    lowest = F.min(F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "mark", "rows")).alias("lowest")
+    first = stage(marked.groupBy("comp").agg(lowest).select("comp", "lowest.doc_id", "lowest.mark", "lowest.rows"), "first")
+    m, f = marked.alias("m"), first.alias("f")
     gone = stage(
-        m.join(f, (F.col("m.group") == F.col("f.group")) & F.col("m.doc_id").eqNullSafe(F.col("f.doc_id"))
-               & (F.col("m.mark") == F.col("f.lowest")), "left_anti").select("doc_id", "mark").distinct(), "gone")
-    twice = stage(first.where("rows > 1").select("doc_id", F.col("lowest").alias("mark")).distinct(), "twice")
+        m.join(f, (F.col("m.comp") == F.col("f.comp")) & F.col("m.doc_id").eqNullSafe(F.col("f.doc_id"))
+               & (F.col("m.mark") == F.col("f.mark")), "left_anti").select("doc_id", "mark"), "gone")
+    twice = stage(first.where("rows > 1").select("doc_id", "mark"), "twice")
     d = docs.withColumn("_mark", F.xxhash64("text")).alias("d")
 
     def same(other: str):

@@ -10,8 +10,8 @@ Every stage works on all rows its predecessor kept. The first four return the co
    which a source's budget ends comes with its first words only.
 5. tokens: ids of the whole text, and the digests that prove the way there and back.
 
-Null texts and texts without letters end at the first stage. Rows with a null id stay, as
-rows of their own. Columns beyond those of `documents` are carried along until the last stage.
+Null texts and texts without letters end at the first stage. Rows with a null id take
+part like any other. Columns beyond those of `documents` are carried along until the last stage.
 """
 
 from __future__ import annotations

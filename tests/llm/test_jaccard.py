@@ -95,3 +95,17 @@ def test_edges(spark):
     assert sorted(((r.doc_id, (r.text or "")[:9]) for r in kept.collect()), key=str) == sorted(
         [(1, ""), (2, ""), (3, " \n\t"), (4, "one"), (6, "one two"), (8, long[:9]), (None, "alone her"), (11, "é É one"), (None, "")], key=str)
     assert jaccard.join(docs.limit(0), 3, 90).count() == 0
+
+
+def test_one_row_of_each_component_stays(spark):
+    a, b, c = (" ".join(f"{x}{i}" for i in range(100)) for x in "abc")
+    for rows, expected in (
+        ([(5, a), (5, b), (7, b + " x")], [(5, a), (5, b)]),  # one id in two components, the smallest of both
+        ([(5, b), (5, a), (7, a + " x"), (5, a)], [(5, a), (5, b)]),
+        ([(5, a), (6, a + " x"), (None, a + " y"), (None, b)], [(5, a), (None, b)]),
+    ):
+        kept = jaccard.keep_one(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+        assert sorted(((r.doc_id, r.text) for r in kept), key=str) == sorted(expected, key=str)
+    # near copies without any id: one of them stays
+    kept = jaccard.keep_one(spark.createDataFrame([(None, c), (None, c + " x"), (None, c + " y"), (None, a)], "doc_id long, text string")).collect()
+    assert sorted(r.text[:2] for r in kept) == ["a0", "c0"]
