@@ -6,12 +6,15 @@ QUERIES: dict = {}
 EXPECTED: dict[str, str] = {}
 
 
-def query(name: str, expected: str | None = None):
-    """Register a query of this subpackage and, where SQL can state it, its expected result."""
+def query(name: str, expected: str | None = None, exact: bool = False):
+    """Register a query of this subpackage and, where SQL can state it, its expected result.
+
+    `exact` results keep their types and every digit.
+    """
     def register(run):
         if name in QUERIES:
             raise ValueError(f"query {name} is registered twice")
-        QUERIES[name] = lambda spark, folder: portable(run(spark, folder))
+        QUERIES[name] = run if exact else lambda spark, folder: portable(run(spark, folder))
         if expected is not None:
             EXPECTED[name] = expected
         return run
