@@ -29,6 +29,12 @@ from chartloom.llm.catalog import query
 from chartloom.llm.common import documents
 
 DEAD = -1
+_BITS = 28  # of a token and of a node in a packed entry
+_LOW = (1 << _BITS) - 1
+
+
+def _entry(parent: int, token: int, node: int) -> int:
+    return ((parent + 1) << _BITS | token + 1) << _BITS | node + 1
 
 
 def read_ranks(path: str) -> dict[bytes, int]:
@@ -37,10 +43,10 @@ def read_ranks(path: str) -> dict[bytes, int]:
         return {base64.b64decode(token): int(rank) for token, rank in map(bytes.split, lines)}
 
 
-def merge_pairs(ranks: dict[bytes, int], piece: bytes) -> list[int]:
-    """The definition: again and again join the leftmost pair of the lowest rank."""
+def merge_pairs(ranks: dict[bytes, int], piece: bytes, until: int = 1) -> list[int]:
+    """The definition: again and again join the leftmost pair of the lowest rank, until so few parts are left."""
     parts = [piece[i : i + 1] for i in range(len(piece))]
-    while len(parts) > 1:
+    while len(parts) > until:
         best, at = min(((ranks.get(a + b, 1 << 60), i) for i, (a, b) in enumerate(zip(parts, parts[1:]))))
         if best == 1 << 60:
             break
@@ -51,14 +57,14 @@ def merge_pairs(ranks: dict[bytes, int], piece: bytes) -> list[int]:
 class Transducer:
     """Bytes in, token ids out, one pass, tables made on demand.
 
-    A state is a tuple of entries (parent, token, node), oldest position first. Entry 0 is
-    the settled position; the other entries hang on it as a tree whose edges are tokens not
-    emitted yet. `node` is the place in the token trie of the bytes read since the position.
+    A state is a tuple of entries (parent, token, node), oldest position first, each packed
+    into one integer. Entry 0 is the settled position; the other entries hang on it as a tree
+    whose edges are tokens not emitted yet. `node` is the place in the token trie of the bytes
+    read since the position.
     """
 
-    def __init__(self, ranks: dict[bytes, int], max_states: int = 200_000, max_pairs: int = 500_000) -> None:
+    def __init__(self, ranks: dict[bytes, int], max_states: int = 200_000, max_pairs: int = 300_000) -> None:
         self.ranks, self.max_states, self.max_pairs = ranks, max_states, max_pairs
-        self.token_bytes = {rank: token for token, rank in ranks.items()}
         self.trie: dict[int, int] = {}
         self.token_at: list[int] = [DEAD]
         for token, rank in ranks.items():
@@ -68,78 +74,121 @@ class Transducer:
                 if node == len(self.token_at):
                     self.token_at.append(DEAD)
             self.token_at[node] = rank
-        self.pairs: dict[tuple[int, int], bool] = {}
+        # the two tokens that the last merge of a token's own bytes joins; a token that they do not merge to has none
+        self.halves: dict[int, tuple[int, int]] = {}
+        self.joined: dict[tuple[int, int], int] = {}
+        for token, rank in ranks.items():
+            if len(token) > 1 and len(parts := merge_pairs(ranks, token, until=2)) == 2 and ranks[token] == rank:
+                self.halves[rank] = parts[0], parts[1]
+                self.joined[parts[0], parts[1]] = rank
+        self.single = {ranks[t] for t in ranks if len(t) == 1}
+        self.pairs: dict[int, bool] = {}
         self._forget()
 
     def _forget(self) -> None:
-        start = ((DEAD, DEAD, 0),)
-        self.states: list[tuple] = [start]
+        start = (_entry(DEAD, DEAD, 0),)
+        self.states: list[tuple[int, ...]] = [start]
         self.number = {start: 0}
         self.steps: dict[int, tuple[int, tuple[int, ...]]] = {}
         self.finals: dict[int, tuple[int, ...]] = {}
 
+    def _apart(self, left: int, right: int) -> bool:
+        """Whether no merge ever joins bytes of two neighbouring tokens.
+
+        The merges that made them are undone, the latest first. Two parts that meet at the
+        border would have been joined if their merge comes before the one just undone.
+        """
+        before = len(self.token_at) + 1
+        while True:
+            if self.joined.get((left, right), before) < before:
+                return False
+            undo_left = left > right
+            if (left if undo_left else right) in self.single:
+                undo_left = not undo_left
+                if (left if undo_left else right) in self.single:
+                    return True
+            if undo_left:
+                before, left = left, self.halves[left][1]
+            else:  # of equal merges the one further left comes first
+                before, right = right + 1, self.halves[right][0]
+
     def _fits(self, left: int, right: int) -> bool:
         """Whether `right` may follow `left` (DEAD: stand first)."""
-        known = self.pairs.get((left, right))
+        known = self.pairs.get((left + 1) << 32 | right)
         if known is None:
             if len(self.pairs) >= self.max_pairs:
                 self.pairs.clear()
-            expected = [right] if left == DEAD else [left, right]
-            known = merge_pairs(self.ranks, b"".join(self.token_bytes[t] for t in expected)) == expected
-            if known and left != DEAD:  # a token that its own bytes do not merge to never occurs
-                known = self._fits(DEAD, right)
-            self.pairs[left, right] = known
+            known = (right in self.halves or right in self.single) and (left == DEAD or self._apart(left, right))
+            self.pairs[(left + 1) << 32 | right] = known
         return known
 
-    def _step(self, state: tuple, byte: int) -> tuple[tuple, tuple[int, ...]]:
-        entries, last = [], None
-        for i, (parent, token, node) in enumerate(state):
-            node = self.trie.get(node << 8 | byte, DEAD) if node != DEAD else DEAD
-            entries.append((parent, token, node))
-            if last is None and node != DEAD:
-                found = self.token_at[node]
-                if found != DEAD and self._fits(token, found):
-                    last = (i, found, 0)
-        if last is None:
+    def _step(self, state: tuple[int, ...], byte: int) -> tuple[tuple[int, ...], tuple[int, ...]]:
+        parents = [(e >> 2 * _BITS) - 1 for e in state]
+        tokens = [(e >> _BITS & _LOW) - 1 for e in state]
+        nodes = [(e & _LOW) - 1 for e in state]
+        trie, token_at, alive, n = self.trie.get, self.token_at, [], len(nodes)
+        owner = DEAD
+        for i, node in enumerate(nodes):
+            if node != DEAD:
+                nodes[i] = node = trie(node << 8 | byte, DEAD)
+                if node != DEAD:
+                    alive.append(i)
+                    found = token_at[node]
+                    if owner == DEAD and found != DEAD and self._fits(tokens[i], found):
+                        owner = i
+                        parents.append(i)
+                        tokens.append(found)
+        if owner == DEAD:
             raise ValueError(f"no token ends at byte {byte}: the vocabulary lacks single bytes")
-        entries.append(last)
-        needed = [False] * len(entries)
-        for i in range(len(entries) - 1, 0, -1):
-            if needed[i] or entries[i][2] != DEAD:
-                needed[i] = needed[entries[i][0]] = True
+        nodes.append(0)
+        alive.append(n)
+        # positions are needed that may still go on, and those that lead to them
+        children = [0] * (n + 1)  # of a needed position the only needed child; DEAD: several
+        needed = [False] * (n + 1)
+        for i in alive:
+            while i and not needed[i]:
+                needed[i] = True
+                parent = parents[i]
+                children[parent] = DEAD if children[parent] else i
+                i = parent
         root, emitted = 0, []
-        while entries[root][2] == DEAD:  # the settled position is of no more use: move on while only one way leads on
-            children = [i for i in range(root + 1, len(entries)) if needed[i] and entries[i][0] == root]
-            if len(children) > 1:
-                break
-            root = children[0]
-            emitted.append(entries[root][1])
-        place, kept = {root: 0}, [(DEAD, entries[root][1] if entries[root][2] != DEAD else DEAD, entries[root][2])]
-        for i in range(root + 1, len(entries)):
-            if needed[i] and entries[i][0] in place:
-                place[i] = len(kept)
-                kept.append((place[entries[i][0]], *entries[i][1:]))
+        while nodes[root] == DEAD and children[root] != DEAD:  # the settled position is of no more use: move on while only one way leads on
+            root = children[root]
+            emitted.append(tokens[root])
+        place = {root: 0}
+        kept = [_entry(DEAD, DEAD if nodes[root] == DEAD else tokens[root], nodes[root])]
+        for i in range(root + 1, n + 1):
+            if needed[i] and parents[i] in place:
+                place[i] = len(place)
+                kept.append(_entry(place[parents[i]], tokens[i], nodes[i]))
         return tuple(kept), tuple(emitted)
 
-    def _rest(self, state: tuple) -> tuple[int, ...]:
+    def _rest(self, state: tuple[int, ...]) -> tuple[int, ...]:
         """At the end of the input the newest position is the one that counts."""
         tokens, i = [], len(state) - 1
         while i:
-            tokens.append(state[i][1])
-            i = state[i][0]
+            tokens.append((state[i] >> _BITS & _LOW) - 1)
+            i = (state[i] >> 2 * _BITS) - 1
         return tuple(reversed(tokens))
 
     def encode(self, piece: bytes) -> list[int]:
-        if len(self.states) > self.max_states:
-            self._forget()
         out: list[int] = []
         steps, at = self.steps, 0
         for byte in piece:
             step = steps.get(at << 8 | byte)
             if step is None:
                 state, emitted = self._step(self.states[at], byte)
-                to = self.number.setdefault(state, len(self.states))
-                if to == len(self.states):
+                to = self.number.get(state)
+                if to is None:
+                    if len(self.states) >= self.max_states:  # made again as they are met again; the present one stays
+                        self._forget()
+                        steps = self.steps
+                        at = self.number.setdefault(state, len(self.states))
+                        if at == len(self.states):
+                            self.states.append(state)
+                        out += emitted
+                        continue
+                    to = self.number[state] = len(self.states)
                     self.states.append(state)
                 step = steps[at << 8 | byte] = to, emitted
             at, emitted = step
@@ -153,48 +202,65 @@ class Transducer:
 
 
 class Encoder:
-    """Whole texts to ids: the split pattern, then the transducer, with pieces seen lately remembered."""
+    """Whole texts to ids: the split pattern, then the transducer, with pieces seen lately remembered.
 
-    def __init__(self, ranks: dict[bytes, int], pattern: str, max_pieces: int = 300_000) -> None:
+    Pieces are remembered in two halves; when the newer one is full, the older one goes.
+    """
+
+    def __init__(self, ranks: dict[bytes, int], pattern: str, max_pieces: int = 200_000) -> None:
         self.transducer, self.find = Transducer(ranks), regex.compile(pattern).findall
         self.known: dict[str, bytes] = {}
-        self.max_pieces = max_pieces
+        self.older: dict[str, bytes] = {}
+        self.half = max_pieces // 2
 
     def _piece(self, piece: str) -> bytes:
-        raw = piece.encode()
-        whole = self.transducer.ranks.get(raw)
-        ids = [whole] if whole is not None else self.transducer.encode(raw)
-        packed = np.array(ids, "<u4").tobytes()
-        if len(self.known) >= self.max_pieces:
-            self.known.clear()
+        packed = self.older.get(piece)
+        if packed is None:
+            raw = piece.encode()
+            whole = self.transducer.ranks.get(raw)
+            ids = [whole] if whole is not None else self.transducer.encode(raw)
+            packed = np.array(ids, "<u4").tobytes()
         if len(piece) <= 64:
+            if len(self.known) >= self.half:
+                self.known, self.older = {}, self.known
             self.known[piece] = packed
         return packed
 
     def packed(self, text: str | None) -> bytes:
         """The ids as little-endian unsigned 32-bit integers."""
-        get, miss = self.known.get, self._piece
-        return b"".join([get(p) or miss(p) for p in self.find(text)]) if text else b""
+        if not text:
+            return b""
+        pieces = self.find(text)
+        found = list(map(self.known.get, pieces))
+        if None in found:
+            miss = self._piece
+            found = [known or miss(piece) for known, piece in zip(found, pieces)]
+        return b"".join(found)
 
     def ids(self, text: str | None) -> list[int]:
         return np.frombuffer(self.packed(text), "<u4").tolist()
 
 
 class Decoder:
-    """Ids to bytes, and to text piece by piece as ids arrive.
+    """Ids to text as they arrive.
 
-    The state between calls is what an incremental UTF-8 machine keeps: up to three bytes of
-    a character that is not complete yet. Malformed bytes become U+FFFD.
+    The state between calls is that of an incremental UTF-8 machine: up to three bytes of a
+    character that is not complete yet. Malformed bytes become U+FFFD.
     """
 
     def __init__(self, ranks: dict[bytes, int]) -> None:
-        self.token = {rank: token for token, rank in ranks.items()}
+        tokens = [b""] * (1 + max(ranks.values(), default=0))
+        for token, rank in ranks.items():
+            tokens[rank] = token
+        self.tokens = pa.array(tokens, pa.large_binary())
         self.machine = codecs.getincrementaldecoder("utf-8")("replace")
 
-    def raw(self, ids: Iterable[int]) -> bytes:
-        return b"".join(map(self.token.__getitem__, ids))
+    def raw(self, ids: Iterable[int] | np.ndarray) -> bytes:
+        taken = self.tokens.take(pa.array(ids if isinstance(ids, np.ndarray) else list(ids), pa.int64()))
+        data = taken.buffers()[2]
+        return data.to_pybytes() if data is not None else b""
 
-    def feed(self, ids: Iterable[int]) -> str:
+    def feed(self, ids: Iterable[int] | np.ndarray) -> str:
         return self.machine.decode(self.raw(ids))
 
     def finish(self) -> str:
@@ -202,6 +268,12 @@ class Decoder:
         self.machine.reset()
         return rest
 
+    def stream(self, ids: np.ndarray, step: int = 65_536) -> Iterator[str]:
+        """The text of whole ids in parts of `step` ids, as a reader of a stream would get it."""
+        for lo in range(0, len(ids), step):
+            yield self.feed(ids[lo : lo + step].astype(np.int64))
+        yield self.finish()
+
 
 _TOOLS: dict[tuple[str, str], tuple[Encoder, Decoder]] = {}  # of this worker process, by file and pattern
 
@@ -218,7 +290,7 @@ def encode(df: DataFrame, path: str, pattern: str, keep: tuple[str, ...] = ("doc
     """`keep`, then n_tokens, ids (if asked for), ids_sha256, decoded_sha256 of each row's whole text.
 
     The rank file must be at `path` on every executor. The decoded bytes are made from the
-    ids, so the last column proves the round trip.
+    ids by the streaming decoder, so the last column proves the round trip.
     """
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder, decoder = _tools(path, pattern)
@@ -232,7 +304,10 @@ def encode(df: DataFrame, path: str, pattern: str, keep: tuple[str, ...] = ("doc
                     lists.append(ids.astype(np.int32))
                 counts.append(len(ids))
                 digests.append(sha(packed).hexdigest())
-                decoded.append(sha(decoder.raw(ids.tolist())).hexdigest())
+                back = sha()
+                for part in decoder.stream(ids):
+                    back.update(part.encode())
+                decoded.append(back.hexdigest())
             columns = [batch.column(i) for i in range(len(keep))] + [pa.array(counts, pa.int64())]
             if with_ids:
                 columns.append(pa.array(lists, pa.list_(pa.int32())))
