@@ -131,6 +131,21 @@ def feed_messages(events: DataFrame) -> DataFrame:
     )
 
 
+FEED_BATCHES = 3
+
+
+def feed_batch(spark: SparkSession, folder: str, n: int) -> DataFrame:
+    """The messages of the days that batch `n` of the feed brings; its last day is the first one of the next batch."""
+    events = table(spark, folder, "events")
+    day = F.col("ts").cast("date")
+    span = events.agg(F.min(day).alias("first"), (F.datediff(F.max(day), F.min(day)) + 1).alias("days")).first()
+    if span["first"] is None:
+        return feed_messages(events).select("value")
+    since = F.datediff(day, F.lit(span["first"]))
+    own = events.where(since.between(n * span["days"] // FEED_BATCHES, (n + 1) * span["days"] // FEED_BATCHES))
+    return feed_messages(own).select("value")
+
+
 def chart_daily(spark: SparkSession, folder: str) -> DataFrame:
     """One entry per day, event type and user: best position and streams of the day."""
     events = keyed_events(table(spark, folder, "events"))

@@ -56,7 +56,13 @@ _CTES: dict[str, tuple[tuple[str, ...], str]] = {
         " ORDER BY ingestion_ts DESC NULLS LAST,"
         f' {dedup_order("artist", "streams", "title", "track_id", "trend", "url")}) = 1'
     )),
-    # the feed run as one micro-batch: one arrival time for all rows, messages cut in the middle are lost
+    # the feed comes in three batches of consecutive days; the last day of one is the first of the next
+    "feed_batches": ((), (
+        "SELECT CAST(b AS BIGINT) AS batch_id, first_day + CAST(b * n_days // 3 AS INTEGER) AS first_of,"
+        " first_day + CAST((b + 1) * n_days // 3 AS INTEGER) AS last_of FROM (SELECT min(CAST(ts AS DATE)) AS first_day,"
+        " date_diff('day', min(CAST(ts AS DATE)), max(CAST(ts AS DATE))) + 1 AS n_days FROM events), range(3) t(b)"
+    )),
+    # a day's rows arrive together, with one arrival time in each batch; messages cut in the middle are lost
     "batch_cleaned": (("kept",), (
         "SELECT * EXCLUDE (ingestion_ts, event_id), year(chart_date) AS year, month(chart_date) AS month,"
         " CAST(date_trunc('month', chart_date) AS DATE) AS month_start FROM kept WHERE event_id % 37 <> 9"
@@ -68,6 +74,13 @@ _CTES: dict[str, tuple[tuple[str, ...], str]] = {
         + dedup_order("artist", "chart", "month", "month_start", "rank", "streams", "title", "trend", "url", "year")
         + ") = 1"
     )),
+    "stream_entries": (("stream_silver", "feed_batches"), (
+        "SELECT s.*, (SELECT min(batch_id) FROM feed_batches WHERE s.chart_date BETWEEN first_of AND last_of) AS batch_id FROM stream_silver s"
+    )),
+    "stream_recent": (("stream_entries",), (
+        "SELECT * FROM stream_entries ORDER BY batch_id DESC, " + dedup_order("chart_date", "region", "chart", "rank", "artist", "title", "streams")
+        + " LIMIT 100"
+    )),
     "chart_daily": (("keyed",), (
         "SELECT CAST(user_id AS VARCHAR) AS track_id, 'Title ' || user_id AS title,"
         " 'Artist ' || (user_id % 40) AS artist, event_type AS region, CAST(ts AS DATE) AS chart_date,"

@@ -1,4 +1,4 @@
-"""Streaming queries: the event table as an unbounded feed, worked off and stopped."""
+"""Streaming queries: the event table as an unbounded feed, worked off in several batches, with a restart and a replay."""
 
 from pyspark.sql import functions as F
 
@@ -9,34 +9,43 @@ from chartloom.registered.catalog import query
 from chartloom.registered.expected import expect
 from chartloom.registry import Lake
 from chartloom.sinks.staging import staging_path
-from chartloom.sources.feed import file_stream, parse_messages
+from chartloom.sources.feed import file_feed, file_stream, parse_messages
 from chartloom.sources.files import load_gold, read_table
 from chartloom.streaming import consumer, microbatch
 
+FILES = 4  # that each batch of the feed consists of
+
+
 def _events(spark, folder):
     return file_stream(spark, f"{folder}/events.parquet", bindings.TABLES["events"])
 
 
-def _consumed(spark, folder) -> Lake:
-    """A lake into which the whole feed has run."""
-    lake = Lake(staging_path(spark, "feed"))
-    messages = bindings.feed_messages(_events(spark, folder)).select("value")
-    consumer.start_chart_feed(messages, lake, trigger=None).awaitTermination()
+def _consumed(spark, folder, sink=None) -> Lake:
+    """A lake into which the whole feed has run: two triggers under a rate limit, a restart for the third, the second once more."""
+    lake, source = Lake(staging_path(spark, "feed")), staging_path(spark, "feed-files")
+    sink = sink or microbatch.ChartSink(lake)
+    sink.lake = lake
+    batches = [bindings.feed_batch(spark, folder, n) for n in range(bindings.FEED_BATCHES)]
+    for n, messages in enumerate(batches):
+        messages.repartition(FILES).write.mode("append").text(source)
+        if n:
+            consumer.start_chart_feed(file_feed(spark, source, max_files=FILES), lake, sink, trigger=None).awaitTermination()
+    sink(parse_messages(batches[1]), 1)
     return lake
 
 
-@query("stream_cleaned", expect("stream_silver", (
+@query("stream_cleaned", expect("stream_entries", (
     'SELECT title, CAST("rank" AS BIGINT) AS "rank", artist, url, region, chart, trend, streams, track_id,'
     " CAST(chart_date AS VARCHAR) AS chart_date, year, month, CAST(month_start AS VARCHAR) AS month_start,"
-    " CAST(0 AS BIGINT) AS batch_id FROM stream_silver"
+    " batch_id FROM stream_entries"
 )))
 def stream_cleaned(spark, folder):
     return read_table(spark, _consumed(spark, folder), "silver.charts_streaming").drop("ingestion_ts")
 
 
-@query("stream_bronze", expect("feed", (
-    'SELECT title, "rank", date, artist, url, region, chart, trend, streams, CAST(0 AS BIGINT) AS batch_id'
-    " FROM feed WHERE event_id % 37 <> 9"
+@query("stream_bronze", expect("feed feed_batches", (
+    'SELECT title, "rank", date, artist, url, region, chart, trend, streams, batch_id'
+    " FROM feed JOIN feed_batches ON CAST(ingestion_ts AS DATE) BETWEEN first_of AND last_of WHERE event_id % 37 <> 9"
 )))
 def stream_bronze(spark, folder):
     return read_table(spark, _consumed(spark, folder), "bronze.charts_streaming").drop("ingestion_ts")
@@ -52,11 +61,46 @@ def incremental_totals(spark, folder):
     )
 
 
+@query("totals_as_of_batch", expect("stream_entries", (
+    "SELECT artist, CAST(month_start AS VARCHAR) AS month_start, CAST(sum(streams) AS BIGINT) AS monthly_streams,"
+    " count(*) AS chart_entries FROM stream_entries WHERE streams IS NOT NULL AND batch_id <= 1 GROUP BY artist, month_start"
+)))
+def totals_as_of_batch(spark, folder):
+    """The streaming leaderboard as it was served after the second batch."""
+    return load_gold(spark, _consumed(spark, folder), "top_artists_streaming", version=1).select(
+        "artist", "month_start", "monthly_streams", "chart_entries"
+    )
+
+
 @query("recomputed_totals", expect("stream_totals", f"{_TOTAL_ROWS} FROM stream_totals"))
 def recomputed_totals(spark, folder):
     return microbatch.recompute_totals(read_table(spark, _consumed(spark, folder), "silver.charts_streaming"))
 
 
+@query("recleaned_batch", expect("stream_entries", (
+    "SELECT batch_id, count(*) AS entries, CAST(sum(coalesce(streams, 0)) AS BIGINT) AS streams,"
+    " CASE WHEN batch_id = 1 THEN 'recovered' ELSE 'never failed' END AS state FROM (SELECT * EXCLUDE (batch_id),"
+    " coalesce((SELECT min(f.batch_id) FROM feed_batches f WHERE f.batch_id <> 1 AND s.chart_date BETWEEN first_of AND last_of), 1) AS batch_id"
+    " FROM stream_entries s) GROUP BY batch_id"
+)))
+def recleaned_batch(spark, folder):
+    """The second batch cannot be cleaned, is left out, and comes in from bronze after the third; entries by batch."""
+    built = []
+
+    def clean(raw):
+        built.append(raw)
+        entries = microbatch.transform_charts(raw)
+        return entries.withColumn("title", F.raise_error(F.lit("no such title"))) if len(built) == 2 else entries
+
+    sink = microbatch.ChartSink(Lake(""), clean=clean)
+    lake = _consumed(spark, folder, sink)
+    sink.reclean(spark)
+    states = microbatch.ledger(spark, lake).select("batch_id", "state")
+    entries = read_table(spark, lake, "silver.charts_streaming").groupBy("batch_id").agg(
+        F.count(F.lit(1)).alias("entries"), F.sum(F.coalesce("streams", F.lit(0))).alias("streams"))
+    return entries.join(F.broadcast(states), "batch_id", "left").withColumn("state", F.coalesce("state", F.lit("never failed")))
+
+
 @query("live_top10", expect("stream_totals", (
     "SELECT artist, CAST(sum(monthly_streams) AS BIGINT) AS streams FROM stream_totals GROUP BY artist"
     " ORDER BY streams DESC NULLS LAST, artist LIMIT 10"
@@ -65,21 +109,28 @@ def live_top10(spark, folder):
     return serving.live_top10(load_gold(spark, _consumed(spark, folder), "top_artists_streaming"))
 
 
-@query("stream_recent_100", expect("stream_silver", (
+@query("stream_recent_100", expect("stream_recent", (
     'SELECT artist, title, region, chart, CAST("rank" AS BIGINT) AS "rank", streams,'
-    " CAST(chart_date AS VARCHAR) AS chart_date FROM stream_silver"
-    ' ORDER BY stream_silver.chart_date NULLS LAST, region NULLS LAST, chart NULLS LAST, stream_silver."rank" NULLS LAST,'
-    " artist NULLS LAST, title NULLS LAST, streams NULLS LAST LIMIT 100"
+    " CAST(chart_date AS VARCHAR) AS chart_date FROM stream_recent"
 )))
 def stream_recent_100(spark, folder):
-    recent = microbatch.latest_snapshot(load_gold(spark, _consumed(spark, folder), "recent_submissions"))
-    return recent.drop("batch_id", "ingestion_ts")
+    return load_gold(spark, _consumed(spark, folder), "recent_submissions").drop("batch_id", "ingestion_ts")
 
 
-@query("stream_batch_metrics", (
-    "SELECT CAST(0 AS BIGINT) AS batch_id, count(*) AS rows, count(*) AS bronze_total_rows, TRUE AS timed"
-    " FROM events WHERE event_id % 37 <> 9"
-))
+@query("recent_rows_served", expect("stream_recent", (
+    "SELECT artist, title, region, chart, '#' || \"rank\" AS \"rank\", coalesce(format('{:,}', streams), '—') AS streams,"
+    " CAST(chart_date AS VARCHAR) AS chart_date FROM stream_recent"
+    ' ORDER BY batch_id DESC, stream_recent.chart_date, region, chart, stream_recent."rank", artist, title LIMIT 20'
+)))
+def recent_rows_served(spark, folder):
+    """The page's newest rows, from the table that serves them."""
+    return serving.recent_rows(load_gold(spark, _consumed(spark, folder), "recent_submissions")).drop("ingestion_ts")
+
+
+@query("stream_batch_metrics", expect("feed feed_batches", (
+    "SELECT batch_id, count(*) AS rows, CAST(sum(count(*)) OVER (ORDER BY batch_id) AS BIGINT) AS bronze_total_rows, TRUE AS timed"
+    " FROM feed JOIN feed_batches ON CAST(ingestion_ts AS DATE) BETWEEN first_of AND last_of WHERE event_id % 37 <> 9 GROUP BY batch_id"
+)))
 def stream_batch_metrics(spark, folder):
     metrics = load_gold(spark, _consumed(spark, folder), "batch_metrics")
     timed = (F.col("processing_ms") > 0) & (F.col("throughput_rows_per_sec") > 0) & F.col("ts").isNotNull()
@@ -99,7 +150,7 @@ def stateful_totals(spark, folder):
         .where(F.col("chart_date").isNotNull())
     )
     root = staging_path(spark, "stateful")
-    totals = consumer.stateful_totals(entries, "chart_date")
+    totals = consumer.stateful_totals(entries, "chart_date", "400 days")
     consumer.start_keyed_upserts(totals, f"{root}/versions", f"{root}/checkpoint", None).awaitTermination()
     current = consumer.current_totals(
         spark.read.parquet(f"{root}/versions"), ["artist", "month_ts"], ["monthly_streams", "chart_entries"]

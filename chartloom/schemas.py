@@ -53,6 +53,11 @@ BATCH_METRICS_SCHEMA = _struct(
     "batch_id bigint, rows bigint, processing_ms double, "
     "throughput_rows_per_sec double, bronze_total_rows bigint, ts string"
 )
+BATCH_LEDGER_SCHEMA = _struct("batch_id bigint, step string, reason string, state string, entry bigint, ts timestamp")
+PROGRESS_SCHEMA = _struct(
+    "query_id string, batch_id bigint, rows bigint, processing_ms double, throughput_rows_per_sec double, ts string, "
+    "run_id string, name string"
+)
 STAGE_METRICS_SCHEMA = _struct(
     "label string, aqe boolean, wall_sec double, shuffle_partitions string"
 )

@@ -1,7 +1,5 @@
 """The unbounded chart feed: JSON messages from Kafka or from files."""
 
-import os
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -35,9 +33,11 @@ def file_stream(
     reader = spark.readStream.format(fmt).schema(schema)
     if max_files:
         reader = reader.option("maxFilesPerTrigger", str(max_files))
-    if os.path.isfile(path):
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    files = place.getFileSystem(spark._jsc.hadoopConfiguration())
+    if files.exists(place) and files.getFileStatus(place).isFile():
         # the file source watches folders; a single file is picked out by name
-        folder, name = os.path.split(path)
+        folder, _, name = path.rstrip("/").rpartition("/")
         return reader.option("pathGlobFilter", name).option("recursiveFileLookup", "true").load(folder)
     return reader.load(path)
 

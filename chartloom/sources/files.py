@@ -6,6 +6,7 @@ from pyspark.sql import types as T
 
 from chartloom import schemas
 from chartloom.registry import DATASETS, Lake
+from chartloom.sinks.batches import batch_table
 
 
 def read_csv(
@@ -68,7 +69,10 @@ def read_table(spark: SparkSession, lake: Lake, key: str) -> DataFrame:
     """A registered table; partition columns come from its folders or log.
 
     Parquet tables with a declared schema are read under it, also while they are still empty.
+    Of a table that holds a snapshot per batch, all snapshots that are kept come.
     """
+    if DATASETS[key].by_batch:
+        return batch_table(spark, lake, key).read()
     return read_stored(spark, lake.path(key), DATASETS[key].schema, lake.fmt)
 
 
@@ -87,22 +91,21 @@ def as_of(df: DataFrame, version: int | None, column: str = "batch_id") -> DataF
 def load_gold(spark: SparkSession, lake: Lake, table: str, version: int | None = None) -> DataFrame:
     """A serving table, optionally as of an earlier version.
 
-    Delta tables travel by their own version number; Parquet tables by the batch that wrote the rows.
-    Of a table that holds a snapshot per batch, the newest one (not after `version`) is served.
+    Tables of the feed travel by batch. Of one that keeps every batch's rows any batch is there;
+    one that is rewritten, or holds a snapshot per batch, has the versions above its low-water
+    mark, and an older one raises. Other tables travel by the version numbers of Delta.
     """
     key = f"gold.{table}"
+    dataset = DATASETS[key]
+    if dataset.by_batch:
+        stored = batch_table(spark, lake, key)
+        if dataset.snapshots:
+            return stored.newest(version)
+        if "batch_id" in dataset.schema.fieldNames():
+            return as_of(stored.read(), version)
+        return stored.read(live=stored.live(version))
     if version is None:
-        df = read_table(spark, lake, key)
-        return newest_snapshot(df) if DATASETS[key].snapshots else df
+        return read_table(spark, lake, key)
     if lake.fmt == "delta":
         return spark.read.format("delta").option("versionAsOf", version).load(lake.path(key))
-    df = read_table(spark, lake, key)
-    if "batch_id" not in df.columns:
-        raise ValueError(f"{key} is rewritten as a whole and keeps no earlier versions")
-    return newest_snapshot(as_of(df, version)) if DATASETS[key].snapshots else as_of(df, version)
-
-
-def newest_snapshot(df: DataFrame) -> DataFrame:
-    """The rows of the highest batch id of a table that holds a snapshot per batch."""
-    newest = df.agg(F.max("batch_id").alias("newest")).first().newest
-    return df.where(F.col("batch_id") == F.lit(newest)) if newest is not None else df.limit(0)
+    raise ValueError(f"{key} is rewritten as a whole and keeps no earlier versions")

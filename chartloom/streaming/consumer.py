@@ -8,6 +8,7 @@ from chartloom.registry import Lake
 from chartloom.sinks.tables import replace_partitions
 from chartloom.sources.feed import parse_messages
 from chartloom.streaming.microbatch import ChartSink
+from chartloom.streaming.progress import record_progress
 
 TRIGGER = "10 seconds"
 
@@ -30,7 +31,8 @@ def start_chart_feed(
 
 
 def start_consumer(messages: DataFrame, lake: Lake, trigger: str = TRIGGER) -> None:
-    """Run the feed until it is stopped."""
+    """Run the feed until it is stopped; the progress of every batch is recorded in the lake."""
+    record_progress(messages.sparkSession, lake)
     start_chart_feed(messages, lake, trigger=trigger).awaitTermination()
 
 
@@ -81,7 +83,7 @@ def current_totals(versions: DataFrame, keys: list[str], values: list[str]) -> D
 
 
 def progress_metrics(spark: SparkSession, query: StreamingQuery) -> DataFrame:
-    """The engine's own record of the query's recent batches."""
+    """What the engine still remembers of the query's batches, the latest 100 by default; `progress.records` has all."""
     rows = [
         (int(p["batchId"]), int(p["numInputRows"]), float(p["durationMs"].get("triggerExecution", 0)),
          float(p.get("processedRowsPerSecond") or 0.0), p["timestamp"])
@@ -91,5 +93,3 @@ def progress_metrics(spark: SparkSession, query: StreamingQuery) -> DataFrame:
         rows, "batch_id bigint, rows bigint, processing_ms double, throughput_rows_per_sec double, ts string"
     )
     return frame.where(F.col("rows") > 0)
-
-

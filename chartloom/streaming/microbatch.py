@@ -1,151 +1,252 @@
 """What happens to one micro-batch.
 
-`foreachBatch` may deliver a batch twice, so each step writes under the batch's own id and
-replaces what an earlier attempt of the same batch left behind. After any number of
-retries the tables hold each batch once.
+`foreachBatch` may deliver a batch twice. Every table of the feed is a table of batches
+(`sinks/batches.py`): a step that has published a batch is not repeated, one that has not
+starts anew, so after any number of retries the tables hold each batch once.
+
+A batch whose cleaning can never succeed must not stop the feed: it stays in bronze, is left
+out of the later tables and entered in the ledger, and `reclean` brings it in once the
+cleaning was mended. Errors of storage and of executors are no such case; they reach the
+query, and the batch is delivered again.
 """
 
 import time
+from collections.abc import Callable, Iterable
 from dataclasses import dataclass, field
-from datetime import date
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from chartloom import schemas
 from chartloom.functions import dates
 from chartloom.operators.cleaning import ENTRY_KEY, transform_charts
-from chartloom.operators.shaping import top_k
-from chartloom.registry import DATASETS, Lake
-from chartloom.sinks.tables import ensure_table, new_rows, replace_partitions, stamp_ingestion
+from chartloom.operators.shaping import keep_latest, top_k
+from chartloom.registry import Lake
+from chartloom.sinks.batches import BatchTable, batch_table
+from chartloom.sinks.tables import new_rows, stamp_ingestion
 from chartloom.sources.files import read_table
 
 # The identity of a feed entry, and how many entries "recent" means.
 MERGE_KEY = ["track_id", "chart_date", "region"]
 RECENT_ROWS = 100
 RECENT_COLUMNS = ["ingestion_ts", "artist", "title", "region", "chart", "rank", "streams", "chart_date"]
-FEED_TABLES = [
-    "bronze.charts_streaming", "silver.charts_streaming", "gold.top_artists_partials",
-    "gold.top_artists_streaming", "gold.recent_submissions", "gold.batch_metrics",
-]
+LATER_TABLES = ["silver.charts_streaming", "gold.top_artists_partials", "gold.top_artists_streaming", "gold.recent_submissions"]
+FEED_TABLES = ["bronze.charts_streaming", *LATER_TABLES, "gold.batch_metrics", "silver.batch_ledger"]
+FAILED, RECOVERED = "failed", "recovered"
+
+
+class CleaningError(Exception):
+    """The cleaning of a batch could not even be stated as a plan."""
 
 
 @dataclass
 class ChartSink:
-    """Callable for `foreachBatch`: bronze, cleaning, upsert, two incremental marts, metrics."""
+    """Callable for `foreachBatch`: bronze, cleaning, upsert, two incremental marts, metrics.
+
+    `clean` turns raw rows into entries; it defaults to `transform_charts` on `entry_key`.
+    """
 
     lake: Lake
     entry_key: list[str] = field(default_factory=lambda: list(ENTRY_KEY))
-    _created: bool = False
-    _last: tuple[int, int, int] | None = None  # batch id, bronze rows before it, bronze rows after it
-    _snapshot: int | None = None  # batch id of the newest list of recent entries
+    clean: Callable[[DataFrame], DataFrame] | None = None
+    _tables: dict[str, BatchTable] = field(default_factory=dict)
 
     def __call__(self, batch: DataFrame, batch_id: int) -> None:
         spark, started = batch.sparkSession, time.perf_counter()
         self.create_tables(spark)
-        rows, months = self.write_bronze(batch, batch_id)
+        rows, months, total = self.write_bronze(batch, batch_id)
         if rows == 0:
             return
-        # an error here must reach the query: the batch is then delivered again and replaces what it left behind
-        fresh = self.merge_silver(spark, months, batch_id)
-        self.update_totals(spark, fresh, months, batch_id)
-        self.update_recent(spark, fresh, batch_id)
-        self.write_metrics(spark, batch_id, rows, (time.perf_counter() - started) * 1000)
+        if batch_id in self._tables[LATER_TABLES[0]].live().skipped:
+            self.pass_over(batch_id)  # left out before; `reclean` brings it in
+        else:
+            try:
+                self.apply(spark, batch_id, months)
+            except Exception as error:
+                reason = lasting_reason(error)
+                if reason is None:
+                    raise
+                self.enter(spark, batch_id, reason, FAILED)
+                self.pass_over(batch_id)
+        self.write_metrics(spark, batch_id, rows, total, (time.perf_counter() - started) * 1000)
+        for table in self._tables.values():
+            table.fold()
 
     def create_tables(self, spark: SparkSession) -> None:
-        if not self._created:
-            for key in FEED_TABLES:
-                table = DATASETS[key]
-                ensure_table(spark, self.lake.path(key), table.schema, table.partition_by, self.lake.fmt)
-            self._created = True
+        if not self._tables:
+            self._tables = {key: batch_table(spark, self.lake, key) for key in FEED_TABLES}
+            for table in self._tables.values():
+                table.create()
 
-    def write_bronze(self, batch: DataFrame, batch_id: int) -> tuple[int, list[date]]:
-        """Store the batch; returns its row count and the months its dates fall in.
+    def apply(self, spark: SparkSession, batch_id: int, months: list[str]) -> None:
+        """Everything that follows bronze."""
+        fresh, touched = self.merge_silver(months, batch_id)
+        self.update_totals(fresh, touched, batch_id)
+        self.update_recent(fresh, batch_id)
 
-        Both are taken by the write itself. The months are a short list, bounded by the calendar.
+    def write_bronze(self, batch: DataFrame, batch_id: int) -> tuple[int, list[str], int]:
+        """Store the batch; returns its row count, the months its dates fall in, and all rows so far.
+
+        They are taken by the write itself. The months are a short list, bounded by the calendar.
         """
+        table = self._tables["bronze.charts_streaming"]
+        live = table.live()
+        if live.has(batch_id):
+            return self.stored(batch_id)
         stamped = stamp_ingestion(batch.drop("timestamp")).withColumn("batch_id", F.lit(batch_id).cast("bigint"))
-        month = dates.month_start(dates.parse_date("date"))
-        seen = replace_partitions(
-            stamped, self.lake.path("bronze.charts_streaming"), ("batch_id",), self.lake.fmt, sized=False,
-            counters={"months": F.collect_set(month)},
-        )
-        return seen["rows"], sorted(seen["months"])
-
-    def merge_silver(self, spark: SparkSession, months: list[date], batch_id: int) -> DataFrame:
-        """Insert the batch's new entries; returns them as read back from the table.
-
-        The batch is read from bronze, so the source is scanned once. Only the target's
-        months that occur in the batch take part in the match, and rows an earlier attempt
-        of this batch wrote do not.
+        month = dates.month_start(dates.parse_date("date")).cast("string")
+        seen = table.add(
+            stamped, batch_id, counters={"months": F.collect_set(month)},
+            note=lambda s: {"batch": batch_id, "rows": s["rows"], "months": sorted(s["months"]), "total": live.note.get("total", 0) + s["rows"]})
+        return seen["rows"], sorted(seen["months"]), live.note.get("total", 0) + seen["rows"]
+
+    def stored(self, batch_id: int) -> tuple[int, list[str], int]:
+        """The same about a batch that bronze has already: from the table's note if it is the newest one, else counted."""
+        table = self._tables["bronze.charts_streaming"]
+        note = table.live().note
+        if note.get("batch") == batch_id:
+            return note["rows"], note["months"], note["total"]
+        month = dates.month_start(dates.parse_date("date")).cast("string")
+        own = table.of_batch(batch_id).agg(F.count(F.lit(1)).alias("rows"), F.collect_set(month).alias("months")).first()
+        total = table.read().where(F.col("batch_id") <= batch_id).count()
+        return own["rows"], sorted(own["months"]), total
+
+    def cleaned(self, batch_id: int) -> DataFrame:
+        """The plan that cleans a stored batch, which is read from bronze, so that the source is scanned once."""
+        raw = self._tables["bronze.charts_streaming"].of_batch(batch_id).drop("batch_id")
+        try:
+            entries = self.clean(raw) if self.clean else transform_charts(raw, self.entry_key)
+            return entries.withColumn("month_start", dates.month_start("chart_date"))
+        except OSError:
+            raise
+        except Exception as error:
+            raise CleaningError(f"{type(error).__name__}: {error}") from error
+
+    def merge_silver(self, months: list[str], batch_id: int) -> tuple[DataFrame, list[str]]:
+        """Insert the batch's new entries; returns them as read back from the table, and their months.
+
+        Only the target's months that occur in the batch take part in the match.
         """
-        raw = read_table(spark, self.lake, "bronze.charts_streaming").where(F.col("batch_id") == batch_id)
-        cleaned = (
-            transform_charts(raw.drop("batch_id"), self.entry_key)
-            .withColumn("month_start", dates.month_start("chart_date"))
-        )
-        silver = read_table(spark, self.lake, "silver.charts_streaming")
-        target = silver.where(F.col("month_start").isin(months) & (F.col("batch_id") != batch_id))
-        rest = [c for c in sorted(cleaned.columns) if c not in MERGE_KEY]
-        inserted = new_rows(cleaned, target, MERGE_KEY, [F.col(c).asc_nulls_last() for c in rest])
-        replace_partitions(
-            inserted.withColumn("batch_id", F.lit(batch_id).cast("bigint")),
-            self.lake.path("silver.charts_streaming"), ("month_start", "batch_id"), self.lake.fmt,
-        )
-        stored = read_table(spark, self.lake, "silver.charts_streaming")
-        return stored.where(F.col("month_start").isin(months) & (F.col("batch_id") == batch_id))
-
-    def update_totals(self, spark: SparkSession, fresh: DataFrame, months: list[date], batch_id: int) -> None:
+        table = self._tables["silver.charts_streaming"]
+        if not table.live().has(batch_id):
+            cleaned = self.cleaned(batch_id)
+            target = table.read(months)
+            rest = [c for c in sorted(cleaned.columns) if c not in MERGE_KEY]
+            inserted = new_rows(cleaned, target, MERGE_KEY, [F.col(c).asc_nulls_last() for c in rest])
+            columns = [f.name for f in table.schema.fields]
+            inserted = inserted.withColumn("batch_id", F.lit(batch_id).cast("bigint")).select(*columns)
+            touched = table.add(inserted, batch_id, sized=True)["keys"]
+        else:
+            touched = [r[0] for r in table.of_batch(batch_id, months).select(F.col("month_start").cast("string")).distinct().collect()]
+        return table.of_batch(batch_id, touched), touched
+
+    def update_totals(self, fresh: DataFrame, months: list[str], batch_id: int) -> None:
         """Add the batch's artist totals, then refresh the months it touched.
 
         Each batch contributes one row per artist and month it inserted; the leaderboard of
         a month is the sum of those rows, so no batch rescans the entries of earlier ones.
         """
-        partial = artist_month_totals(fresh).withColumn("batch_id", F.lit(batch_id).cast("bigint"))
-        replace_partitions(
-            partial, self.lake.path("gold.top_artists_partials"), ("month_start", "batch_id"), self.lake.fmt,
-            sized=False,
-        )
-        partials = read_table(spark, self.lake, "gold.top_artists_partials")
-        refreshed = sum_partials(partials.where(F.col("month_start").isin(months)))
-        replace_partitions(
-            refreshed, self.lake.path("gold.top_artists_streaming"), ("month_start",), self.lake.fmt, sized=False,
-        )
-
-    def update_recent(self, spark: SparkSession, fresh: DataFrame, batch_id: int) -> None:
+        partials, totals = self._tables["gold.top_artists_partials"], self._tables["gold.top_artists_streaming"]
+        if not partials.live().has(batch_id):
+            own = artist_month_totals(fresh).withColumn("batch_id", F.lit(batch_id).cast("bigint"))
+            partials.add(own.select(*[f.name for f in partials.schema.fields]), batch_id)
+        if not totals.live().has(batch_id):
+            refreshed = sum_partials(partials.read(months))
+            totals.add(refreshed.select(*[f.name for f in totals.schema.fields]), batch_id, replace_keys=True)
+
+    def update_recent(self, fresh: DataFrame, batch_id: int) -> None:
         """Newest entries after this batch, from those before it and the batch's own."""
-        candidates = top_k(fresh, RECENT_ROWS, recent_order()).select(*RECENT_COLUMNS)
-        snapshots = read_table(spark, self.lake, "gold.recent_submissions")
-        if self._snapshot is not None and self._snapshot < batch_id:
-            previous = snapshots.where(F.col("batch_id") == self._snapshot)
-        else:  # first batch of this run, or a repeated one
-            previous = latest_snapshot(snapshots.where(F.col("batch_id") < batch_id))
-        candidates = candidates.unionByName(previous.select(*RECENT_COLUMNS))
-        recent = top_k(candidates, RECENT_ROWS, recent_order())
-        replace_partitions(
-            recent.withColumn("batch_id", F.lit(batch_id).cast("bigint")),
-            self.lake.path("gold.recent_submissions"), ("batch_id",), self.lake.fmt, sized=False,
-        )
-        self._snapshot = batch_id
-
-    def write_metrics(self, spark: SparkSession, batch_id: int, rows: int, elapsed_ms: float) -> None:
-        """One record per batch; the running bronze total is the sum of the earlier records."""
-        rate = rows / elapsed_ms * 1000 if elapsed_ms > 0 else 0.0
-        before = self.rows_before(spark, batch_id)
-        values = [batch_id, rows, round(elapsed_ms, 1), round(rate, 1), before + rows,
-                  time.strftime("%Y-%m-%dT%H:%M:%S", time.gmtime())]
-        record = spark.range(0, 1, 1, 1).select(*[
-            F.lit(v).cast(f.dataType).alias(f.name) for v, f in zip(values, schemas.BATCH_METRICS_SCHEMA.fields)
-        ])
-        replace_partitions(record, self.lake.path("gold.batch_metrics"), ("batch_id",), self.lake.fmt, sized=False)
-        self._last = (batch_id, before, before + rows)
-
-    def rows_before(self, spark: SparkSession, batch_id: int) -> int:
-        """Bronze rows of the earlier batches: remembered from the last batch, else read from the records."""
-        if self._last is not None and batch_id >= self._last[0]:
-            return self._last[1] if batch_id == self._last[0] else self._last[2]
-        earlier = read_table(spark, self.lake, "gold.batch_metrics").where(F.col("batch_id") < batch_id)
-        return earlier.agg(F.coalesce(F.sum("rows"), F.lit(0)).alias("n")).first().n
+        table = self._tables["gold.recent_submissions"]
+        if not table.live().has(batch_id):
+            candidates = top_k(fresh, RECENT_ROWS, recent_order()).select(*RECENT_COLUMNS)
+            candidates = candidates.unionByName(table.newest().select(*RECENT_COLUMNS))
+            recent = top_k(candidates, RECENT_ROWS, recent_order())
+            named = max(batch_id, table.live().batch)  # a batch that comes late makes the newest list anew
+            table.add(recent.withColumn("batch_id", F.lit(named).cast("bigint")), batch_id)
+
+    def write_metrics(self, spark: SparkSession, batch_id: int, rows: int, total: int, elapsed_ms: float) -> None:
+        """One record per batch."""
+        table = self._tables["gold.batch_metrics"]
+        if not table.live().has(batch_id):
+            rate = rows / elapsed_ms * 1000 if elapsed_ms > 0 else 0.0
+            values = [batch_id, rows, round(elapsed_ms, 1), round(rate, 1), total, time.strftime("%Y-%m-%dT%H:%M:%S", time.gmtime())]
+            table.add(_record(spark, schemas.BATCH_METRICS_SCHEMA, values), batch_id)
+
+    # --- batches that were left out ------------------------------------------------
+
+    def enter(self, spark: SparkSession, batch_id: int, reason: str, state: str) -> None:
+        """A line in the ledger; the latest one of a batch says how it stands."""
+        table = self._tables["silver.batch_ledger"]
+        entry = table.live().version
+        values = [batch_id, "cleaning", reason[:2000], state, entry]
+        record = _record(spark, schemas.BATCH_LEDGER_SCHEMA, [*values, None]).withColumn("ts", F.current_timestamp())
+        table.add(record, entry)
+
+    def pass_over(self, batch_id: int) -> None:
+        for key in LATER_TABLES:
+            if not self._tables[key].live().has(batch_id):
+                self._tables[key].skip(batch_id)
+
+    def reclean(self, spark: SparkSession, batch_ids: Iterable[int] | None = None) -> list[int]:
+        """Bring in batches that were left out, all or those named, from bronze; returns those that are in now.
+
+        May be repeated, also after it was interrupted: steps that were published are not done again.
+        """
+        self.create_tables(spark)
+        waiting = [r.batch_id for r in failed_batches(spark, self.lake).select("batch_id").orderBy("batch_id").collect()]
+        back = []
+        for batch_id in waiting if batch_ids is None else sorted(set(batch_ids) & set(waiting)):
+            try:
+                self.apply(spark, batch_id, self.stored(batch_id)[1])
+            except Exception as error:
+                reason = lasting_reason(error)
+                if reason is None:
+                    raise
+                self.enter(spark, batch_id, reason, FAILED)
+                continue
+            self.enter(spark, batch_id, "", RECOVERED)
+            back.append(batch_id)
+        for table in self._tables.values():
+            table.fold()
+        return back
+
+
+def _record(spark: SparkSession, schema, values: list) -> DataFrame:
+    return spark.range(0, 1, 1, 1).select(*[F.lit(v).cast(f.dataType).alias(f.name) for v, f in zip(values, schema.fields)])
+
+
+# What Spark's errors about rows and plans are called; they come again with every attempt.
+ROW_ERRORS = frozenset(
+    f"org.apache.spark.Spark{kind}Exception"
+    for kind in ("Arithmetic", "ArrayIndexOutOfBounds", "DateTime", "IllegalArgument", "NoSuchElement", "NumberFormat", "Runtime",
+                 "UnsupportedOperation", "Upgrade")
+) | {"org.apache.spark.api.python.PythonException", "org.apache.spark.sql.AnalysisException"}
+
+
+def lasting_reason(error: Exception) -> str | None:
+    """Why another attempt would fail in the same way; None if storage or an executor may be the cause, or nobody knows."""
+    if isinstance(error, CleaningError):
+        return str(error)
+    names, cause, told = [], getattr(error, "_origin", None), None
+    while cause is not None and len(names) < 50:
+        name = cause.getClass().getName()
+        names.append(name)
+        if name in ROW_ERRORS:
+            told = told or f"{name.rpartition('.')[2]}: {cause.getMessage()}"
+        cause = cause.getCause()
+    if any("IOException" in n or n.startswith(("java.io.", "java.net.", "java.nio.")) for n in names):
+        return None
+    return told or (f"{type(error).__name__}: {error}" if isinstance(error, AnalysisException) else None)
+
+
+def ledger(spark: SparkSession, lake: Lake) -> DataFrame:
+    """How every batch that ever failed stands now."""
+    return keep_latest(read_table(spark, lake, "silver.batch_ledger"), ["batch_id"], [F.col("entry").desc()])
+
+
+def failed_batches(spark: SparkSession, lake: Lake) -> DataFrame:
+    return ledger(spark, lake).where(F.col("state") == FAILED)
 
 
 def recent_order():

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from chartloom.operators import cleaning
 from chartloom.plans import runmetrics
 from chartloom.registry import Lake
+from chartloom.sinks import batches
 from chartloom.sinks.staging import staging_path
 from chartloom.sources.feed import file_feed, parse_messages
 from chartloom.sources.files import load_gold, read_table
@@ -112,7 +113,7 @@ def test_a_failed_silver_write_is_retried_and_loses_nothing(spark, monkeypatch):
     lake = Lake(staging_path(spark, "lake"))
     sink = microbatch.ChartSink(lake)
 
-    write, calls = microbatch.replace_partitions, []
+    write, calls = batches.write_folder, []
 
     def fail_once(df, path, *args, **how):
         if "silver" in path and not calls:
@@ -120,7 +121,7 @@ def test_a_failed_silver_write_is_retried_and_loses_nothing(spark, monkeypatch):
             raise OSError("storage is away")
         return write(df, path, *args, **how)
 
-    monkeypatch.setattr(microbatch, "replace_partitions", fail_once)
+    monkeypatch.setattr(batches, "write_folder", fail_once)
     batch = parse_messages(spark.createDataFrame([(message(1, 1),), (message(2, 2),)], "value string"))
     with pytest.raises(OSError, match="storage"):
         sink(batch, 0)
