@@ -1,9 +1,12 @@
 """Every registered query against its expected SQL, and the shape of the plans."""
 
 import re
+import subprocess
+import sys
 from collections import Counter
 from datetime import date, datetime
 from decimal import Decimal
+from pathlib import Path
 
 import duckdb
 import pytest
@@ -57,5 +60,15 @@ def test_every_query_has_an_expected_result():
     assert set(QUERIES) <= set(entry_points.queries())
 
 
+@pytest.mark.parametrize("absent", ["ahocorasick", "chartloom.llm", "corpus_pipeline"])
+def test_the_rest_works_without_the_optional_part(absent):
+    code = (
+        f"import sys; sys.modules[{absent!r}] = None\n"
+        "import __spark_entry__ as e; from chartloom.registered.catalog import QUERIES\n"
+        "assert set(e.queries()) == set(QUERIES) == set(e.oracle_sql()) and e.LEFT_OUT, e.LEFT_OUT"
+    )
+    subprocess.run([sys.executable, "-c", code], check=True, cwd=Path(__file__).resolve().parents[1], timeout=120)
+
+
 def test_entry(spark):
     assert entry_points.entry(spark).count() > 0
