@@ -12,6 +12,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 CHUNK_BYTES = 2 << 20
 
@@ -49,6 +50,27 @@ def bounded(keys: DataFrame, limit: int = BROADCAST_ROWS) -> DataFrame:
     return F.broadcast(keys) if keys.count() <= limit else keys
 
 
+def with_made(df: DataFrame, keep: tuple[str, ...] | list[str], text: str, made: dict[str, T.DataType],
+              run: Callable[[pa.Array], list[pa.Array]]) -> DataFrame:
+    """`keep` and the columns that `run` makes from batches of the text column.
+
+    The text crosses to Python once, also if it is kept. Columns go by place, so a name may be
+    that of any other column.
+    """
+    keep = list(keep)
+    place = keep.index(text) if text in keep else len(keep)
+    picked = df.select(*[df[k] for k in (keep if text in keep else [*keep, text])])
+    picked = picked.toDF(*[f"c{i}" for i in range(len(picked.columns))])
+    fields = [*picked.schema.fields[: len(keep)], *[T.StructField(f"m{i}", kind) for i, kind in enumerate(made.values())]]
+    names, width = [f.name for f in fields], len(keep)
+
+    def batchwise(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            yield pa.RecordBatch.from_arrays([*(batch.column(i) for i in range(width)), *run(batch.column(place))], names=names)
+
+    return picked.mapInArrow(batchwise, T.StructType(fields)).toDF(*keep, *made)
+
+
 def let(value: Column, then: Callable[[Column], Column]) -> Column:
     """`then(value)` with `value` worked out once, however often `then` uses it.
 

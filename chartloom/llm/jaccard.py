@@ -297,17 +297,18 @@ def keep_one(docs: DataFrame, width: int = 5, percent: int = 80) -> DataFrame:
         m.join(f, (F.col("m.comp") == F.col("f.comp")) & F.col("m.doc_id").eqNullSafe(F.col("f.doc_id"))
                & (F.col("m.mark") == F.col("f.mark")), "left_anti").select("doc_id", "mark"), "gone")
     twice = stage(first.where("rows > 1").select("doc_id", "mark"), "twice")
-    d = docs.withColumn("_mark", F.xxhash64("text")).alias("d")
+    # a row's own columns stay together in `row`, whatever their names are
+    d = docs.select(F.col("doc_id").alias("own_id"), F.xxhash64("text").alias("own_mark"), F.struct(*[docs[c] for c in docs.columns]).alias("row")).alias("d")
 
     def same(other: str):
-        return F.col("d.doc_id").eqNullSafe(F.col(f"{other}.doc_id")) & (F.col("d._mark") == F.col(f"{other}.mark"))
+        return F.col("own_id").eqNullSafe(F.col(f"{other}.doc_id")) & (F.col("own_mark") == F.col(f"{other}.mark"))
 
     gone, twice = bounded(gone).alias("g"), bounded(twice).alias("t")
-    stay = d.join(gone, same("g"), "left_anti").alias("d")
+    stay = d.join(gone, same("g"), "left_anti")
     once = stay.join(twice, same("t"), "left_anti")
     # rows that occur several times and have words: any of them
-    several = stay.join(twice, same("t"), "left_semi").dropDuplicates(["doc_id", "_mark"])
-    return once.union(several).select(*docs.columns)
+    several = stay.join(twice, same("t"), "left_semi").dropDuplicates(["own_id", "own_mark"])
+    return once.union(several).select("row.*")
 
 
 @query("op5_ngram_jaccard")

@@ -21,13 +21,16 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from chartloom.llm.catalog import query
-from chartloom.llm.common import chunks, documents, held_out, text_bytes, trainable
+from chartloom.llm.common import bounded, chunks, documents, held_out, text_bytes, trainable, with_made
+from chartloom.sinks.staging import stage
 
 UNDETERMINED = "und"
 ORDERS = (1, 2, 3)
 BUCKET_BITS = 16
+SLICES = 64  # of a language, ranked apart
 PER_LANGUAGE = 1500  # the documented bound of the training sample: rows per language
 SMOOTHING = 0.5
 
@@ -113,14 +116,15 @@ class Model:
 def training_rows(docs: DataFrame, fit_on: Column, per_language: int = PER_LANGUAGE) -> DataFrame:
     """Ids and texts of the sample: the rows of each language with the smallest id hashes.
 
-    The rank is taken on ids alone; each task passes on at most `per_language` rows of a language.
+    Ids alone are ranked, in two steps: each of `SLICES` parts of a language passes on at most
+    `per_language` of them, so no task ever sees a whole language. Texts are not shuffled: the
+    sample's ids are few and broadcast, unless there are very many languages.
     """
-    pick = Window.partitionBy("lang").orderBy(F.xxhash64("doc_id"), "doc_id")
-    ids = (
-        docs.where(F.col("lang").isNotNull() & fit_on).select("doc_id", "lang")
-        .withColumn("_rank", F.row_number().over(pick)).where(F.col("_rank") <= per_language)
-        .select("doc_id").distinct()
-    )
+    hashed = docs.where(F.col("lang").isNotNull() & fit_on).select("doc_id", "lang", F.xxhash64("doc_id").alias("_hash"))
+    for slices in (SLICES, 1):
+        pick = Window.partitionBy("lang", F.pmod("_hash", F.lit(slices))).orderBy("_hash", "doc_id")
+        hashed = hashed.withColumn("_rank", F.row_number().over(pick)).where(F.col("_rank") <= per_language)
+    ids = bounded(stage(hashed.select("doc_id").distinct(), "language-sample"))
     return docs.where(F.col("lang").isNotNull() & fit_on).select("doc_id", "lang", "text").join(ids, "doc_id", "left_semi")
 
 
@@ -163,22 +167,32 @@ def predict(docs: DataFrame, model: Model, keep: tuple[str, ...] = ("doc_id",),
     """`keep` and the predicted language and its posterior probability, for every row."""
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
+    def scored(texts: pa.Array) -> list[pa.Array]:
+        names = np.array([*shared.value.languages, UNDETERMINED], dtype=object)
+        best, scores = _scored(shared.value, texts)
+        return [pa.array(names[best].tolist(), pa.string()), pa.array(scores, pa.float64())]
+
+    return with_made(docs, keep, text, {pred: T.StringType(), score: T.DoubleType()}, scored)
+
+
+def keep_sure(docs: DataFrame, model: Model, least: float, text: str = "text") -> DataFrame:
+    """The rows, as they are, whose language has at least the score `least`."""
+    shared, place = docs.sparkSession.sparkContext.broadcast(model), docs.columns.index(text)
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known = shared.value
-        names = np.array([*known.languages, UNDETERMINED], dtype=object)
         for batch in batches:
-            data, offsets = text_bytes(batch.column(len(keep)))
-            found = [known.score(data, offsets[lo : hi + 1]) for lo, hi in chunks(offsets)]
-            best = np.concatenate([f[0] for f in found]) if found else np.zeros(0, int)
-            scores = np.concatenate([f[1] for f in found]) if found else np.zeros(0)
-            columns = [batch.column(i) for i in range(len(keep))]
-            yield pa.RecordBatch.from_arrays(
-                [*columns, pa.array(names[best].tolist(), pa.string()), pa.array(scores, pa.float64())],
-                names=[*keep, pred, score])
+            best, scores = _scored(shared.value, batch.column(place))
+            yield batch.filter(pa.array((best >= 0) & (scores >= least)))
+
+    return docs.mapInArrow(run, docs.schema)
+
 
-    picked = docs.select(*keep, docs[text].alias("_text"))
-    fields = [f"`{f.name}` {f.dataType.simpleString()}" for f in picked.schema.fields[:-1]]
-    return picked.mapInArrow(run, ", ".join([*fields, f"`{pred}` string", f"`{score}` double"]))
+def _scored(model: Model, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    data, offsets = text_bytes(texts)
+    found = [model.score(data, offsets[lo : hi + 1]) for lo, hi in chunks(offsets)]
+    if not found:
+        return np.zeros(0, int), np.zeros(0)
+    return np.concatenate([f[0] for f in found]), np.concatenate([f[1] for f in found])
 
 
 @query("op1_language_id")

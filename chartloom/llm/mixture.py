@@ -7,13 +7,16 @@ holds a third of the rows spreads over many tasks. What comes out is one small r
 source - whole epochs, the key of the cut, the words taken there - and that is joined to
 the rows: no row is sorted or shuffled with its text.
 
+Rows that agree in id and size share a key: a lot. If the cut falls on a lot of several rows,
+each takes the same number of words and what is left over is handed out by one word each,
+to the first rows of the lot in the order they lie in.
+
 Targets fill up by weight: sources in order of their limit per weight are full as long as
 the level reaches their limit; the others stand at the common level. This is where sharing
 out the excess again and again ends.
 
 Defined results: a null source is a source of its own, the last one; a null or empty text
-has size 0 and takes 0; an empty table has no rows. Rows that agree in id and size share a
-key and so share alike: if the cut falls on them, each takes the same number of words.
+has size 0 and takes 0; an empty table has no rows; columns may have any names.
 """
 
 from __future__ import annotations
@@ -23,7 +26,6 @@ from pyspark.sql import functions as F
 
 from chartloom.llm.catalog import query
 from chartloom.llm.common import documents, let, words_of
-from chartloom.operators.positions import with_running_total
 from chartloom.sinks.staging import stage
 
 WEIGHTS = (3, 1, 2)  # of sources by code point, repeating
@@ -63,10 +65,28 @@ def targets(sources: DataFrame, weights: tuple[int, ...] = WEIGHTS, total: float
     return ranked.select("source", "source_size", target.alias("target"))
 
 
+def with_running_sizes(lots: DataFrame) -> DataFrame:
+    """Add `upto`, the running sum of `size` in the order of (source, key), by source.
+
+    Lots are range-partitioned on (source, key), so a large source spans many partitions. Each
+    partition sums its own stretch of a source, and stretches are offset by the sums of the
+    source's earlier partitions: one row per source and partition.
+    """
+    parted = stage(lots.repartitionByRange("source", "key").withColumn("part", F.spark_partition_id()), "mix-stretches")
+    within = Window.partitionBy("part", "source").orderBy("key").rowsBetween(Window.unboundedPreceding, 0)
+    earlier = Window.partitionBy("source").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
+    stretches = parted.groupBy("source", "part").agg(F.sum("size").alias("own")).withColumn(
+        "before", F.coalesce(F.sum("own").over(earlier), F.lit(0))).alias("s")
+    local = parted.withColumn("run", F.sum("size").over(within)).alias("l")
+    same = F.col("l.source").eqNullSafe(F.col("s.source")) & (F.col("l.part") == F.col("s.part"))
+    return local.join(stretches, same).select("l.source", "l.key", "l.n", "l.size", (F.col("run") + F.col("before")).alias("upto"))
+
+
 def cuts(rows: DataFrame, **how) -> DataFrame:
     """Per source: source_size, target, whole epochs, and the key at which the last epoch ends.
 
-    `rows` has source, key and size. `cut_words` is what each row with the cut's key takes.
+    `rows` has source, key and size. `cut_words` is what each row with the cut's key takes,
+    and so many rows as `cut_more` says take another word.
     """
     lots = rows.groupBy("source", "key").agg(F.count(F.lit(1)).alias("n"), F.sum("size").alias("size"))
     sources = rows.groupBy("source").agg(F.sum("size").alias("source_size"))
@@ -76,17 +96,34 @@ def cuts(rows: DataFrame, **how) -> DataFrame:
         .withColumn("epochs", F.when(F.col("source_size") > 0, F.floor(F.col("budget") / F.col("source_size"))).otherwise(F.lit(0)))
         .withColumn("rest", F.col("budget") - F.col("epochs") * F.col("source_size"))
     )
-    running = with_running_total(lots, ["source"], "key", "size", "upto")
+    running = with_running_sizes(lots)
+    left = F.col("rest") - F.col("upto") + F.col("size")
     b = budgets.alias("b")
     at = (
         running.alias("r").join(b, F.col("r.source").eqNullSafe(F.col("b.source")))
         .where((F.col("upto") - F.col("size") <= F.col("rest")) & (F.col("rest") < F.col("upto")))
         .select(F.col("r.source").alias("source"), F.col("key").alias("cut_key"),
-                F.floor((F.col("rest") - F.col("upto") + F.col("size")) / F.col("n")).alias("cut_words"))
+                F.floor(left / F.col("n")).alias("cut_words"), (left % F.col("n")).alias("cut_more"))
         .alias("c")
     )
     return b.join(at, F.col("b.source").eqNullSafe(F.col("c.source")), "left").select(
-        F.col("b.source").alias("source"), "source_size", "target", "epochs", "cut_key", "cut_words")
+        F.col("b.source").alias("source"), "source_size", "target", "epochs", "cut_key", "cut_words", F.coalesce("cut_more", F.lit(0)).alias("cut_more"))
+
+
+def more_before(lots: DataFrame) -> DataFrame:
+    """source and `more_before`: rows of its cut lot below this place take another word.
+
+    `lots` has source, place and cut_more, the rows of cut lots alone. A place holds the
+    number of the task that read the row in its upper bits, so rows are ranked within tasks,
+    and tasks are offset by the counts of the earlier ones.
+    """
+    task = F.shiftright("place", 33)
+    counts = lots.groupBy("source", task.alias("task")).agg(F.count(F.lit(1)).alias("own")).withColumn(
+        "before", F.coalesce(F.sum("own").over(Window.partitionBy("source").orderBy("task").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))).alias("c")
+    ranked = lots.withColumn("task", task).withColumn("rank", F.row_number().over(Window.partitionBy("source", "task").orderBy("place"))).alias("r")
+    same = F.col("r.source").eqNullSafe(F.col("c.source")) & (F.col("r.task") == F.col("c.task"))
+    return ranked.join(counts, same).where(F.col("before") + F.col("rank") == F.col("cut_more") + 1).select(
+        F.col("r.source").alias("source"), F.col("place").alias("more_before"))
 
 
 def taken(size: Column, key: Column, epochs: Column, cut_key: Column, cut_words: Column) -> Column:
@@ -95,15 +132,25 @@ def taken(size: Column, key: Column, epochs: Column, cut_key: Column, cut_words:
     return (epochs * size + last).cast("long")
 
 
+def _own(rows: str, other: str) -> Column:
+    return F.col(f"{rows}.source").eqNullSafe(F.col(f"{other}.source"))
+
+
 def mix(df: DataFrame, text: str = "text", source: str = "source", doc_id: str = "doc_id", **how) -> DataFrame:
     """doc_id, source, size, source_size, target and taken of every row."""
     size = size_of(df[text])
     rows = stage(df.select(df[doc_id].alias("doc_id"), df[source].alias("source"), size.alias("size"))
-                 .withColumn("key", key_of(F.col("doc_id"), F.col("size"))), "mix-sizes")
-    c = cuts(rows, **how).alias("c")
-    return rows.alias("r").join(c, F.col("r.source").eqNullSafe(F.col("c.source"))).select(
+                 .withColumns({"key": key_of(F.col("doc_id"), F.col("size")), "place": F.monotonically_increasing_id()}), "mix-sizes")
+    c = stage(cuts(rows, **how), "mix-cuts").alias("c")
+    r = rows.alias("r")
+    lots = r.join(c, _own("r", "c") & (F.col("key") == F.col("cut_key"))).where("cut_more > 0").select("r.source", "place", "cut_more")
+    m = more_before(lots).alias("m")
+    one = (F.col("key") == F.col("cut_key")) & (F.col("place") < F.coalesce("more_before", F.lit(0)))
+    whole = taken(F.col("size"), F.col("key"), F.col("epochs"), F.col("cut_key"), F.col("cut_words"))
+    cut = c.join(m, _own("c", "m"), "left").select("c.*", "more_before").alias("c")
+    return r.join(cut, _own("r", "c")).select(
         "doc_id", F.col("r.source").alias("source"), "size", "source_size", "target",
-        taken(F.col("size"), F.col("key"), F.col("epochs"), F.col("cut_key"), F.col("cut_words")).alias("taken"))
+        (whole + F.coalesce(one, F.lit(False)).cast("long")).alias("taken"))
 
 
 def apply(df: DataFrame, **how) -> DataFrame:
@@ -114,18 +161,28 @@ def apply(df: DataFrame, **how) -> DataFrame:
     kept = df.columns
     size = size_of(F.col("text"))
     rows = stage(df.select("doc_id", "source", size.alias("size")).withColumn("key", key_of(F.col("doc_id"), F.col("size"))), "mix-sizes")
-    c = cuts(rows, **how).select(F.struct("source", "epochs", "cut_key", "cut_words").alias("_c"))
+    c = stage(cuts(rows, **how), "mix-cuts").select(F.struct("source", "epochs", "cut_key", "cut_words", "cut_more").alias("c"))
+    # a row's own columns stay together in `row`, whatever their names are
     both = (
-        df.withColumn("_size", size).withColumn("_key", key_of(F.col("doc_id"), F.col("_size")))
-        .join(c, F.col("source").eqNullSafe(F.col("_c.source")))
-        .withColumn("_taken", taken(F.col("_size"), F.col("_key"), F.col("_c.epochs"), F.col("_c.cut_key"), F.col("_c.cut_words")))
-        .where(F.col("_taken") > 0)
-        .withColumn("_times", F.floor(F.col("_taken") / F.col("_size")))
-        .withColumn("_part", (F.col("_taken") - F.col("_times") * F.col("_size")).cast("int"))
+        df.select(F.struct(*[df[k] for k in kept]).alias("row"), size.alias("size")).withColumn("key", key_of(F.col("row.doc_id"), F.col("size")))
+        .join(c, F.col("row.source").eqNullSafe(F.col("c.source")))
+        .withColumn("taken", taken(F.col("size"), F.col("key"), F.col("c.epochs"), F.col("c.cut_key"), F.col("c.cut_words")))
+        .select("row", "size", "taken", F.coalesce((F.col("key") == F.col("c.cut_key")) & (F.col("c.cut_more") > 0), F.lit(False)).alias("shares"), "c.cut_more")
+    )
+    # rows of a cut lot that hands out more, a few of each source as a rule: their places are those of a table of their own
+    lots = stage(both.where("shares").withColumn("place", F.monotonically_increasing_id()), "mix-lots")
+    m = more_before(lots.select(F.col("row.source").alias("source"), "place", "cut_more")).alias("m")
+    sharing = lots.join(m, F.col("row.source").eqNullSafe(F.col("m.source"))).select(
+        "row", "size", (F.col("taken") + (F.col("place") < F.col("more_before")).cast("long")).alias("taken"))
+    every = (
+        both.where(~F.col("shares")).select("row", "size", "taken").union(sharing).where("taken > 0")
+        .withColumn("times", F.floor(F.col("taken") / F.col("size")))
+        .withColumn("part", (F.col("taken") - F.col("times") * F.col("size")).cast("int"))
     )
-    each = both.withColumn("_time", F.explode(F.sequence(F.lit(1), F.col("_times") + F.when(F.col("_part") > 0, 1).otherwise(0))))
-    first_words = let(words_of(F.col("text")), lambda w: F.array_join(F.slice(w, F.lit(1), F.col("_part")), " "))
-    return each.withColumn("text", F.when(F.col("_time") > F.col("_times"), first_words).otherwise(F.col("text"))).select(*kept)
+    each = every.withColumn("time", F.explode(F.sequence(F.lit(1), F.col("times") + F.when(F.col("part") > 0, 1).otherwise(0))))
+    first_words = let(words_of(F.col("row.text")), lambda w: F.array_join(F.slice(w, F.lit(1), F.col("part")), " "))
+    text = F.when(F.col("time") > F.col("times"), first_words).otherwise(F.col("row.text"))
+    return each.select(*[text.alias(k) if k == "text" else F.col("row").getField(k).alias(k) for k in kept])
 
 
 EXPECTED = rf"""
@@ -144,11 +201,12 @@ t AS (SELECT source, source_size, CASE WHEN ratio > level THEN max(CASE WHEN rat
 b AS (SELECT *, CAST(floor(target) AS BIGINT) AS budget,
   CASE WHEN source_size > 0 THEN CAST(floor(target) AS BIGINT) // source_size ELSE 0 END AS epochs FROM t),
 lots AS (SELECT source, key, count(*) AS n, sum(size) AS lot, sum(sum(size)) OVER (PARTITION BY source ORDER BY key) AS upto FROM k GROUP BY source, key),
-c AS (SELECT b.*, key AS cut_key, (budget - epochs * b.source_size - upto + lot) // n AS cut_words FROM b LEFT JOIN lots
+c AS (SELECT b.*, key AS cut_key, (budget - epochs * b.source_size - upto + lot) // n AS cut_words,
+  (budget - epochs * b.source_size - upto + lot) % n AS cut_more FROM b LEFT JOIN lots
   ON lots.source IS NOT DISTINCT FROM b.source AND upto - lot <= budget - epochs * b.source_size AND budget - epochs * b.source_size < upto)
 SELECT doc_id, size, source_size, round(target, 6) AS target, CAST(epochs * size
-  + CASE WHEN key < cut_key THEN size WHEN key = cut_key THEN cut_words ELSE 0 END AS BIGINT) AS taken
-FROM k JOIN c ON k.source IS NOT DISTINCT FROM c.source"""
+  + CASE WHEN key < cut_key THEN size WHEN key = cut_key THEN cut_words + CASE WHEN place <= cut_more THEN 1 ELSE 0 END ELSE 0 END AS BIGINT) AS taken
+FROM (SELECT *, row_number() OVER (PARTITION BY source, key) AS place FROM k) k JOIN c ON k.source IS NOT DISTINCT FROM c.source"""
 
 
 @query("op6_source_mix", EXPECTED)

@@ -22,9 +22,10 @@ import ahocorasick
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from chartloom.llm.catalog import query
-from chartloom.llm.common import documents
+from chartloom.llm.common import documents, with_made
 
 BASE_KINDS = ("email", "ip", "card", "phone")
 ADDED_KINDS = ("account", "ssn", "secret", "url")
@@ -38,7 +39,8 @@ DIGITS = re.compile(r"[0-9](?:[ -]?[0-9])*")
 PHONE = re.compile(r"\+[0-9][ ().0-9-]+[0-9]")
 IBAN = re.compile(r"[A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3})?(?![A-Za-z0-9])")
 SSN = re.compile(r"(?!000|666|9)[0-9]{3}-(?!00)[0-9]{2}-(?!0000)[0-9]{4}(?![0-9-])")
-SECRET = re.compile(r"[\"']?[ \t]{0,4}[=:][ \t]{0,4}[\"']?([A-Za-z0-9+/_=.~-]{16,})")
+SECRET_SIGN = re.compile(r"[\"']?[ \t]{0,4}[=:][ \t]{0,4}[\"']?")
+SECRET = re.compile(r"[A-Za-z0-9+/_=.~-]{16,}")
 KEY_TAIL = re.compile(r"[A-Za-z0-9_-]{16,}")
 LOGIN = re.compile(r"://[^\s/@:]+:[^\s/@]+@[^\s/@]+(?:/\S*)?")
 SECRET_CUES = ("token", "Token", "TOKEN", "api_key", "API_KEY", "apikey", "secret", "SECRET", "password", "PASSWORD", "passwd")
@@ -78,6 +80,7 @@ def find(text: str | None) -> list[tuple[str, int, int]]:
         return []
     spans: dict[str, list[tuple[int, int]]] = {kind: [] for kind in KINDS}
     email_end = ip_end = card_end = secret_end = account_end = ssn_end = 0
+    value_end = key_end = 0  # of the last value and key tail looked at: what ends in a dropped one is no better
     for last, (kind, length) in _machine().iter(text):
         at = last + 1 - length
         if kind == "0":
@@ -111,14 +114,15 @@ def find(text: str | None) -> list[tuple[str, int, int]]:
                 if 8 <= sum("0" <= c <= "9" for c in found.group()) <= 15:
                     spans["phone"].append(found.span())
         elif kind == "cue":
-            if at >= secret_end and (found := SECRET.match(text, last + 1)):
-                value = found.group(1)
+            if at >= secret_end and (sign := SECRET_SIGN.match(text, last + 1)) and sign.end() >= value_end and (found := SECRET.match(text, sign.end())):
+                value, value_end = found.group(), found.end()
                 if any("0" <= c <= "9" for c in value) and any(c.isalpha() for c in value):
-                    spans["secret"].append((found.start(1), secret_end := found.end(1)))
+                    spans["secret"].append((found.start(), secret_end := value_end))
         elif kind == "key":
-            if at >= secret_end and not (at and text[at - 1].isalnum()) and (found := KEY_TAIL.match(text, last + 1)):
+            if at >= secret_end and last + 1 >= key_end and not (at and text[at - 1].isalnum()) and (found := KEY_TAIL.match(text, last + 1)):
+                key_end = found.end()
                 if any("0" <= c <= "9" for c in found.group()):
-                    spans["secret"].append((at, secret_end := found.end()))
+                    spans["secret"].append((at, secret_end := key_end))
         elif found := LOGIN.match(text, at):
             start = at
             while start and text[start - 1].isascii() and text[start - 1].isalpha():
@@ -145,21 +149,16 @@ def masked(text: str | None, mark: str = "<{}>") -> str | None:
     return "".join([*out, text[at:]])
 
 
-SPANS = "array<struct<kind:string,start:int,end:int>>"
+SPAN = T.StructType([T.StructField("kind", T.StringType()), T.StructField("start", T.IntegerType()), T.StructField("end", T.IntegerType())])
 
 
 def spans(df: DataFrame, keep: tuple[str, ...] = ("doc_id",), text: str = "text", name: str = "spans") -> DataFrame:
     """`keep` and the array of spans of each row's whole text."""
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def run(texts: pa.Array) -> list[pa.Array]:
         kind = pa.list_(pa.struct([("kind", pa.string()), ("start", pa.int32()), ("end", pa.int32())]))
-        for batch in batches:
-            found = [[{"kind": k, "start": s, "end": e} for k, s, e in find(t.as_py())] for t in batch.column(len(keep))]
-            yield pa.RecordBatch.from_arrays(
-                [*(batch.column(i) for i in range(len(keep))), pa.array(found, kind)], names=[*keep, name])
+        return [pa.array([[{"kind": k, "start": s, "end": e} for k, s, e in find(t.as_py())] for t in texts], kind)]
 
-    picked = df.select(*keep, df[text].alias("_text"))
-    fields = [f"`{f.name}` {f.dataType.simpleString()}" for f in picked.schema.fields[:-1]]
-    return picked.mapInArrow(run, ", ".join([*fields, f"`{name}` {SPANS}"]))
+    return with_made(df, keep, text, {name: T.ArrayType(SPAN)}, run)
 
 
 def mask(df: DataFrame, text: str = "text") -> DataFrame:

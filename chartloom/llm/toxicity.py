@@ -23,9 +23,10 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from chartloom.llm.catalog import query
-from chartloom.llm.common import RangeHash, Words, chunks, documents, held_out, mix, text_bytes, trainable
+from chartloom.llm.common import RangeHash, Words, chunks, documents, held_out, mix, text_bytes, trainable, with_made
 
 FILTER_BITS = 22
 PREFIXES = (4, 5, 6)  # bytes
@@ -270,27 +271,20 @@ def score(docs: DataFrame, tagger: Tagger, keep: tuple[str, ...] = ("doc_id",),
     """`keep` and the score of each row's whole text; with spans also the byte bounds of toxic runs."""
     shared = docs.sparkSession.sparkContext.broadcast(tagger)  # 4 MB and one weight per known feature
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        model = shared.value
-        for batch in batches:
-            data, offsets = text_bytes(batch.column(len(keep)))
-            scores, runs = [np.zeros(0)], []
-            for lo, hi in chunks(offsets, BATCH_BYTES):
-                seq = sequences(data, offsets[lo : hi + 1])
-                p = model.marginals(seq)
-                scores.append(model.scores(p, seq.first))
-                if with_spans:
-                    runs += toxic_runs(seq, p)
-            columns = [batch.column(i) for i in range(len(keep))] + [pa.array(np.concatenate(scores), pa.float64())]
+    def run(texts: pa.Array) -> list[pa.Array]:
+        model, scores, runs = shared.value, [np.zeros(0)], []
+        data, offsets = text_bytes(texts)
+        for lo, hi in chunks(offsets, BATCH_BYTES):
+            seq = sequences(data, offsets[lo : hi + 1])
+            p = model.marginals(seq)
+            scores.append(model.scores(p, seq.first))
             if with_spans:
-                columns.append(pa.array(runs, pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32())]))))
-            yield pa.RecordBatch.from_arrays(columns, names=names)
+                runs += toxic_runs(seq, p)
+        spans = [pa.array(runs, pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32())])))] if with_spans else []
+        return [pa.array(np.concatenate(scores), pa.float64()), *spans]
 
-    picked = docs.select(*keep, docs[text].alias("_text"))
-    names = [*keep, "score", *["toxic_spans"] * with_spans]
-    fields = [f"`{f.name}` {f.dataType.simpleString()}" for f in picked.schema.fields[:-1]] + ["score double"]
-    fields += ["toxic_spans array<struct<start:int,end:int>>"] * with_spans
-    return picked.mapInArrow(run, ", ".join(fields))
+    span = T.StructType([T.StructField("start", T.IntegerType()), T.StructField("end", T.IntegerType())])
+    return with_made(docs, keep, text, {"score": T.DoubleType()} | ({"toxic_spans": T.ArrayType(span)} if with_spans else {}), run)
 
 
 def toxic_runs(seq: Sequences, p: np.ndarray) -> list[list[dict[str, int]]]:
@@ -302,10 +296,12 @@ def toxic_runs(seq: Sequences, p: np.ndarray) -> list[list[dict[str, int]]]:
     return out
 
 
-@query("op8_toxicity")
+@query("op8_toxicity", exact=True)
 def op8_toxicity(spark: SparkSession, folder: str) -> DataFrame:
     docs = documents(spark, folder)
     tagger = fit(docs, spark.read.parquet(f"{folder}/labels.parquet"))
-    return score(docs, tagger).select(
+    # spans are byte bounds of the offending runs of words
+    spans = F.array_join(F.transform("toxic_spans", lambda s: F.concat_ws(":", s["start"], s["end"])), ",")
+    return score(docs, tagger, with_spans=True).select(
         "doc_id", held_out(F.col("doc_id")).alias("held_out"), "score",
-        F.when(F.col("score") >= THRESHOLD, 1).otherwise(0).alias("predicted"))
+        F.when(F.col("score") >= THRESHOLD, 1).otherwise(0).alias("predicted"), spans.alias("toxic_spans"))

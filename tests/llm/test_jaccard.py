@@ -109,3 +109,12 @@ def test_one_row_of_each_component_stays(spark):
     # near copies without any id: one of them stays
     kept = jaccard.keep_one(spark.createDataFrame([(None, c), (None, c + " x"), (None, c + " y"), (None, a)], "doc_id long, text string")).collect()
     assert sorted(r.text[:2] for r in kept) == ["a0", "c0"]
+
+
+def test_columns_may_have_any_names(spark):
+    a, b = (" ".join(f"{x}{i}" for i in range(60)) for x in "ab")
+    rows = [(1, a, "m1", 7), (2, a + " x", "m2", 8), (3, b, "m3", 9)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, _mark string, node int").withColumnRenamed("node", "own_mark")
+    kept = jaccard.keep_one(docs)
+    assert kept.columns == docs.columns
+    assert sorted(tuple(r) for r in kept.collect()) == [rows[0], rows[2]]

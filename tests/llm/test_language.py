@@ -73,3 +73,15 @@ def test_training_sample_is_bounded(spark):
     docs = spark.range(500).selectExpr("id AS doc_id", "'a' AS text", "if(id < 400, 'x', 'y') AS lang")
     sample = language.training_rows(docs, F.lit(True), 30).groupBy("lang").count().collect()
     assert {(r.lang, r["count"]) for r in sample} == {("x", 30), ("y", 30)}
+
+
+def test_columns_may_have_any_names(spark):
+    rows = [(1, "the cat and the dog", "en", "a", 1.0), (2, "der Hund und die Katze", "de", "b", 2.0), (3, "12", "de", "c", 3.0)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, _text string, _lang_pred double")
+    model = language.fit(docs, F.lit(True))
+    got = language.predict(docs, model, ("doc_id", "_text", "text", "_lang_pred"), pred="found")
+    assert got.columns == ["doc_id", "_text", "text", "_lang_pred", "found", "score"]
+    assert sorted((r.doc_id, r._text, r.text, r._lang_pred, r.found) for r in got.collect()) == [
+        (1, "a", rows[0][1], 1.0, "en"), (2, "b", rows[1][1], 2.0, "de"), (3, "c", "12", 3.0, "und")]
+    sure = language.keep_sure(docs, model, 0.5)
+    assert sure.schema == docs.schema and {r.doc_id for r in sure.collect()} == {1, 2}

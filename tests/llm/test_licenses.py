@@ -49,3 +49,24 @@ def test_edges(spark, same_as_sql):
     assert all(base(by_id[i]) == plain(t) for i, t in enumerate(texts) if i not in (4, 6))
     assert "mit" in by_id[8].labels and "mit" in by_id[9].labels and by_id[10].labels == ""
     assert licenses.scan(docs.limit(0)).count() == 0
+
+
+def test_repeated_words_of_a_template_are_no_license(spark, same_as_sql):
+    gpl = dict(licenses.TEMPLATES)["gpl"]
+    scattered = " ".join(" ".join(gpl.split()[i : i + 3]) + " and then some other words of one's own" for i in range(0, 27, 3))
+    texts = ["version 2 0 " * 9, "with or without " * 20, "under the terms " * 8, "general public license " * 6, scattered, gpl + " x " + gpl, gpl]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    found = licenses.scan(docs)
+    same_as_sql(found.withColumn("score", licenses.F.round("score", 6)), EXPECTED[NAME], documents=docs)
+    got = {r.doc_id: (r.labels, r.score) for r in found.collect()}
+    assert [got[i] for i in range(5)] == [("", 0.0)] * 5
+    assert [got[i] for i in (5, 6)] == [("gpl", 1.0)] * 2
+
+
+def test_whole_texts_as_templates(spark):
+    text = " ".join(f"w{i % 61}x{i % 7} clause{i}" for i in range(300))
+    docs = spark.createDataFrame([(1, "Preface. " + text), (2, text.replace(" clause5 ", " ")), (3, " ".join(text.split()[:200])), (4, "clause1 " * 500)],
+                                 "doc_id long, text string")
+    got = {r.doc_id: r for r in licenses.scan(docs, templates=(("own", text),)).collect()}
+    assert (got[1].labels, got[1].score) == ("own", 1.0) and got[2].labels == "own" and 0.98 < got[2].score < 1
+    assert got[3].labels == "" and got[4].labels == ""

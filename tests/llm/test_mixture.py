@@ -62,3 +62,32 @@ def test_apply_takes_what_mix_says(spark):
     got = mixed.groupBy("doc_id").agg(mixture.F.sum(mixture.size_of(mixture.F.col("text"))).alias("n"))
     expected = mixture.mix(docs).where("taken > 0").select("doc_id", "taken")
     assert got.exceptAll(expected).count() == 0 and expected.exceptAll(got).count() == 0
+
+
+def test_a_lot_of_equal_rows_is_shared_to_the_last_word(spark, same_as_sql):
+    for rows in ([(None, "w", "s", "a")] * 1000, [(None, "a b", None, "x")] * 7 + [(1, "one two three", "s", "y")] * 5, [(i % 3, "w v", "s", "z") for i in range(50)]):
+        docs = spark.createDataFrame(rows, "doc_id long, text string, source string, place string").repartition(5)
+        found = mixture.mix(docs)
+        got = found.collect()
+        same_as_sql(found.select("doc_id", "size", "source_size", mixture.F.round("target", 6).alias("target"), "taken"), EXPECTED[NAME], documents=docs)
+        took, target = defaultdict(int), {}
+        for r in got:
+            took[r.source] += r.taken
+            target[r.source] = r.target
+            assert 0 <= r.taken <= 2 * r.size
+        assert all(0 <= target[s] - took[s] < 1 for s in target)
+        applied = mixture.apply(docs)
+        words = applied.groupBy("source").agg(mixture.F.sum(mixture.size_of(mixture.F.col("text"))).alias("n")).collect()
+        assert {r.source: r.n for r in words} == took
+
+
+def test_columns_may_have_any_names(spark):
+    names = ["row", "size", "key", "taken", "shares", "c", "times", "part", "time", "_size", "_key", "_c", "epochs", "cut_more"]
+    rows = [(i, "a b c " * (i % 4), f"s{i % 3}", *[f"{n}{i}" for n in names]) for i in range(40)]
+    docs = spark.createDataFrame(rows, ["doc_id", "text", "source", *names])
+    plain = mixture.apply(docs.select("doc_id", "text", "source")).collect()
+    got = mixture.apply(docs)
+    assert got.columns == docs.columns
+    got = got.collect()
+    assert sorted((r.doc_id, r.text) for r in got) == sorted((r.doc_id, r.text) for r in plain)
+    assert all(r[n] == f"{n}{r.doc_id}" for r in got for n in names)

@@ -4,6 +4,7 @@ import numpy as np
 from pyspark.sql import functions as F
 
 from chartloom.llm import neighbours
+from chartloom.llm.catalog import QUERIES
 
 
 def brute(ids, vectors, queries, k=5):
@@ -73,3 +74,25 @@ def test_repeated_rows_do_not_push_out_other_ids(spark):
         got = neighbours.search(df, F.col("vec_id") == 1000, share=1.0).collect()
         assert sorted((r.rank, r.vec_id) for r in got) == [(i, 1000 + i) for i in range(1, 6)]
         assert all(abs(r.score - 1) < 1e-12 for r in got)
+
+
+def test_very_large_and_very_small_components(spark):
+    rows = [(0, [1e200, 1e200, 0.0]), (1, [1.0, 1.0, 1.0]), (2, [1e-200, 0.0, 1e-200]), (3, [5e-324, 0.0, 0.0]), (4, [-1e308, 1e308, 1e308])]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    got = {r.vec_id: r.score for r in neighbours.search(df, F.col("vec_id") == 0, share=1.0).collect()}
+    expected = {1: 2 / 6**0.5, 2: 0.5, 3: 0.5**0.5, 4: 0.0}
+    assert got.keys() == expected.keys() and all(abs(got[i] - s) < 1e-12 for i, s in expected.items())
+
+
+def test_the_registered_query_is_exact(spark):
+    folder = "/root/testdata/sf0.01"
+    df = QUERIES["op10_hash_forest"](spark, folder)
+    assert [(f.name, f.dataType.simpleString()) for f in df.schema.fields] == [("query_id", "bigint"), ("rank", "int"), ("vec_id", "bigint"), ("score", "double")]
+    rows = {r.vec_id: np.array(r.embedding, float) for r in spark.read.parquet(f"{folder}/embeddings.parquet").collect() if r.embedding is not None}
+    got = df.collect()
+    truth = brute(list(rows), np.array(list(rows.values())), [i for i in rows if i % 50 == 0])
+    hits = sum(r.vec_id in {i for i, _ in truth[r.query_id]} for r in got)
+    assert len(got) == 5 * len(truth) and hits >= 0.9 * len(got)
+    for r in got:
+        a, b = rows[r.query_id], rows[r.vec_id]
+        assert abs(r.score - a @ b / np.linalg.norm(a) / np.linalg.norm(b)) < 1e-12

@@ -82,3 +82,15 @@ def test_very_long_parts_of_dotted_numbers():
     assert ("ip", 0, len(zeros) + 7) in pii.find(zeros + "1.2.3.4")
     assert ("ip", 0, len(zeros) + 6) in pii.find("1.2.3." + zeros)
     assert [s for s in pii.find(zeros + "256.2.3.4") if s[0] == "ip"] == []
+
+
+def test_time_follows_the_length():
+    import time
+
+    for text in ("token=" * 200_000, "sk-" * 300_000, "a@" * 300_000, "+1" * 300_000, "1." * 300_000, "AB12 " * 200_000, "://a:b" * 150_000, "password: " * 100_000):
+        started = time.perf_counter()
+        pii.find(text)
+        assert time.perf_counter() - started < 6, text[:12]
+    # a value beyond one that was dropped is still found
+    text = "token=abcdefghijklmnopqrst; sk-aaaaaaaaaaaaaaaaaatoken=abcdef1234567890abcd secret=ABCDEFGHIJKLMNOPtoken: abc123abc123abc123"
+    assert [text[s:e] for k, s, e in pii.find(text) if k == "secret"] == ["abcdef1234567890abcd", "abc123abc123abc123"]

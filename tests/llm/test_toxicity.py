@@ -30,6 +30,8 @@ def test_marginals_are_those_of_all_taggings():
 
 def test_held_out_quality(spark):
     found = QUERIES["op8_toxicity"](spark, FOLDER)
+    assert dict(found.dtypes) == {"doc_id": "bigint", "held_out": "boolean", "score": "double", "predicted": "int", "toxic_spans": "string"}
+    assert found.where("predicted <> if(score >= 0.3, 1, 0)").count() == 0 and found.where("predicted = 1 and toxic_spans <> ''").count() > 100
     labels = spark.read.parquet(f"{FOLDER}/labels.parquet")
     rows = found.join(labels, "doc_id").where("held_out").select("toxic", "predicted", "score").collect()
     hit = sum(r.predicted for r in rows if r.toxic == 1) / sum(r.toxic for r in rows)
