@@ -33,9 +33,7 @@ def _measured(docs: DataFrame) -> DataFrame:
 
 
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    found = language.predict(docs, language.fit(docs), tuple(docs.columns), pred="_lang_pred", score="_lang_score")
-    sure = (F.col("_lang_pred") != language.UNDETERMINED) & (F.col("_lang_score") >= MIN_LANGUAGE_SCORE)
-    return found.where(sure).select(*docs.columns)
+    return language.keep_sure(docs, language.fit(docs), MIN_LANGUAGE_SCORE)
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
