@@ -1,6 +1,7 @@
 """The batch tables, layer by layer: bronze from the raw sources, silver, gold.
 
-Run with `python -m chartloom.medallion <root>`; RUN_BRONZE, RUN_SILVER and RUN_GOLD switch layers off.
+Run with `python -m chartloom.medallion <root>`; RUN_BRONZE, RUN_SILVER and RUN_GOLD switch layers off, RUN_INCREMENT=true
+the increment on.
 """
 
 import os
@@ -18,6 +19,8 @@ from chartloom.operators.quality import Expectation, enforce
 from chartloom.plans import artists, longevity, mood, streaks, tiers
 from chartloom.registry import DATASETS, Lake
 from chartloom.session import get_spark
+from chartloom.sinks.batches import batch_table
+from chartloom.sinks.staging import stage
 from chartloom.sinks.tables import ensure_table, new_rows, replace_partitions, stamp_ingestion, write_table
 from chartloom.sources.files import read_raw, read_stored, read_table
 
@@ -92,18 +95,59 @@ def build_charts_enriched(spark: SparkSession, lake: Lake, split_hot: bool = Fal
 
 
 def load_increment(
-    spark: SparkSession, path: str, rows: DataFrame, keys: list[str], batch_id: int, fmt: str = "parquet"
+    spark: SparkSession, path: str, rows: DataFrame, keys: list[str], batch_id: int, fmt: str = "parquet", day: str | None = None
 ) -> int:
     """Insert the rows whose key the table lacks, as load `batch_id`; repeating a load changes nothing.
 
-    For tables that are loaded in increments instead of overwritten; they are partitioned by `batch_id`.
+    For tables that are loaded in increments instead of overwritten. With a `day` among the
+    keys the table is partitioned by its month as well, and only the months the increment's
+    own days fall in are read for the match; they are a short list, bounded by the calendar.
     """
+    fresh = fresh_rows(spark, path, rows, keys, batch_id, fmt, day)
+    return replace_partitions(fresh, path, (*["month_start"] * bool(day), "batch_id"), fmt)["rows"]
+
+
+def fresh_rows(
+    spark: SparkSession, path: str, rows: DataFrame, keys: list[str], batch_id: int, fmt: str = "parquet", day: str | None = None
+) -> DataFrame:
+    """What `load_increment` would insert."""
     rest = [F.col(c).asc_nulls_last() for c in sorted(rows.columns) if c not in keys]
+    target_of = F.col("batch_id") != batch_id
+    if day:
+        rows = rows.withColumn("month_start", dates.month_start(day))
+        months = [r[0] for r in rows.select("month_start").distinct().collect()]
+        target_of = F.col("month_start").isin([m for m in months if m is not None]) & target_of
+        if None in months:
+            target_of = target_of | (F.col("month_start").isNull() & (F.col("batch_id") != batch_id))
     schema = T.StructType([*rows.schema.fields, T.StructField("batch_id", T.LongType())])
-    ensure_table(spark, path, schema, ("batch_id",), fmt)
-    target = read_stored(spark, path, schema, fmt).where(F.col("batch_id") != batch_id)
-    fresh = new_rows(rows, target, keys, rest).withColumn("batch_id", F.lit(batch_id).cast("bigint"))
-    return replace_partitions(fresh, path, ("batch_id",), fmt)["rows"]
+    ensure_table(spark, path, schema, (*["month_start"] * bool(day), "batch_id"), fmt)
+    target = read_stored(spark, path, schema, fmt).where(target_of)
+    return new_rows(rows, target, keys, rest).withColumn("batch_id", F.lit(batch_id).cast("bigint"))
+
+
+def load_charts(spark: SparkSession, lake: Lake) -> dict[str, int]:
+    """The chart rows ingested since the last load, cleaned and inserted where their key is new.
+
+    The table's own list remembers up to which ingestion time it has everything, so a repeated
+    run finds nothing to do. Months the increment does not touch are not read.
+    """
+    table = batch_table(spark, lake, "silver.charts_loaded")
+    table.create()
+    live = table.live()
+    raw, since = read_table(spark, lake, "bronze.charts"), live.note.get("until")
+    if since is not None:
+        raw = raw.where(F.col("ingestion_ts") > F.lit(since).cast("timestamp"))
+    until = raw.agg(F.max("ingestion_ts").cast("string").alias("until")).first()["until"]
+    if until is None:
+        return {"rows": 0}
+    cleaned = stage(cleaning.transform_charts(raw.drop("year")).withColumn("month_start", dates.month_start("chart_date")), "increment")
+    months = [str(r[0]) for r in cleaned.select("month_start").distinct().collect()]
+    columns = [f.name for f in table.schema.fields]
+    rest = [F.col(c).asc_nulls_last() for c in sorted(cleaned.columns) if c not in cleaning.ENTRY_KEY]
+    fresh = new_rows(cleaned, table.read(months), cleaning.ENTRY_KEY, rest)
+    seen = table.add(fresh.withColumn("batch_id", F.lit(live.batch + 1).cast("bigint")).select(*columns), live.batch + 1, sized=True, note={"until": until})
+    table.fold()
+    return {"rows": seen["rows"]}
 
 
 # --- gold --------------------------------------------------------------------
@@ -148,6 +192,9 @@ def run(
 ) -> dict[str, dict]:
     """Build the layers in order; returns the counts and seconds of every table.
 
+    The layer `increment`, which is not among the default ones, brings the chart rows ingested
+    since its last run into a table that only grows.
+
     `expectations` are checked on a table right after it is written, before anything reads it.
     """
     report: dict[str, dict] = {}
@@ -163,6 +210,8 @@ def run(
         if layer in layers:
             for key, builder in builders.items():
                 timed(key, lambda: builder(spark, lake))
+    if "increment" in layers:
+        timed("silver.charts_loaded", lambda: load_charts(spark, lake))
     if "gold" in layers:
         for key, builder in GOLD.items():
             timed(key, lambda: builder(spark, lake, key))
@@ -171,8 +220,8 @@ def run(
 
 def main() -> None:
     wanted = tuple(
-        layer for layer in ("bronze", "silver", "gold")
-        if os.getenv(f"RUN_{layer.upper()}", "true").lower() == "true"
+        layer for layer in ("bronze", "silver", "increment", "gold")
+        if os.getenv(f"RUN_{layer.upper()}", "false" if layer == "increment" else "true").lower() == "true"
     )
     root = sys.argv[1] if len(sys.argv) > 1 else os.environ["DATA_ROOT"]
     spark = get_spark()

@@ -6,6 +6,8 @@ from pyspark.sql import functions as F
 from chartloom.operators.joins import broadcast_if_small, split_hot_join
 from chartloom.sinks.staging import stage
 
+NOWHERE = 100_003  # keys over which entries without a region are spread
+
 
 def charted_tracks(charts: DataFrame, tracks: DataFrame, max_ids: int = 1_000_000) -> DataFrame:
     """The tracks that occur in the charts: all that the joins on the track can ever use.
@@ -32,29 +34,30 @@ def join_tracks(charts: DataFrame, tracks: DataFrame, split_hot: bool = False) -
 
 
 def join_countries(charts: DataFrame, countries: DataFrame) -> DataFrame:
-    """Every entry with its country's attributes, matching `region` by name or by code.
+    """Every entry with its country's attributes, matching `region` by name or by code; the name wins.
 
-    Two keyed lookups and a coalesce; one join on `name OR code` would compare every pair. The
-    dimension is broadcast when its stored size is below Spark's own threshold.
+    One join: the dimension becomes a table of folded names and codes, each with what it may
+    stand for and its rank, and the matches of the best rank are picked afterwards. Entries
+    without a region get a key of their own that stands for nothing, so that they spread over
+    all tasks where the dimension is too large to broadcast.
     """
     attributes = [c for c in countries.columns if c != "country_name"]
-    by_name = countries.select(
-        F.col("country_name").alias("_name"), *[F.col(c).alias(f"_n_{c}") for c in attributes]
-    )
-    by_code = countries.select(
-        F.lower("region_code").alias("_code"), *[F.col(c).alias(f"_c_{c}") for c in attributes]
-    )
-    # the name wins: a row matched by name does not look up its code
-    unmatched_code = F.when(F.col("_name").isNull(), F.lower("region"))
-    joined = (
-        charts.join(by_name, F.col("region") == F.col("_name"), "left")
-        .withColumn("_lookup", unmatched_code)
-        .join(by_code, F.col("_lookup") == F.col("_code"), "left")
-    )
-    return joined.select(
-        *charts.columns,
-        *[F.coalesce(f"_n_{c}", f"_c_{c}").alias(c) for c in attributes],
-    )
+    entry = F.struct(*[F.col(c) for c in attributes])
+
+    def keyed(column: str, rank: int) -> DataFrame:
+        # a name must be met exactly, a code in any case
+        exact = F.col(column) if rank == 0 else F.lit(None).cast("string")
+        return countries.where(F.col(column).isNotNull()).select(
+            F.lower(column).alias("_key"), F.struct(F.lit(rank).alias("rank"), exact.alias("exact"), entry.alias("entry")).alias("_one"))
+
+    table = keyed("country_name", 0).union(keyed("region_code", 1)).groupBy("_key").agg(F.collect_list("_one").alias("_all"))
+    nowhere = F.concat(F.lit("\x00"), F.pmod(F.xxhash64(*charts.columns), F.lit(NOWHERE)).cast("string"))
+    joined = charts.withColumn("_lookup", F.coalesce(F.lower("region"), nowhere)).join(table, F.col("_lookup") == F.col("_key"), "left")
+    fits = F.filter("_all", lambda m: m["exact"].isNull() | (m["exact"] == F.col("region")))
+    found = joined.withColumn("_fits", fits).withColumn("_rank", F.array_min(F.transform("_fits", lambda m: m["rank"])))
+    best = F.transform(F.filter("_fits", lambda m: m["rank"] == F.col("_rank")), lambda m: m["entry"])
+    return found.select(*charts.columns, F.explode_outer(best).alias("_entry")).select(
+        *charts.columns, *[F.col(f"_entry.{c}").alias(c) for c in attributes])
 
 
 def enrich_charts(

@@ -4,8 +4,7 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-
-from chartloom.sinks.staging import stage
+from pyspark.sql import types as T
 
 BROADCAST_ROWS = 50_000
 
@@ -36,31 +35,37 @@ def not_in_target(incoming: DataFrame, target: DataFrame, keys: list[str]) -> Da
 
 
 def hot_keys(fact: DataFrame, key: str, parts: int = 1000) -> DataFrame:
-    """Keys holding at least 1/`parts` of all rows: at most `parts` keys by arithmetic.
+    """Keys holding about 1/`parts` of all rows or more, as a table of at most `parts` rows."""
+    schema = T.StructType([fact.schema[key]])
+    return fact.sparkSession.createDataFrame([(k,) for k in hot_values(fact, key, parts)], schema)
+
+
+def hot_values(fact: DataFrame, key: str, parts: int = 1000) -> list:
+    """The same keys as values; null is not among them.
 
-    One map-side-combined count per key; the bound is what makes the result safe to broadcast.
+    One scan of the key column with a sketch of frequent items, which tasks fill and merge; no
+    key is shuffled. The sketch tracks far more keys than can be that frequent, so none of them
+    is missed; the rest of the work is right whatever keys are named hot.
     """
-    floor = fact.count() / parts
-    counts = fact.where(F.col(key).isNotNull()).groupBy(key).agg(F.count(F.lit(1)).alias("_n"))
-    return counts.where(F.col("_n") >= floor).select(key)
+    tracked = 8 * parts
+    seen = fact.agg(F.count(F.lit(1)).alias("n"), F.expr(f"approx_top_k(`{key}`, {parts}, {tracked})").alias("top")).first()
+    return [t["item"] for t in seen["top"] or [] if t["item"] is not None and t["count"] * parts >= seen["n"]]
 
 
 def split_hot_join(fact: DataFrame, dim: DataFrame, key: str, parts: int = 1000) -> DataFrame:
-    """Left join that keeps hot keys out of the shuffle; `dim` has one row per `key`.
+    """Left join that keeps hot keys and null keys out of the shuffle; `dim` has one row per `key`.
 
-    Rows of a hot key (see `hot_keys`) take their attributes from a broadcast of the at
-    most `parts` matching dimension rows and stay where they were read; all other rows go
-    through an ordinary shuffle join. Together they give every row of the plain left join once.
-    The hot keys are measured once and staged; the three uses below read that small table.
+    Rows of a hot key (see `hot_values`) take their attributes from a broadcast of the at
+    most `parts` matching dimension rows and stay where they were read, and so do rows without
+    a key; all other rows go through an ordinary shuffle join. Together they give every row of
+    the plain left join once.
     """
-    flagged = F.broadcast(stage(hot_keys(fact, key, parts).withColumn("_hot", F.lit(True)), "hot-keys"))
-    attributes = [c for c in dim.columns if c != key]
-    ours = fact.join(flagged, key, "left")
-    hot_dim = dim.join(flagged.drop("_hot"), key, "left_semi")
-    out = [F.col(c) for c in fact.columns] + [F.col(c) for c in attributes]
-    hot = ours.where("_hot").join(F.broadcast(hot_dim), key, "left").select(*out)
-    rest = ours.where(F.col("_hot").isNull()).join(dim, key, "left").select(*out)
-    return hot.unionByName(rest)
+    hot = hot_values(fact, key, parts)
+    is_hot = F.col(key).isin(hot) if hot else F.lit(False)
+    out = [F.col(c) for c in fact.columns] + [F.col(c) for c in dim.columns if c != key]
+    apart = fact.where(F.col(key).isNull() | is_hot).join(F.broadcast(dim.where(is_hot)), key, "left").select(*out)
+    rest = fact.where(F.col(key).isNotNull() & ~is_hot).join(dim, key, "left").select(*out)
+    return apart.unionByName(rest)
 
 
 def salted_join(

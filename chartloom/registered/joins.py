@@ -109,7 +109,7 @@ def _loaded(spark, folder):
     first, second = _daily_parts(spark, folder)
     keys = ["track_id", "chart_date", "region"]
     for batch_id, rows in ((0, first), (1, second), (1, second)):
-        medallion.load_increment(spark, path, rows, keys, batch_id)
+        medallion.load_increment(spark, path, rows, keys, batch_id, day="chart_date")
     return read_parquet(spark, path)
 
 

@@ -42,6 +42,8 @@ DATASETS = {
         Dataset("bronze", "charts_streaming", (), schemas.FEED_BRONZE_SCHEMA,
                 about="feed messages by micro-batch", by_batch=True),
         Dataset("silver", "charts_cleaned", ("region", "year"), about="typed, deduplicated entries"),
+        Dataset("silver", "charts_loaded", ("month_start",), schemas.FEED_SILVER_SCHEMA,
+                about="cleaned entries loaded in increments", by_batch=True, folded_by="month_start"),
         Dataset("silver", "tracks_cleaned", about="one row per track with its artists"),
         Dataset("silver", "tracks_cleaned_track_artist", about="one row per track and artist"),
         Dataset("silver", "tracks_charted", about="the tracks that occur in the charts; joins read these"),

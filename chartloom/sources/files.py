@@ -93,7 +93,8 @@ def load_gold(spark: SparkSession, lake: Lake, table: str, version: int | None =
 
     Tables of the feed travel by batch. Of one that keeps every batch's rows any batch is there;
     one that is rewritten, or holds a snapshot per batch, has the versions above its low-water
-    mark, and an older one raises. Other tables travel by the version numbers of Delta.
+    mark, and an older one raises. Other tables travel by the version numbers of Delta, or by a
+    `batch_id` column if they have one.
     """
     key = f"gold.{table}"
     dataset = DATASETS[key]
@@ -108,4 +109,7 @@ def load_gold(spark: SparkSession, lake: Lake, table: str, version: int | None =
         return read_table(spark, lake, key)
     if lake.fmt == "delta":
         return spark.read.format("delta").option("versionAsOf", version).load(lake.path(key))
-    raise ValueError(f"{key} is rewritten as a whole and keeps no earlier versions")
+    df = read_table(spark, lake, key)
+    if "batch_id" not in df.columns:
+        raise ValueError(f"{key} is rewritten as a whole and keeps no earlier versions")
+    return as_of(df, version)

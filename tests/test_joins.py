@@ -1,5 +1,6 @@
 """Joins under skew, dimension matching, upserts and writers."""
 
+import re
 from datetime import date
 
 import pytest
@@ -130,3 +131,73 @@ def test_catalog_and_versions(spark):
         load_gold(spark, lake, "streak_analysis", version=0)
     assert register_views(spark, lake) == ["gold_streak_analysis", "gold_track_longevity"]
     assert spark.sql("SELECT count(*) AS n FROM gold_streak_analysis").first().n == 3
+
+
+def task_rows(spark, df):
+    """Rows by partition of a frame's result."""
+    return sorted(r.n for r in df.groupBy(F.spark_partition_id().alias("p")).agg(F.count(F.lit(1)).alias("n")).collect())
+
+
+def test_null_and_hot_keys_stay_out_of_the_shuffle(spark):
+    before = {k: spark.conf.get(k) for k in ("spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.enabled", "spark.sql.shuffle.partitions")}
+    for k, v in zip(before, ("-1", "false", "8")):
+        spark.conf.set(k, v)
+    try:
+        key = F.when(F.col("id") % 3 == 0, None).when(F.col("id") % 3 == 1, "hot").otherwise(F.concat(F.lit("k"), (F.col("id") % 1999).cast("string")))
+        facts = spark.range(0, 60_000, 1, 8).select(key.alias("track_id"), "id")
+        dim = spark.range(0, 3000).select(F.concat(F.lit("k"), F.col("id").cast("string")).alias("track_id"), (F.col("id") * 2).alias("attr"))
+        dim = dim.union(spark.createDataFrame([("hot", -1)], "track_id string, attr bigint"))
+        assert joins.hot_values(facts, "track_id", 100) == ["hot"]
+        split = joins.split_hot_join(facts, dim, "track_id", 100)
+        assert split.exceptAll(facts.join(dim, "track_id", "left")).count() == 0 and split.count() == 60_000
+        sizes = task_rows(spark, split)
+        assert sizes[-1] < 2 * sizes[len(sizes) // 2]
+        plain = task_rows(spark, facts.join(dim, "track_id", "left"))
+        assert plain[-1] > 4 * plain[len(plain) // 2]  # what it is good for
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+
+
+def test_hot_keys_of_other_types_and_of_nothing(spark):
+    df = spark.createDataFrame([(1, True)] * 50 + [(None, None)] * 50 + [(i, False) for i in range(20)], "n int, b boolean")
+    assert joins.hot_values(df, "n", 10) == [1]
+    assert joins.hot_values(df.limit(0), "n") == [] and joins.hot_values(df.select(F.lit(None).cast("string").alias("n")), "n") == []
+    assert joins.hot_keys(df, "n", 10).schema["n"].dataType.simpleString() == "int"
+
+
+def test_country_match_is_one_spread_join(spark):
+    before = {k: spark.conf.get(k) for k in ("spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.enabled", "spark.sql.shuffle.partitions")}
+    for k, v in zip(before, ("-1", "false", "8")):
+        spark.conf.set(k, v)
+    try:
+        countries = spark.createDataFrame(
+            [("us", "United States", "America"), ("GB", "United Kingdom", "Europe"), ("xx", "us", "Nowhere"), ("dup", "Twin", "A"), ("dap", "Twin", "B"), (None, "No Code", "C"), ("nn", None, "D")],
+            "region_code string, country_name string, continent string")
+        rows = [(i, r) for i, r in enumerate(["United States", "US", "us", "gb", "united kingdom", "Twin", "No Code", "NN", "Global", ""])]
+        charts = spark.createDataFrame(rows + [(100 + i, None) for i in range(4000)], "id int, region string")
+        found = enrich.join_countries(charts, countries)
+        got = sorted((r.id, r.region_code, r.continent) for r in found.where("id < 100").collect() if r.continent)
+        assert got == [(0, "us", "America"), (1, "us", "America"), (2, "xx", "Nowhere"), (3, "GB", "Europe"), (5, "dap", "B"), (5, "dup", "A"), (6, None, "C"), (7, "nn", "D")]
+        assert found.count() == 4011
+        plan = found._jdf.queryExecution().executedPlan().toString()
+        assert plan.count("SortMergeJoin") + plan.count("ShuffledHashJoin") == 1
+        sizes = task_rows(spark, found)
+        assert len(sizes) == 8 and sizes[-1] < 2 * sizes[4]
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+
+
+def test_an_increment_reads_only_the_months_it_touches(spark):
+    path = staging_path(spark, "increments")
+    def part(*days):
+        return spark.createDataFrame([(f"t{i}", date.fromisoformat(d), i) for d in days for i in range(3)], "track_id string, chart_date date, v int")
+    keys = ["track_id", "chart_date"]
+    assert medallion.load_increment(spark, path, part("2024-01-05", "2024-02-05", "2024-03-05"), keys, 0, day="chart_date") == 9
+    plan = medallion.fresh_rows(spark, path, part("2024-02-05", "2024-02-06"), keys, 1, day="chart_date")._jdf.queryExecution().executedPlan().toString()
+    scan = re.search(r"PartitionFilters: \[([^\]]*)\]", plan).group(1)
+    assert "month_start" in scan and "2024-02-01" in scan and "2024-01-01" not in scan
+    assert medallion.load_increment(spark, path, part("2024-02-05", "2024-02-06"), keys, 1, day="chart_date") == 3
+    assert medallion.load_increment(spark, path, part("2024-02-05", "2024-02-06"), keys, 1, day="chart_date") == 3
+    assert spark.read.parquet(path).count() == 12

@@ -126,3 +126,15 @@ def test_failed_expectation_stops_the_run(spark, lake):
 def test_rerun_replaces(spark, lake):
     medallion.run(spark, lake[0], ("gold",))
     assert load_gold(spark, lake[0], "sonic_dna_by_rank_tier").count() == 10
+
+
+def test_increments(spark, lake):
+    lake = lake[0]
+    first = medallion.run(spark, lake, ("increment",))["silver.charts_loaded"]["rows"]
+    loaded = read_table(spark, lake, "silver.charts_loaded")
+    cleaned = read_table(spark, lake, "silver.charts_cleaned")
+    key = medallion.cleaning.ENTRY_KEY
+    assert first == cleaned.count() and loaded.select(*key).exceptAll(cleaned.select(*key)).count() == 0
+    assert medallion.run(spark, lake, ("increment",))["silver.charts_loaded"]["rows"] == 0
+    medallion.run(spark, lake, ("bronze", "increment"))  # everything is ingested anew; nothing in it is new
+    assert read_table(spark, lake, "silver.charts_loaded").count() == first
