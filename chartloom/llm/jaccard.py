@@ -1,17 +1,24 @@
 """Similarity join on word n-grams, by prefix filters under several orders of the tokens.
 
 If two sets have a Jaccard similarity of at least t, then under any order of all tokens the
-first `n - ceil(t n) + 1` tokens of each have one in common. Three orders are used; all put
-tokens that very many documents share last, so that a passage found everywhere leads to no
-candidates. Documents that share a prefix token under the first order are candidates; their
-prefixes must also meet under the second and the third order, and their sizes must allow the
-similarity, before the whole sets are compared.
+first `n - ceil(t n) + 1` tokens of each have one in common. Three global orders are used. In
+all of them tokens that occur in more documents stand behind those that occur in fewer, so a
+passage that documents share leads to no candidates unless they consist of little else.
+Documents that share a prefix token under the first order are candidates if their prefixes
+also meet under the second and the third order and their sizes allow the similarity; then
+the whole sets are compared.
+
+How many documents have a token is counted exactly, over all documents: tasks send sorted
+blocks of token hashes, cut by ranges of hashes of bounded size. The most common tokens, a
+bounded number of them, go to all tasks. The order is a matter of speed alone.
 
 No group of copies is expanded into pairs. Equal sets are one node. In a bucket (the nodes
-with the same prefix token) first every node is compared with one leader at most, and later
-only nodes of different components are compared, because a link inside a component would
-tell nothing new. What is left at the end - all pairs of a bucket that lie in different
-components - is compared without exception, so no link between components is lost.
+with the same prefix token) every node is compared with one leader at most, again and again
+with other leaders as long as that finds links: first the text with most copies, later the
+node with most links, since copies gather around such. Only nodes of different components
+are compared, because a link inside a component would tell nothing new. What is left at the
+end - all pairs of a bucket that lie in different components and meet all filters - is
+compared without exception, so no link between components is lost.
 
 Defined results: a null or empty text has an empty set and is linked with nothing, its
 component is its own id; rows with a null id take part, but a component's id is its smallest
@@ -25,16 +32,17 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from chartloom.llm.catalog import query
 from chartloom.llm.common import Words, bounded, chunks, documents, mix, text_bytes
 from chartloom.sinks.staging import stage
 
-HOT_SHARE = 2000  # a token that one in so many documents has stands last in every order
-HOT_LEAST = 12
-MAX_STEPS = 60
+COMMON_LEAST = 6  # documents that have a token, from which on it counts as common
+COMMON_MOST = 1 << 21  # common tokens that all tasks know: 5 bytes each
+BLOCK_BYTES = 16 << 20  # of text, whose tokens one task counts
+MAX_ROUNDS, MAX_STEPS = 6, 60
 
 _SEEDS = mix(np.arange(11, 31, dtype=np.uint64))
 
@@ -65,27 +73,48 @@ def _bits(values: np.ndarray) -> np.ndarray:
     return values.view(np.int64)
 
 
-def hot_tokens(docs: DataFrame, width: int) -> np.ndarray:
-    """Hashes of tokens that at least one in `HOT_SHARE` documents has, as far as tasks can see.
+def common_tokens(docs: DataFrame, width: int) -> tuple[np.ndarray, np.ndarray]:
+    """The most common tokens (lower half of their hash, sorted) and the binary logarithm of their document counts."""
+    size = docs.agg(F.sum(F.octet_length("text")).alias("n")).first()["n"] or 0
+    parts = 1 + size // BLOCK_BYTES
 
-    A token so common is so common in some batch, too, and each batch reports only such. At
-    most `HOT_SHARE` x (average set size) tokens pass, whatever the number of documents. The
-    order is a matter of speed: links do not depend on it.
-    """
-    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             data, offsets = text_bytes(batch.column(0))
-            own = []
             for lo, hi in chunks(offsets):
                 h, _, at = shingles(data, offsets[lo : hi + 1], width)
-                own += [np.unique(h[s:e]) for s, e in zip(at[:-1], at[1:])]
-            tokens, n = np.unique(np.concatenate(own) if own else np.zeros(0, np.uint64), return_counts=True)
-            many = n >= max(3, batch.num_rows / HOT_SHARE)
-            yield pa.RecordBatch.from_arrays([pa.array(_bits(tokens[many])), pa.array(n[many], pa.int64())], names=["token", "n"])
-
-    least = max(HOT_LEAST, docs.count() // HOT_SHARE)
-    found = docs.select("text").mapInArrow(count, "token bigint, n bigint").groupBy("token").agg(F.sum("n").alias("n"))
-    return np.sort(found.where(F.col("n") >= least).select("token").toPandas()["token"].to_numpy(np.int64).view(np.uint64))
+                own = [np.unique(h[s:e].astype(np.uint32)) for s, e in zip(at[:-1], at[1:])]
+                tokens, n = np.unique(np.concatenate(own), return_counts=True)
+                # sorted hashes, cut at equal distances
+                cuts = np.searchsorted(tokens.astype(np.uint64) * np.uint64(parts) >> np.uint64(32), np.arange(parts + 1))
+                full = np.flatnonzero(np.diff(cuts))
+                yield pa.RecordBatch.from_arrays([
+                    pa.array(full.astype(np.int32)),
+                    pa.array([tokens[cuts[p] : cuts[p + 1]].tobytes() for p in full], pa.binary()),
+                    pa.array([np.minimum(n[cuts[p] : cuts[p + 1]], 65535).astype(np.uint16).tobytes() for p in full], pa.binary()),
+                ], names=["part", "tokens", "counts"])
+
+    def counted(table: pa.Table) -> pa.Table:
+        tokens = np.concatenate([np.frombuffer(t.as_py(), np.uint32) for t in table["tokens"]])
+        n = np.concatenate([np.frombuffer(t.as_py(), np.uint16) for t in table["counts"]])
+        names, place = np.unique(tokens, return_inverse=True)
+        total = np.bincount(place, n, len(names)).astype(np.int64)
+        many = total >= COMMON_LEAST
+        return pa.table({"token": names[many].astype(np.int64), "n": total[many]})
+
+    cut = docs.select("text").mapInArrow(blocks, "part int, tokens binary, counts binary")
+    found = stage(cut.groupBy("part").applyInArrow(counted, "token bigint, n bigint"), "common")
+    # the bound on their number sets the count from which on tokens are taken
+    least, taken = COMMON_LEAST, 0
+    for row in found.groupBy(F.least("n", F.lit(1 << 16)).alias("n")).count().orderBy(F.desc("n")).toLocalIterator():
+        taken += row["count"]
+        if taken > COMMON_MOST:
+            least = row["n"] + 1
+            break
+    table = found.where(F.col("n") >= least).toArrow()
+    tokens, n = table["token"].to_numpy().astype(np.uint32), table["n"].to_numpy()
+    order = np.argsort(tokens)
+    return tokens[order], np.log2(n[order]).astype(np.uint8)
 
 
 def sets(docs: DataFrame, width: int, percent: int) -> DataFrame:
@@ -93,11 +122,11 @@ def sets(docs: DataFrame, width: int, percent: int) -> DataFrame:
 
     Prefix one holds token hashes; two and three, which only filter, hold 16 bits of them.
     """
-    hot = docs.sparkSession.sparkContext.broadcast(hot_tokens(docs, width))
+    known = docs.sparkSession.sparkContext.broadcast(common_tokens(docs, width))
     names = ["doc_id", "mark", "n", "node", "one", "two", "three"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        common = hot.value
+        common, levels = known.value
         for batch in batches:
             data, offsets = text_bytes(batch.column(2))
             sizes, nodes, prefixes = [], [], ([], [], [])
@@ -112,13 +141,16 @@ def sets(docs: DataFrame, width: int, percent: int) -> DataFrame:
                         for k in range(3):
                             prefixes[k].append(np.zeros(0, np.int64 if not k else np.int16))
                         continue
-                    last = np.zeros(n, np.uint64)
+                    level = np.zeros(n, np.uint64)
                     if len(common):
-                        place = np.minimum(np.searchsorted(common, tokens), len(common) - 1)
-                        last[common[place] == tokens] = np.uint64(1 << 63)
+                        half = tokens.astype(np.uint32)
+                        place = np.minimum(np.searchsorted(common, half), len(common) - 1)
+                        there = common[place] == half
+                        level[there] = levels[place[there]]
+                    # fewer documents first; then, in two of the orders, longer words first, as they tend to be rarer
                     long = np.uint64(255) - np.minimum(length[s:e][first], 255).astype(np.uint64)
-                    for k, leading in enumerate((long << np.uint64(55), np.uint64(0), (long >> np.uint64(4)) << np.uint64(55))):
-                        order = last | leading | mix(tokens + _SEEDS[11 + k]) >> np.uint64(9)
+                    for k, lead in enumerate((long, np.uint64(0), long >> np.uint64(4))):
+                        order = level << np.uint64(58) | lead << np.uint64(50) | mix(tokens + _SEEDS[11 + k]) >> np.uint64(14)
                         chosen = tokens[np.argpartition(order, p - 1)[:p]]
                         prefixes[k].append(_bits(chosen) if not k else np.unique((chosen & np.uint64(0xFFFF)).astype(np.uint16)).view(np.int16))
             yield pa.RecordBatch.from_arrays([
@@ -166,12 +198,11 @@ def verified(pairs: DataFrame, width: int, percent: int) -> DataFrame:
     return pairs.select("a", "a_text", "b", "b_text").mapInArrow(run, "a bigint, b bigint")
 
 
-def components(links: DataFrame, settled: bool = True) -> DataFrame:
+def components(links: DataFrame) -> DataFrame:
     """node and comp, the smallest node that links reach, for all nodes of `links` (a, b).
 
     Each step takes the smallest label around and then the label of that label, so paths
-    shrink by half. Steps are written to the shared folder. Unless `settled` is asked for,
-    one step is enough: equal labels then still mean linked, but not the other way round.
+    shrink by half. Steps are written to the shared folder.
     """
     edges = stage(links.select(F.col("a").alias("x"), F.col("b").alias("y")).union(links.select("b", "a")).distinct(), "links")
     labels = stage(edges.groupBy("x").agg(F.min("y").alias("m")).select(F.col("x").alias("node"), F.least("x", "m").alias("comp")), "labels")
@@ -183,28 +214,31 @@ def components(links: DataFrame, settled: bool = True) -> DataFrame:
             nearer.join(heads, nearer["c"] == heads["head"], "left")
             .select("node", "old", F.least("c", F.coalesce("beyond", "c")).alias("comp")), "labels")
         labels = after.select("node", "comp")
-        if not settled or after.where("old <> comp").isEmpty():
+        if after.where("old <> comp").isEmpty():
             return labels
     raise RuntimeError("the components did not settle")
 
 
-def linked(pairs: DataFrame, table: DataFrame, docs: DataFrame, width: int, percent: int) -> DataFrame:
-    """The pairs (a, b) whose sets are similar enough: filters of orders two and three, then the whole sets."""
-    def nodes_of(some: DataFrame) -> DataFrame:
-        return some.select(F.col("a").alias("node")).union(some.select("b")).distinct()
+def _side(frame: DataFrame, own: str, *columns: str) -> DataFrame:
+    return frame.select(F.col("node").alias(own), *[F.col(c).alias(f"{own}_{c}") for c in columns])
+
 
-    def side(frame: DataFrame, own: str, *columns: str) -> DataFrame:
-        return frame.select(F.col("node").alias(own), *[F.col(c).alias(f"{own}_{c}") for c in columns])
+def _meet() -> Column:
+    return F.arrays_overlap("a_two", "b_two") & F.arrays_overlap("a_three", "b_three")
 
-    asked = stage(nodes_of(pairs), "asked")
-    filters = stage(table.join(asked, "node").select("node", "doc_id", "mark", "two", "three").dropDuplicates(["node"]), "filters")
-    meets = F.arrays_overlap("a_two", "b_two") & F.arrays_overlap("a_three", "b_three")
-    close = stage(
-        pairs.join(side(filters, "a", "two", "three"), "a").join(side(filters, "b", "two", "three"), "b").where(meets).select("a", "b"), "close")
-    wanted = stage(filters.join(nodes_of(close), "node").select("node", "doc_id", "mark"), "wanted")
+
+def linked(pairs: DataFrame, filters: DataFrame, docs: DataFrame, width: int, percent: int, met: bool = False) -> DataFrame:
+    """The pairs (a, b) whose sets are similar enough: filters of orders two and three, unless `met`, then the whole sets.
+
+    `filters` has a row for each node.
+    """
+    if not met:
+        pairs = stage(pairs.join(_side(filters, "a", "two", "three"), "a").join(_side(filters, "b", "two", "three"), "b").where(_meet()).select("a", "b"), "close")
+    asked = pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct()
+    wanted = stage(filters.select("node", "doc_id", "mark").join(asked, "node"), "wanted")
     whole = stage(texts_of(docs, wanted), "whole-texts")
     # one side's text goes along with the pair, which is keyed by the other node then: no node gathers texts
-    both = close.join(side(whole, "a", "text"), "a").join(side(whole, "b", "text"), "b")
+    both = pairs.join(_side(whole, "a", "text"), "a").join(_side(whole, "b", "text"), "b")
     return stage(verified(both, width, percent), "linked")
 
 
@@ -218,60 +252,72 @@ def join(docs: DataFrame, width: int, percent: int) -> DataFrame:
     table = stage(sets(docs.select("doc_id", "text"), width, percent), "sets")
     classes = stage(
         table.where("n > 0").groupBy("node").agg(F.min("doc_id").alias("least"), F.count(F.lit(1)).alias("rows")), "classes")
-    repeated = stage(classes.where("rows > 1").select("node"), "repeated")
+    repeated = stage(classes.where("rows > 1").select("node", "rows"), "repeated")
     # most sets occur once; only rows of the others meet to leave one of each
-    postings = table.where("n > 0").select("node", "n", "one")
-    postings = postings.join(repeated, "node", "left_anti").union(
-        postings.join(repeated, "node", "left_semi").dropDuplicates(["node"])).select("node", "n", F.explode("one").alias("token"))
-    shared = stage(
-        postings.withColumn("_size", F.count(F.lit(1)).over(Window.partitionBy("token"))).where("_size > 1").drop("_size"), "buckets")
+    sets_ = table.where("n > 0")
+    single = sets_.join(repeated, "node", "left_anti").withColumn("rows", F.lit(1).cast("long"))
+    nodes = single.select("node", "n", "rows", "one").union(
+        sets_.join(repeated, "node").dropDuplicates(["node"]).select("node", "n", "rows", "one"))
+    postings = nodes.select("node", "n", "rows", F.explode("one").alias("token"))
+    several = postings.groupBy("token").agg(F.count(F.lit(1)).alias("size")).where("size > 1").select("token")
+    shared = stage(postings.join(several, "token", "left_semi"), "buckets")
+    filters = stage(
+        sets_.join(shared.select("node").distinct(), "node", "left_semi").select("node", "doc_id", "mark", "two", "three").dropDuplicates(["node"]), "filters")
 
     def likely(frame: DataFrame) -> DataFrame:
         """Rows of a, a_n, b, b_n whose sizes allow the similarity."""
         return frame.where((F.col("a") != F.col("b")) & (100 * F.least("a_n", "b_n") >= percent * F.greatest("a_n", "b_n")))
 
-    links, tried, comps, whole = None, None, None, True
-    for leader in ("min", "max", None):
-        if not (leader or whole):
-            comps, whole = components(links), True
-        if comps is None:
-            open_ = shared.withColumn("comp", F.col("node"))
-        else:
-            open_ = shared.join(comps, "node", "left").withColumn("comp", F.coalesce("comp", "node"))
-            mixed = open_.groupBy("token").agg(F.min("comp").alias("_l"), F.max("comp").alias("_h")).where("_l <> _h").select("token")
-            open_ = open_.join(mixed, "token", "left_semi")
+    def ordered(met: DataFrame) -> DataFrame:
+        return met.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+
+    def of_links(links: DataFrame) -> DataFrame:
+        return links.select(F.col("a").alias("node")).union(links.select("b")).groupBy("node").agg(F.count(F.lit(1)).alias("links"))
+
+    links = comps = tried = None
+    last, turn = False, 0
+    while True:
+        open_ = shared.withColumns({"comp": F.col("node"), "links": F.lit(0).cast("long")})
+        if links is not None:
+            state = of_links(links).join(comps, "node")
+            open_ = shared.join(state, "node", "left").withColumns({"comp": F.coalesce("comp", "node"), "links": F.coalesce("links", F.lit(0))})
+            mixed = open_.groupBy("token").agg(F.min("comp").alias("low"), F.max("comp").alias("high")).where("low <> high").select("token")
+            open_ = stage(open_.join(mixed, "token", "left_semi"), "open")
         member = open_.select("token", F.col("node").alias("a"), F.col("n").alias("a_n"), F.col("comp").alias("a_c"))
-        if leader:
-            pick = getattr(F, leader)
-            lead = open_.groupBy("token").agg(pick(F.struct("node", "n", "comp")).alias("l")).select(
+        if not last:
+            rank = F.struct("links", "rows", F.xxhash64("node", F.lit(turn)).alias("dice"), "node", "n", "comp")
+            lead = open_.groupBy("token").agg(F.max(rank).alias("l")).select(
                 "token", F.col("l.node").alias("b"), F.col("l.n").alias("b_n"), F.col("l.comp").alias("b_c"))
             # of its leaders a node is compared with the one it meets in most buckets
             votes = likely(member.join(lead, "token").where("a_c <> b_c")).groupBy("a", "b").agg(F.count(F.lit(1)).alias("votes"))
-            met = votes.groupBy("a").agg(F.max(F.struct("votes", "b")).alias("best")).select("a", "best.b")
+            if tried is not None:
+                votes = votes.join(tried, (votes["a"] == tried["low"]) & (votes["b"] == tried["high"]), "left_anti")
+            met = stage(votes.groupBy("a").agg(F.max(F.struct("votes", "b")).alias("best")).select("a", "best.b"), "met")
+            pairs = stage(ordered(met), "pairs")
         else:
-            other = open_.select("token", F.col("node").alias("b"), F.col("n").alias("b_n"), F.col("comp").alias("b_c"))
-            met = likely(member.join(other, "token").where(F.col("a_c") < F.col("b_c")))
-        pairs = met.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
-        if tried is not None:
-            pairs = pairs.join(tried, ["a", "b"], "left_anti")
-        pairs = stage(pairs, "pairs")
-        if pairs.isEmpty():
-            if leader:
-                continue
+            with_filters = member.join(_side(filters, "a", "two", "three"), "a")
+            other = with_filters.toDF(*[c.replace("a_", "b_") if c != "a" else "b" for c in with_filters.columns])
+            pairs = stage(ordered(likely(with_filters.join(other, "token").where((F.col("a_c") < F.col("b_c")) & _meet()))), "pairs")
+        fresh = False
+        if not pairs.isEmpty():
+            found = linked(pairs, filters, docs, width, percent, met=last)
+            fresh = not found.isEmpty()
+            if not last:
+                both_ways = pairs.select(F.col("a").alias("low"), F.col("b").alias("high"))
+                both_ways = both_ways.union(both_ways.select("high", "low"))
+                tried = both_ways if tried is None else tried.union(both_ways)
+        if fresh:
+            links = stage(found if links is None else links.union(found).distinct(), "links-so-far")
+            comps = components(links)
+        if last:
             break
-        found = linked(pairs, table, docs, width, percent)
-        tried = pairs if tried is None else tried.union(pairs)
-        if found.isEmpty():
-            continue
-        links = found if links is None else links.union(found)
-        # before the second leaders, labels only save comparisons; before the last look and at the end they must be whole
-        whole = leader != "min"
-        comps = components(links, settled=whole)
+        turn += 1
+        last = turn == MAX_ROUNDS or turn > 1 and not fresh
     result = table.select("doc_id", "mark", F.col("n").alias("n_shingles"), "node")
     if links is None:
         empty = classes.select("node").limit(0)
         comps, links = empty.withColumn("comp", F.col("node")), empty.select(F.col("node").alias("a"), F.col("node").alias("b"))
-    ends = links.select(F.col("a").alias("node")).union(links.select("b")).groupBy("node").agg(F.count(F.lit(1)).alias("links"))
+    ends = of_links(links)
     named = classes.join(comps, "node", "left").withColumn("comp", F.coalesce("comp", "node"))
     smallest = named.groupBy("comp").agg(F.min("least").alias("component_id"))
     of_node = named.join(smallest, "comp").join(ends, "node", "left").select(
