@@ -17,8 +17,11 @@ with the same prefix token) every node is compared with one leader at most, agai
 with other leaders as long as that finds links: first the text with most copies, later the
 node with most links, since copies gather around such. Only nodes of different components
 are compared, because a link inside a component would tell nothing new. What is left at the
-end - all pairs of a bucket that lie in different components and meet all filters - is
-compared without exception, so no link between components is lost.
+end is compared without exception, so no link between components is lost: in small buckets
+all pairs that lie in different components and meet all filters; large buckets, such as many
+variants of a text that differ a little too much, are cut into blocks, and a task compares
+two blocks by all their tokens (16 bits of each, which never hides a common one) and passes
+on only pairs that can still be similar enough.
 
 Defined results: a null or empty text has an empty set and is linked with nothing, its
 component is its own id; rows with a null id take part, but a component's id is its smallest
@@ -43,6 +46,8 @@ COMMON_LEAST = 6  # documents that have a token, from which on it counts as comm
 COMMON_MOST = 1 << 21  # common tokens that all tasks know: 5 bytes each
 BLOCK_BYTES = 16 << 20  # of text, whose tokens one task counts
 MAX_ROUNDS, MAX_STEPS = 6, 60
+BUCKET = 64  # nodes; larger buckets are compared in blocks, inside tasks
+BLOCK = 1024  # nodes of a block
 
 _SEEDS = mix(np.arange(11, 31, dtype=np.uint64))
 
@@ -242,6 +247,62 @@ def linked(pairs: DataFrame, filters: DataFrame, docs: DataFrame, width: int, pe
     return stage(verified(both, width, percent), "linked")
 
 
+def signatures(texts: DataFrame, width: int) -> DataFrame:
+    """node and all tokens of its set, 16 bits of each; the k-th token with the same bits counts as another one."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            data, offsets = text_bytes(batch.column(1))
+            own = []
+            for lo, hi in chunks(offsets):
+                h, _, at = shingles(data, offsets[lo : hi + 1], width)
+                for s, e in zip(at[:-1], at[1:]):
+                    bits = np.sort((np.unique(h[s:e]) & np.uint64(0xFFFF)).astype(np.uint32))
+                    again = np.arange(len(bits)) - np.searchsorted(bits, bits)
+                    own.append((bits | again.astype(np.uint32) << np.uint32(16)).tobytes())
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(own, pa.binary())], names=["node", "tokens"])
+
+    return texts.select("node", "text").mapInArrow(run, "node bigint, tokens binary")
+
+
+def compare_blocks(rows: DataFrame, percent: int) -> DataFrame:
+    """a and b, of different components, that can be similar enough by all their tokens.
+
+    `rows` has token (the bucket), left and right (two blocks of it), block, node, comp, tokens.
+    """
+    def run(table: pa.Table) -> pa.Table:
+        node, comp, block = (table[c].to_numpy() for c in ("node", "comp", "block"))
+        sets_ = [np.frombuffer(t.as_py(), np.uint32) for t in table["tokens"]]
+        size = np.array([len(t) for t in sets_])
+        names, flat = np.unique(np.concatenate(sets_), return_inverse=True)
+        at = np.concatenate([[0], np.cumsum(size)])
+        left, right = table["left"][0].as_py(), table["right"][0].as_py()
+        there, a, b = np.zeros(len(names), bool), [], []
+        other = np.flatnonzero(block == right)
+        for i in np.flatnonzero(block == left):
+            there[flat[at[i] : at[i + 1]]] = True
+            common = np.add.reduceat(there[flat], at[:-1], dtype=np.int64)[other]
+            there[flat[at[i] : at[i + 1]]] = False
+            near = other[(100 * common >= percent * (size[i] + size[other] - common)) & (comp[other] != comp[i])]
+            near = near[node[near] > node[i]] if left == right else near
+            a.append(np.full(len(near), node[i]))
+            b.append(node[near])
+        return pa.table({"a": np.concatenate([np.zeros(0, np.int64), *a]), "b": np.concatenate([np.zeros(0, np.int64), *b])})
+
+    return rows.groupBy("token", "left", "right").applyInArrow(run, "a bigint, b bigint").distinct()
+
+
+def in_blocks(large: DataFrame, filters: DataFrame, docs: DataFrame, width: int, percent: int) -> DataFrame:
+    """The pairs of large buckets (token, node, comp, size) that can be links; a bucket's rows are repeated once for each of its blocks."""
+    wanted = stage(filters.select("node", "doc_id", "mark").join(large.select("node").distinct(), "node", "left_semi"), "wanted")
+    tokens = stage(signatures(texts_of(docs, wanted), width), "signatures")
+    count = F.ceil(F.col("size") / BLOCK).cast("int")
+    dealt = large.withColumn("block", F.pmod(F.xxhash64("node"), count).cast("int")).withColumn(
+        "with", F.explode(F.sequence(F.lit(0), count - 1)))
+    rows = dealt.join(tokens, "node").select(
+        "token", F.least("block", "with").alias("left"), F.greatest("block", "with").alias("right"), "block", "node", "comp", "tokens")
+    return compare_blocks(rows, percent)
+
+
 def join(docs: DataFrame, width: int, percent: int) -> DataFrame:
     """doc_id, mark (of the text), n_shingles, node (of equal sets), comp, component_id and links of every row.
 
@@ -295,9 +356,14 @@ def join(docs: DataFrame, width: int, percent: int) -> DataFrame:
             met = stage(votes.groupBy("a").agg(F.max(F.struct("votes", "b")).alias("best")).select("a", "best.b"), "met")
             pairs = stage(ordered(met), "pairs")
         else:
-            with_filters = member.join(_side(filters, "a", "two", "three"), "a")
+            sizes = open_.groupBy("token").agg(F.count(F.lit(1)).alias("size"))
+            sized = stage(open_.join(sizes, "token").select("token", "node", "n", "comp", "size"), "sized")
+            few = sized.where(F.col("size") <= BUCKET).select("token", F.col("node").alias("a"), F.col("n").alias("a_n"), F.col("comp").alias("a_c"))
+            with_filters = few.join(_side(filters, "a", "two", "three"), "a")
             other = with_filters.toDF(*[c.replace("a_", "b_") if c != "a" else "b" for c in with_filters.columns])
-            pairs = stage(ordered(likely(with_filters.join(other, "token").where((F.col("a_c") < F.col("b_c")) & _meet()))), "pairs")
+            met = likely(with_filters.join(other, "token").where((F.col("a_c") < F.col("b_c")) & _meet())).select("a", "b")
+            large = sized.where(F.col("size") > BUCKET)
+            pairs = stage(ordered(met if large.isEmpty() else met.union(in_blocks(large, filters, docs, width, percent))), "pairs")
         fresh = False
         if not pairs.isEmpty():
             found = linked(pairs, filters, docs, width, percent, met=last)

@@ -118,3 +118,33 @@ def test_columns_may_have_any_names(spark):
     kept = jaccard.keep_one(docs)
     assert kept.columns == docs.columns
     assert sorted(tuple(r) for r in kept.collect()) == [rows[0], rows[2]]
+
+
+@pytest.mark.parametrize(("bucket", "block"), [(2, 5), (2, 1000)])
+def test_large_buckets_in_blocks(spark, monkeypatch, bucket, block):
+    monkeypatch.setattr(jaccard, "BUCKET", bucket)
+    monkeypatch.setattr(jaccard, "BLOCK", block)
+    monkeypatch.setattr(jaccard, "MAX_ROUNDS", 1)  # leave much to the blocks
+    pick = random.Random(8)
+    base = [f"w{pick.randrange(10 ** 6)}" for _ in range(60)]
+    rows = []
+    for i in range(70):
+        text = base[:]
+        for _ in range(pick.randint(0, 3)):
+            text[pick.randrange(60)] = f"v{i}x{pick.randrange(10 ** 6)}"
+        rows.append((i, " ".join(text)))
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    for width, percent in ((3, 90), (5, 80)):
+        assert got(jaccard.join(docs, width, percent)) == brute(rows, width, percent)
+
+
+def test_signatures_never_hide_a_common_token(spark):
+    pick = random.Random(3)
+    texts = [" ".join(f"w{pick.randrange(3000)}" for _ in range(4000)) for _ in range(3)]  # more tokens than bits can tell apart
+    docs = spark.createDataFrame(list(enumerate(texts)), "node long, text string")
+    sig = {r.node: set(jaccard.np.frombuffer(r.tokens, jaccard.np.uint32).tolist()) for r in jaccard.signatures(docs, 1).collect()}
+    plain = plain_sets(texts, 1)
+    for i in range(3):
+        assert len(sig[i]) == len(plain[i])
+        for j in range(3):
+            assert len(sig[i] & sig[j]) >= len(plain[i] & plain[j])
