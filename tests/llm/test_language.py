@@ -85,3 +85,37 @@ def test_columns_may_have_any_names(spark):
         (1, "a", rows[0][1], 1.0, "en"), (2, "b", rows[1][1], 2.0, "de"), (3, "c", "12", 3.0, "und")]
     sure = language.keep_sure(docs, model, 0.5)
     assert sure.schema == docs.schema and {r.doc_id for r in sure.collect()} == {1, 2}
+
+
+def test_query_against_plain_counting(spark):
+    """Sample, counts, weights, best language and posterior by loops over single documents."""
+    import math
+    from collections import Counter, defaultdict
+    from zlib import crc32
+
+    folder = "/root/testdata/sf0.001"
+    rows = [(r.doc_id, r.text, r.lang) for r in spark.read.parquet(f"{folder}/documents.parquet").collect()]
+
+    def buckets(text):
+        return [int(b) for own, _ in language.grams(*text_bytes(pa.array([text], pa.string()))) for b in own]
+
+    counts, documents = defaultdict(Counter), Counter()
+    for doc_id, text, lang in rows:
+        if lang is not None and doc_id is not None and crc32(str(doc_id).encode()) % 4 != 2:
+            counts[lang].update(buckets(text))
+            documents[lang] += 1
+    assert max(documents.values()) <= language.PER_LANGUAGE
+    size = 1 << language.BUCKET_BITS
+    expected = {}
+    for doc_id, text, _ in rows:
+        own = buckets(text)
+        logs = {k: math.log(documents[k] / sum(documents.values())) for k in sorted(counts)}
+        for k in logs:
+            total = sum(counts[k].values()) + language.SMOOTHING * size
+            logs[k] += sum(math.log((counts[k][b] + language.SMOOTHING) / total) for b in own)
+        best = max(logs, key=logs.get)
+        expected[doc_id] = (best, 1 / sum(math.exp(v - logs[best]) for v in logs.values())) if own else ("und", 0.0)
+    got = {r.doc_id: (r.lang_pred, r.score) for r in QUERIES["op1_language_id"](spark, folder).collect()}
+    assert got.keys() == expected.keys()
+    for d, (lang, score) in expected.items():
+        assert got[d][0] == lang and abs(got[d][1] - score) < 1e-3, d

@@ -64,3 +64,37 @@ def test_a_score_does_not_depend_on_neighbours():
         return tagger.scores(tagger.marginals(seq), seq.first)
     together = scores(texts)
     assert np.allclose(together, [scores([t])[0] for t in texts])
+
+
+def test_query_against_plain_loops(spark):
+    """Scores of whole texts by a forward-backward pass in plain Python, word by word."""
+    import math
+
+    folder = "/root/testdata/sf0.01"
+    docs, labels = (spark.read.parquet(f"{folder}/{t}.parquet") for t in ("documents", "labels"))
+    tagger = toxicity.fit(docs, labels)
+    weight, a = dict(zip(tagger.known.tolist(), tagger.weights)), np.exp(tagger.transitions)
+
+    def plain(text):
+        words = toxicity.sequences(*text_bytes(pa.array([text], pa.string()))).features.tolist()
+        e = [math.exp(min(max(tagger.bias + sum(weight.get(f, 0.0) for f in w), -30), 30)) for w in words]
+        forward, backward = [], [None] * len(e)
+        for t, x in enumerate(e):  # states clean and toxic, scaled at each step
+            clean, toxic = (1.0, x) if not t else (
+                forward[-1][0] * a[0, 0] + forward[-1][1] * a[1, 0], x * (forward[-1][0] * a[0, 1] + forward[-1][1] * a[1, 1]))
+            forward.append((clean / (clean + toxic), toxic / (clean + toxic)))
+        for t in reversed(range(len(e))):
+            if t == len(e) - 1:
+                backward[t] = (0.5, 0.5)
+            else:
+                c, x = backward[t + 1][0], e[t + 1] * backward[t + 1][1]
+                clean, toxic = a[0, 0] * c + a[0, 1] * x, a[1, 0] * c + a[1, 1] * x
+                backward[t] = (clean / (clean + toxic), toxic / (clean + toxic))
+        p = [f[1] * b[1] / (f[0] * b[0] + f[1] * b[1]) for f, b in zip(forward, backward)]
+        x = tagger.document @ [1, math.log1p(sum(p)), max(p, default=0.0)]
+        return 1 / (1 + math.exp(-min(max(x, -30), 30)))
+
+    got = {r.doc_id: r.score for r in QUERIES["op8_toxicity"](spark, folder).collect()}
+    texts = {r.doc_id: r.text for r in docs.collect()}
+    assert got.keys() == texts.keys() and any(s > 0.9 for s in got.values())
+    assert all(abs(got[d] - plain(t)) < 1e-6 for d, t in texts.items())
