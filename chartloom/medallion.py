@@ -152,12 +152,16 @@ def load_charts(spark: SparkSession, lake: Lake) -> dict[str, int]:
 
 # --- gold --------------------------------------------------------------------
 
-def _gold(plan, needs_tracks: bool = True):
+def _gold(plan, needs_tracks: bool = True, order: str | None = None):
+    """A mart; with an `order`, for marts of a few rows, it is stored as one file in that order."""
     def build(spark: SparkSession, lake: Lake, key: str) -> dict[str, int]:
         inputs = [read_table(spark, lake, "silver.charts_enriched")]
         if needs_tracks:
             inputs.append(read_table(spark, lake, "silver.tracks_charted"))
-        return _write(plan(*inputs), lake, key)
+        mart = plan(*inputs)
+        if order:
+            return _write(mart.repartition(1).sortWithinPartitions(order), lake, key, sized=False)
+        return _write(mart, lake, key)
     return build
 
 
@@ -179,7 +183,7 @@ SILVER = {
 GOLD = {
     "gold.regional_mood_seasonal": _gold(mood.build_regional_mood_seasonal, needs_tracks=False),
     "gold.streak_analysis": _gold(streaks.build_streak_analysis, needs_tracks=False),
-    "gold.sonic_dna_by_rank_tier": _gold(tiers.build_sonic_dna),
+    "gold.sonic_dna_by_rank_tier": _gold(tiers.build_sonic_dna, order="stream_decile"),
     "gold.track_longevity": _gold(longevity.build_track_longevity),
     "gold.global_top_artists": _gold(artists.build_top_artists),
 }

@@ -288,6 +288,19 @@ def csv_rows(spark, folder):
     return rows.where(F.col(schemas.CORRUPT_COLUMN).isNull()).drop(schemas.CORRUPT_COLUMN)
 
 
+@query("csv_bom_multi_line", expect("feed", (
+    "SELECT title || chr(10) || '\"live\", ' || region AS title, \"rank\", date, artist, url, region, chart, trend, nullif(streams, '') AS streams FROM feed"
+)))
+def csv_bom_multi_line(spark, folder):
+    """Files that begin with a byte order mark, with titles of two lines, quotes and separators."""
+    title = F.concat("title", F.lit("\n\"live\", "), "region")
+    rows = bindings.feed(spark, folder).withColumn("title", title).select(*schemas.CHARTS_RAW_SCHEMA.fieldNames())
+    path = staging_path(spark, "bom")
+    # the header of every file starts with the mark
+    rows.withColumnRenamed("title", "\ufefftitle").write.option("header", "true").option("quoteAll", "true").csv(path)
+    return read_csv(spark, path, schemas.CHARTS_RAW_SCHEMA, multi_line=True, corrupt_column=None)
+
+
 def _check(name: str, observed: str, passed: str, layer: str, source: str) -> str:
     return (
         f"SELECT '{layer}' AS layer, '{name}' AS \"check\", CAST({observed} AS BIGINT) AS observed,"

@@ -101,6 +101,7 @@ def test_gold_tables_serve(spark, lake):
     lake = lake[0]
     tiers = load_gold(spark, lake, "sonic_dna_by_rank_tier")
     assert {r.stream_decile: r.track_count for r in tiers.collect()} == {i: 3 for i in range(1, 11)}
+    assert [r.stream_decile for r in tiers.collect()] == list(range(1, 11))  # as written
     mood = load_gold(spark, lake, "regional_mood_seasonal")
     shares = mood.groupBy("region", "year", "season").agg(F.sum("mood_share").alias("s")).collect()
     assert all(r.s == pytest.approx(1.0) for r in shares)
