@@ -10,6 +10,7 @@ from chartloom.functions import dates
 from chartloom.operators.positions import group_medians
 from chartloom.operators.shaping import top_per_group
 from chartloom.operators.windows import per_day, rolling, running
+from chartloom.sinks.staging import stage
 
 GOLD_TABLE = "global_top_artists"
 CHART = "top200"
@@ -35,8 +36,19 @@ def cumulative_streams(days: DataFrame) -> DataFrame:
     return days.withColumn("cumulative_streams", F.sum("streams").over(running(["artist"], "chart_date")))
 
 
+def artist_track_days(charts: DataFrame) -> DataFrame:
+    """Streams and entries per artist, track and day: the finest grain the leaderboard needs, one row for all regions."""
+    return charts.groupBy("artist", "chart_date", "track_id").agg(
+        F.sum("streams").alias("streams"), F.count(F.lit(1)).alias("entries"))
+
+
 def artist_months(charts: DataFrame, days_back: int = 90, per_entry: bool = True) -> DataFrame:
-    """Monthly streams, tracks, entries and mean rolling streams per artist.
+    """Monthly streams, tracks, entries and mean rolling streams per artist; see `months_of`."""
+    return months_of(artist_days(charts), charts, days_back, per_entry)
+
+
+def months_of(days: DataFrame, tracked: DataFrame, days_back: int = 90, per_entry: bool = True) -> DataFrame:
+    """The same from artist days and from any rows that name artist, day and track.
 
     The mean of the rolling sum weighs a day by its entries (`per_entry`), as if it were
     taken over chart rows, or counts each day once. The rolling frame runs over artist
@@ -47,7 +59,7 @@ def artist_months(charts: DataFrame, days_back: int = 90, per_entry: bool = True
     weight = F.col("entries") if per_entry else F.lit(1)
     known = F.when(F.col(rolled).isNotNull(), weight)
     monthly = (
-        rolling_streams(artist_days(charts), days_back)
+        rolling_streams(days, days_back)
         .groupBy("artist", dates.month_start("chart_date").alias("month_start"))
         .agg(
             F.sum("streams").alias("monthly_streams"),
@@ -58,7 +70,7 @@ def artist_months(charts: DataFrame, days_back: int = 90, per_entry: bool = True
         )
     )
     tracks = (
-        charts.groupBy("artist", dates.month_start("chart_date").alias("month_start"))
+        tracked.groupBy("artist", dates.month_start("chart_date").alias("month_start"))
         .agg(F.count_distinct("track_id").alias("distinct_tracks"))
     )
     monthly, tracks = monthly.alias("m"), tracks.alias("t")
@@ -94,9 +106,15 @@ def artist_median_profiles(charts: DataFrame, tracks: DataFrame, features: Seque
 
 
 def build_top_artists(enriched: DataFrame, tracks: DataFrame, top: int = 100) -> DataFrame:
-    charts = enriched.where(F.col("chart") == CHART)
-    board = monthly_leaderboard(artist_months(charts), top)
-    return board.join(artist_profiles(charts, tracks), "artist", "left")
+    """One scan of the charts: days, months and artist-track pairs are taken from the stored finest grain.
+
+    Profiles are made of the board's own artists only.
+    """
+    grain = stage(artist_track_days(enriched.where(F.col("chart") == CHART)), "artist-track-days")
+    days = grain.groupBy("artist", "chart_date").agg(F.sum("streams").alias("streams"), F.sum("entries").alias("entries"))
+    board = stage(monthly_leaderboard(months_of(days, grain), top), "leaderboard")
+    theirs = grain.join(board.select("artist").distinct(), "artist", "left_semi")
+    return board.join(artist_profiles(theirs, tracks), "artist", "left")
 
 
 def collaboration_profile(track_artists: DataFrame, track: str = "track_id", artist: str = "artist_name") -> DataFrame:
