@@ -46,7 +46,7 @@ COMMON_LEAST = 6  # documents that have a token, from which on it counts as comm
 COMMON_MOST = 1 << 21  # common tokens that all tasks know: 5 bytes each
 BLOCK_BYTES = 16 << 20  # of text, whose tokens one task counts
 MAX_ROUNDS, MAX_STEPS = 6, 60
-BUCKET = 64  # nodes; larger buckets are compared in blocks, inside tasks
+BUCKET = 256  # nodes; larger buckets are compared in blocks, inside tasks
 BLOCK = 1024  # nodes of a block
 
 _SEEDS = mix(np.arange(11, 31, dtype=np.uint64))
@@ -78,8 +78,19 @@ def _bits(values: np.ndarray) -> np.ndarray:
     return values.view(np.int64)
 
 
+def planes(values: np.ndarray) -> bytes:
+    """All first bytes, then all second bytes and so on: small numbers compress well that way."""
+    return values.view(np.uint8).reshape(len(values), values.itemsize).T.tobytes()
+
+
+def numbers(raw: bytes, kind: type) -> np.ndarray:
+    """What `planes` was given."""
+    size = np.dtype(kind).itemsize
+    return np.ascontiguousarray(np.frombuffer(raw, np.uint8).reshape(size, -1).T).view(kind).ravel()
+
+
 def common_tokens(docs: DataFrame, width: int) -> tuple[np.ndarray, np.ndarray]:
-    """The most common tokens (lower half of their hash, sorted) and the binary logarithm of their document counts."""
+    """The most common tokens (lower half of their hash, sorted) and their levels: four times the binary logarithm of their document counts."""
     size = docs.agg(F.sum(F.octet_length("text")).alias("n")).first()["n"] or 0
     parts = 1 + size // BLOCK_BYTES
 
@@ -93,21 +104,24 @@ def common_tokens(docs: DataFrame, width: int) -> tuple[np.ndarray, np.ndarray]:
                 # sorted hashes, cut at equal distances
                 cuts = np.searchsorted(tokens.astype(np.uint64) * np.uint64(parts) >> np.uint64(32), np.arange(parts + 1))
                 full = np.flatnonzero(np.diff(cuts))
+                steps = np.diff(tokens, prepend=np.uint32(0))
+                steps[cuts[full]] = tokens[cuts[full]]
+                n = np.minimum(n, 65535).astype(np.uint16)
                 yield pa.RecordBatch.from_arrays([
                     pa.array(full.astype(np.int32)),
-                    pa.array([tokens[cuts[p] : cuts[p + 1]].tobytes() for p in full], pa.binary()),
-                    pa.array([np.minimum(n[cuts[p] : cuts[p + 1]], 65535).astype(np.uint16).tobytes() for p in full], pa.binary()),
-                ], names=["part", "tokens", "counts"])
+                    pa.array([planes(steps[cuts[p] : cuts[p + 1]]) for p in full], pa.binary()),
+                    pa.array([planes(n[cuts[p] : cuts[p + 1]]) for p in full], pa.binary()),
+                ], names=["part", "steps", "counts"])
 
     def counted(table: pa.Table) -> pa.Table:
-        tokens = np.concatenate([np.frombuffer(t.as_py(), np.uint32) for t in table["tokens"]])
-        n = np.concatenate([np.frombuffer(t.as_py(), np.uint16) for t in table["counts"]])
+        tokens = np.concatenate([np.cumsum(numbers(t.as_py(), np.uint32), dtype=np.uint32) for t in table["steps"]])
+        n = np.concatenate([numbers(t.as_py(), np.uint16) for t in table["counts"]])
         names, place = np.unique(tokens, return_inverse=True)
         total = np.bincount(place, n, len(names)).astype(np.int64)
         many = total >= COMMON_LEAST
         return pa.table({"token": names[many].astype(np.int64), "n": total[many]})
 
-    cut = docs.select("text").mapInArrow(blocks, "part int, tokens binary, counts binary")
+    cut = docs.select("text").mapInArrow(blocks, "part int, steps binary, counts binary")
     found = stage(cut.groupBy("part").applyInArrow(counted, "token bigint, n bigint"), "common")
     # the bound on their number sets the count from which on tokens are taken
     least, taken = COMMON_LEAST, 0
@@ -119,7 +133,7 @@ def common_tokens(docs: DataFrame, width: int) -> tuple[np.ndarray, np.ndarray]:
     table = found.where(F.col("n") >= least).toArrow()
     tokens, n = table["token"].to_numpy().astype(np.uint32), table["n"].to_numpy()
     order = np.argsort(tokens)
-    return tokens[order], np.log2(n[order]).astype(np.uint8)
+    return tokens[order], np.minimum(4 * np.log2(n[order]), 63).astype(np.uint8)
 
 
 def sets(docs: DataFrame, width: int, percent: int) -> DataFrame:
@@ -364,10 +378,10 @@ def join(docs: DataFrame, width: int, percent: int) -> DataFrame:
             met = likely(with_filters.join(other, "token").where((F.col("a_c") < F.col("b_c")) & _meet())).select("a", "b")
             large = sized.where(F.col("size") > BUCKET)
             pairs = stage(ordered(met if large.isEmpty() else met.union(in_blocks(large, filters, docs, width, percent))), "pairs")
-        fresh = False
-        if not pairs.isEmpty():
+        fresh, asked = 0, 0 if last else pairs.count()
+        if last or asked:
             found = linked(pairs, filters, docs, width, percent, met=last)
-            fresh = not found.isEmpty()
+            fresh = found.count()
             if not last:
                 both_ways = pairs.select(F.col("a").alias("low"), F.col("b").alias("high"))
                 both_ways = both_ways.union(both_ways.select("high", "low"))
@@ -378,7 +392,7 @@ def join(docs: DataFrame, width: int, percent: int) -> DataFrame:
         if last:
             break
         turn += 1
-        last = turn == MAX_ROUNDS or turn > 1 and not fresh
+        last = turn == MAX_ROUNDS or turn > 1 and fresh * 20 <= asked  # few leaders find anything any more
     result = table.select("doc_id", "mark", F.col("n").alias("n_shingles"), "node")
     if links is None:
         empty = classes.select("node").limit(0)
