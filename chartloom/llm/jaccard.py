@@ -18,7 +18,8 @@ with other leaders as long as that finds links: first the text with most copies,
 node with most links, since copies gather around such. Only nodes of different components
 are compared, because a link inside a component would tell nothing new. What is left at the
 end is compared without exception, so no link between components is lost: in small buckets
-all pairs that lie in different components and meet all filters; large buckets, such as many
+all pairs that lie in different components and meet all filters (tiny ones pair by id first, as
+the same few nodes share many tokens); large buckets, such as many
 variants of a text that differ a little too much, are cut into blocks, and a task compares
 two blocks by all their tokens (16 bits of each, which never hides a common one) and passes
 on only pairs that can still be similar enough.
@@ -46,6 +47,7 @@ COMMON_LEAST = 6  # documents that have a token, from which on it counts as comm
 COMMON_MOST = 1 << 21  # common tokens that all tasks know: 5 bytes each
 BLOCK_BYTES = 16 << 20  # of text, whose tokens one task counts
 MAX_ROUNDS, MAX_STEPS = 6, 60
+TINY = 12  # nodes of a bucket whose pairs are written before they are filtered
 BUCKET = 256  # nodes; larger buckets are compared in blocks, inside tasks
 BLOCK = 1024  # nodes of a block
 
@@ -90,7 +92,7 @@ def numbers(raw: bytes, kind: type) -> np.ndarray:
 
 
 def common_tokens(docs: DataFrame, width: int) -> tuple[np.ndarray, np.ndarray]:
-    """The most common tokens (lower half of their hash, sorted) and their levels: four times the binary logarithm of their document counts."""
+    """The most common tokens (upper half of their hash, sorted) and their levels: four times the binary logarithm of their document counts."""
     size = docs.agg(F.sum(F.octet_length("text")).alias("n")).first()["n"] or 0
     parts = 1 + size // BLOCK_BYTES
 
@@ -99,7 +101,7 @@ def common_tokens(docs: DataFrame, width: int) -> tuple[np.ndarray, np.ndarray]:
             data, offsets = text_bytes(batch.column(0))
             for lo, hi in chunks(offsets):
                 h, _, at = shingles(data, offsets[lo : hi + 1], width)
-                own = [np.unique(h[s:e].astype(np.uint32)) for s, e in zip(at[:-1], at[1:])]
+                own = [np.unique((h[s:e] >> np.uint64(32)).astype(np.uint32)) for s, e in zip(at[:-1], at[1:])]
                 tokens, n = np.unique(np.concatenate(own), return_counts=True)
                 # sorted hashes, cut at equal distances
                 cuts = np.searchsorted(tokens.astype(np.uint64) * np.uint64(parts) >> np.uint64(32), np.arange(parts + 1))
@@ -162,7 +164,7 @@ def sets(docs: DataFrame, width: int, percent: int) -> DataFrame:
                         continue
                     level = np.zeros(n, np.uint64)
                     if len(common):
-                        half = tokens.astype(np.uint32)
+                        half = (tokens >> np.uint64(32)).astype(np.uint32)  # in order, as the tokens are
                         place = np.minimum(np.searchsorted(common, half), len(common) - 1)
                         there = common[place] == half
                         level[there] = levels[place[there]]
@@ -246,13 +248,18 @@ def _meet() -> Column:
     return F.arrays_overlap("a_two", "b_two") & F.arrays_overlap("a_three", "b_three")
 
 
+def filtered(pairs: DataFrame, filters: DataFrame) -> DataFrame:
+    """The pairs (a, b) whose prefixes meet under the orders two and three."""
+    return pairs.join(_side(filters, "a", "two", "three"), "a").join(_side(filters, "b", "two", "three"), "b").where(_meet()).select("a", "b")
+
+
 def linked(pairs: DataFrame, filters: DataFrame, docs: DataFrame, width: int, percent: int, met: bool = False) -> DataFrame:
     """The pairs (a, b) whose sets are similar enough: filters of orders two and three, unless `met`, then the whole sets.
 
     `filters` has a row for each node.
     """
     if not met:
-        pairs = stage(pairs.join(_side(filters, "a", "two", "three"), "a").join(_side(filters, "b", "two", "three"), "b").where(_meet()).select("a", "b"), "close")
+        pairs = stage(filtered(pairs, filters), "close")
     asked = pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct()
     wanted = stage(filters.select("node", "doc_id", "mark").join(asked, "node"), "wanted")
     whole = stage(texts_of(docs, wanted), "whole-texts")
@@ -372,12 +379,20 @@ def join(docs: DataFrame, width: int, percent: int) -> DataFrame:
         else:
             sizes = open_.groupBy("token").agg(F.count(F.lit(1)).alias("size"))
             sized = stage(open_.join(sizes, "token").select("token", "node", "n", "comp", "size"), "sized")
-            few = sized.where(F.col("size") <= BUCKET).select("token", F.col("node").alias("a"), F.col("n").alias("a_n"), F.col("comp").alias("a_c"))
-            with_filters = few.join(_side(filters, "a", "two", "three"), "a")
-            other = with_filters.toDF(*[c.replace("a_", "b_") if c != "a" else "b" for c in with_filters.columns])
-            met = likely(with_filters.join(other, "token").where((F.col("a_c") < F.col("b_c")) & _meet())).select("a", "b")
-            large = sized.where(F.col("size") > BUCKET)
-            pairs = stage(ordered(met if large.isEmpty() else met.union(in_blocks(large, filters, docs, width, percent))), "pairs")
+            # tiny buckets make fewer pairs than their rows with all filters would weigh; most pairs come from several of them
+            tiny, few, large = (sized.where(w) for w in (
+                F.col("size") <= TINY, (F.col("size") > TINY) & (F.col("size") <= BUCKET), F.col("size") > BUCKET))
+            left = tiny.select("token", F.col("node").alias("a"), F.col("n").alias("a_n"), F.col("comp").alias("a_c"))
+            right = tiny.select("token", F.col("node").alias("b"), F.col("n").alias("b_n"), F.col("comp").alias("b_c"))
+            close = filtered(stage(ordered(likely(left.join(right, "token").where(F.col("a_c") < F.col("b_c")))), "pairs"), filters)
+            if not few.isEmpty():
+                left = few.select("token", F.col("node").alias("a"), F.col("n").alias("a_n"), F.col("comp").alias("a_c")).join(
+                    _side(filters, "a", "two", "three"), "a")
+                right = left.toDF(*[c.replace("a_", "b_") if c != "a" else "b" for c in left.columns])
+                close = close.union(likely(left.join(right, "token").where((F.col("a_c") < F.col("b_c")) & _meet())).select("a", "b"))
+            if not large.isEmpty():
+                close = close.union(in_blocks(large, filters, docs, width, percent))
+            pairs = stage(ordered(close), "close")
         fresh, asked = 0, 0 if last else pairs.count()
         if last or asked:
             found = linked(pairs, filters, docs, width, percent, met=last)

@@ -122,6 +122,7 @@ def test_columns_may_have_any_names(spark):
 
 @pytest.mark.parametrize(("bucket", "block"), [(2, 5), (2, 1000)])
 def test_large_buckets_in_blocks(spark, monkeypatch, bucket, block):
+    monkeypatch.setattr(jaccard, "TINY", 1)
     monkeypatch.setattr(jaccard, "BUCKET", bucket)
     monkeypatch.setattr(jaccard, "BLOCK", block)
     monkeypatch.setattr(jaccard, "MAX_ROUNDS", 1)  # leave much to the blocks
