@@ -148,6 +148,8 @@ def sets(docs: DataFrame, width: int, percent: int) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         common, levels = known.value
+        maybe = np.zeros(1 << 24, bool)  # by the first bits: most tokens need no look-up
+        maybe[common >> np.uint32(8)] = True
         for batch in batches:
             data, offsets = text_bytes(batch.column(2))
             sizes, nodes, prefixes = [], [], ([], [], [])
@@ -163,11 +165,12 @@ def sets(docs: DataFrame, width: int, percent: int) -> DataFrame:
                             prefixes[k].append(np.zeros(0, np.int64 if not k else np.int16))
                         continue
                     level = np.zeros(n, np.uint64)
-                    if len(common):
-                        half = (tokens >> np.uint64(32)).astype(np.uint32)  # in order, as the tokens are
-                        place = np.minimum(np.searchsorted(common, half), len(common) - 1)
-                        there = common[place] == half
-                        level[there] = levels[place[there]]
+                    half = (tokens >> np.uint64(32)).astype(np.uint32)  # in order, as the tokens are
+                    look = np.flatnonzero(maybe[half >> np.uint32(8)])
+                    if len(look):
+                        place = np.minimum(np.searchsorted(common, half[look]), len(common) - 1)
+                        there = common[place] == half[look]
+                        level[look[there]] = levels[place[there]]
                     # fewer documents first; then, in two of the orders, longer words first, as they tend to be rarer
                     long = np.uint64(255) - np.minimum(length[s:e][first], 255).astype(np.uint64)
                     for k, lead in enumerate((long, np.uint64(0), long >> np.uint64(4))):
