@@ -33,6 +33,7 @@ BUCKET_BITS = 16
 SLICES = 64  # of a language, ranked apart
 PER_LANGUAGE = 1500  # the documented bound of the training sample: rows per language
 SMOOTHING = 0.5
+SLICE_BYTES = 256 << 10  # of text, whose n-grams are at hand at once (more for one longer text)
 
 _BLANK = 32
 _FOLDED: list[np.ndarray] = []
@@ -137,7 +138,7 @@ def fit(docs: DataFrame, fit_on: Column | None = None, per_language: int = PER_L
         for batch in batches:
             data, offsets = text_bytes(batch.column(1))
             languages = np.array(batch.column(0).to_pylist(), dtype=object)
-            for lo, hi in chunks(offsets):
+            for lo, hi in chunks(offsets, SLICE_BYTES):
                 for lang in set(languages[lo:hi]):
                     sums.setdefault(lang, np.zeros((1 << BUCKET_BITS) + 1, np.int64))[-1] += (languages[lo:hi] == lang).sum()
                 for buckets, at in grams(data, offsets[lo : hi + 1]):
@@ -189,7 +190,7 @@ def keep_sure(docs: DataFrame, model: Model, least: float, text: str = "text") -
 
 def _scored(model: Model, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     data, offsets = text_bytes(texts)
-    found = [model.score(data, offsets[lo : hi + 1]) for lo, hi in chunks(offsets)]
+    found = [model.score(data, offsets[lo : hi + 1]) for lo, hi in chunks(offsets, SLICE_BYTES)]
     if not found:
         return np.zeros(0, int), np.zeros(0)
     return np.concatenate([f[0] for f in found]), np.concatenate([f[1] for f in found])
