@@ -18,6 +18,7 @@ from __future__ import annotations
 import base64
 import codecs
 import hashlib
+from array import array
 from collections.abc import Iterable, Iterator
 
 import numpy as np
@@ -29,12 +30,7 @@ from chartloom.llm.catalog import query
 from chartloom.llm.common import documents
 
 DEAD = -1
-_BITS = 28  # of a token and of a node in a packed entry
-_LOW = (1 << _BITS) - 1
-
-
-def _entry(parent: int, token: int, node: int) -> int:
-    return ((parent + 1) << _BITS | token + 1) << _BITS | node + 1
+_START = array("i", (DEAD, DEAD, 0)).tobytes()
 
 
 def read_ranks(path: str) -> dict[bytes, int]:
@@ -57,8 +53,8 @@ def merge_pairs(ranks: dict[bytes, int], piece: bytes, until: int = 1) -> list[i
 class Transducer:
     """Bytes in, token ids out, one pass, tables made on demand.
 
-    A state is a tuple of entries (parent, token, node), oldest position first, each packed
-    into one integer. Entry 0 is the settled position; the other entries hang on it as a tree
+    A state is a row of entries (parent, token, node), oldest position first, kept as the bytes
+    of their 32-bit integers. Entry 0 is the settled position; the other entries hang on it as a tree
     whose edges are tokens not emitted yet. `node` is the place in the token trie of the bytes
     read since the position.
     """
@@ -86,12 +82,16 @@ class Transducer:
         self._forget()
 
     def _forget(self) -> None:
-        start = (_entry(DEAD, DEAD, 0),)
-        self.states: list[tuple[int, ...]] = [start]
-        self.number = {start: 0}
+        self.rows: list[bytes] = [_START]
+        self.number = {_START: 0}
         self.steps: dict[int, tuple[int, tuple[int, ...]]] = {}
         self.finals: dict[int, tuple[int, ...]] = {}
 
+    @property
+    def states(self) -> list[tuple[tuple[int, ...], ...]]:
+        """The states made so far, each with its entries."""
+        return [tuple(zip(*[iter(array("i", row))] * 3)) for row in self.rows]
+
     def _apart(self, left: int, right: int) -> bool:
         """Whether no merge ever joins bytes of two neighbouring tokens.
 
@@ -122,10 +122,9 @@ class Transducer:
             self.pairs[(left + 1) << 32 | right] = known
         return known
 
-    def _step(self, state: tuple[int, ...], byte: int) -> tuple[tuple[int, ...], tuple[int, ...]]:
-        parents = [(e >> 2 * _BITS) - 1 for e in state]
-        tokens = [(e >> _BITS & _LOW) - 1 for e in state]
-        nodes = [(e & _LOW) - 1 for e in state]
+    def _step(self, state: bytes, byte: int) -> tuple[bytes, tuple[int, ...]]:
+        entries = array("i", state).tolist()
+        parents, tokens, nodes = entries[::3], entries[1::3], entries[2::3]
         trie, token_at, alive, n = self.trie.get, self.token_at, [], len(nodes)
         owner = DEAD
         for i, node in enumerate(nodes):
@@ -156,19 +155,20 @@ class Transducer:
             root = children[root]
             emitted.append(tokens[root])
         place = {root: 0}
-        kept = [_entry(DEAD, DEAD if nodes[root] == DEAD else tokens[root], nodes[root])]
+        kept = array("i", (DEAD, DEAD if nodes[root] == DEAD else tokens[root], nodes[root]))
         for i in range(root + 1, n + 1):
             if needed[i] and parents[i] in place:
                 place[i] = len(place)
-                kept.append(_entry(place[parents[i]], tokens[i], nodes[i]))
-        return tuple(kept), tuple(emitted)
+                kept.extend((place[parents[i]], tokens[i], nodes[i]))
+        return kept.tobytes(), tuple(emitted)
 
-    def _rest(self, state: tuple[int, ...]) -> tuple[int, ...]:
+    def _rest(self, state: bytes) -> tuple[int, ...]:
         """At the end of the input the newest position is the one that counts."""
-        tokens, i = [], len(state) - 1
+        entries = array("i", state)
+        tokens, i = [], len(entries) // 3 - 1
         while i:
-            tokens.append((state[i] >> _BITS & _LOW) - 1)
-            i = (state[i] >> 2 * _BITS) - 1
+            tokens.append(entries[3 * i + 1])
+            i = entries[3 * i]
         return tuple(reversed(tokens))
 
     def encode(self, piece: bytes) -> list[int]:
@@ -177,26 +177,26 @@ class Transducer:
         for byte in piece:
             step = steps.get(at << 8 | byte)
             if step is None:
-                state, emitted = self._step(self.states[at], byte)
+                state, emitted = self._step(self.rows[at], byte)
                 to = self.number.get(state)
                 if to is None:
-                    if len(self.states) >= self.max_states:  # made again as they are met again; the present one stays
+                    if len(self.rows) >= self.max_states:  # made again as they are met again; the present one stays
                         self._forget()
                         steps = self.steps
-                        at = self.number.setdefault(state, len(self.states))
-                        if at == len(self.states):
-                            self.states.append(state)
+                        at = self.number.setdefault(state, len(self.rows))
+                        if at == len(self.rows):
+                            self.rows.append(state)
                         out += emitted
                         continue
-                    to = self.number[state] = len(self.states)
-                    self.states.append(state)
+                    to = self.number[state] = len(self.rows)
+                    self.rows.append(state)
                 step = steps[at << 8 | byte] = to, emitted
             at, emitted = step
             if emitted:
                 out += emitted
         final = self.finals.get(at)
         if final is None:
-            final = self.finals[at] = self._rest(self.states[at])
+            final = self.finals[at] = self._rest(self.rows[at])
         out += final
         return out
 
