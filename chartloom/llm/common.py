@@ -101,7 +101,7 @@ class _Powers:
 
     def to(self, n: int) -> tuple[np.ndarray, np.ndarray]:
         if len(self.up) <= n:
-            n = max(n + 1, CHUNK_BYTES + 64)
+            n = max(n + 1, 2 * len(self.up), 1 << 16)
             inverse = np.uint64(pow(int(_P), -1, 1 << 64))
             with np.errstate(over="ignore"):
                 self.up = np.cumprod(np.r_[np.uint64(1), np.full(n, _P)])

@@ -46,6 +46,7 @@ from chartloom.sinks.staging import stage
 COMMON_LEAST = 6  # documents that have a token, from which on it counts as common
 COMMON_MOST = 1 << 21  # common tokens that all tasks know: 5 bytes each
 BLOCK_BYTES = 16 << 20  # of text, whose tokens one task counts
+SLICE_BYTES = 256 << 10  # of text, whose words and shingles are at hand at once (more for one longer text)
 MAX_ROUNDS, MAX_STEPS = 6, 60
 TINY = 12  # nodes of a bucket whose pairs are written before they are filtered
 BUCKET = 256  # nodes; larger buckets are compared in blocks, inside tasks
@@ -100,8 +101,10 @@ def common_tokens(docs: DataFrame, width: int) -> tuple[np.ndarray, np.ndarray]:
         for batch in batches:
             data, offsets = text_bytes(batch.column(0))
             for lo, hi in chunks(offsets):
-                h, _, at = shingles(data, offsets[lo : hi + 1], width)
-                own = [np.unique((h[s:e] >> np.uint64(32)).astype(np.uint32)) for s, e in zip(at[:-1], at[1:])]
+                own = []
+                for a, b in chunks(offsets[lo : hi + 1], SLICE_BYTES):
+                    h, _, at = shingles(data, offsets[lo + a : lo + b + 1], width)
+                    own += [np.unique((h[s:e] >> np.uint64(32)).astype(np.uint32)) for s, e in zip(at[:-1], at[1:])]
                 tokens, n = np.unique(np.concatenate(own), return_counts=True)
                 # sorted hashes, cut at equal distances
                 cuts = np.searchsorted(tokens.astype(np.uint64) * np.uint64(parts) >> np.uint64(32), np.arange(parts + 1))
@@ -153,7 +156,7 @@ def sets(docs: DataFrame, width: int, percent: int) -> DataFrame:
         for batch in batches:
             data, offsets = text_bytes(batch.column(2))
             sizes, nodes, prefixes = [], [], ([], [], [])
-            for lo, hi in chunks(offsets):
+            for lo, hi in chunks(offsets, SLICE_BYTES):
                 h, length, at = shingles(data, offsets[lo : hi + 1], width)
                 for s, e in zip(at[:-1], at[1:]):
                     tokens, first = np.unique(h[s:e], return_index=True)
@@ -277,7 +280,7 @@ def signatures(texts: DataFrame, width: int) -> DataFrame:
         for batch in batches:
             data, offsets = text_bytes(batch.column(1))
             own = []
-            for lo, hi in chunks(offsets):
+            for lo, hi in chunks(offsets, SLICE_BYTES):
                 h, _, at = shingles(data, offsets[lo : hi + 1], width)
                 for s, e in zip(at[:-1], at[1:]):
                     bits = np.sort((np.unique(h[s:e]) & np.uint64(0xFFFF)).astype(np.uint32))
