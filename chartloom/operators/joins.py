@@ -75,10 +75,11 @@ def salted_join(
 
     Each fact row picks a salt from its own content, each dimension row is repeated once
     per salt, so a key that holds most rows is joined by `salts` tasks. `dim` grows by the
-    factor `salts`; prefer `split_hot_join` when `dim` is large and unique per key.
+    factor `salts`; prefer `split_hot_join` when `dim` is large and unique per key. The repeated
+    rows are never broadcast: Spark's estimate of their size is that of `dim` before it grew.
     """
     basis = spread or [F.col(c) for c in fact.columns]
     salted_fact = fact.withColumn("_salt", F.pmod(F.xxhash64(*basis), F.lit(salts)).cast("int"))
     every_salt = F.explode(F.sequence(F.lit(0), F.lit(salts - 1)))
     salted_dim = dim.withColumn("_salt", every_salt)
-    return salted_fact.join(salted_dim, [key, "_salt"], "left").drop("_salt")
+    return salted_fact.join(salted_dim.hint("merge"), [key, "_salt"], "left").drop("_salt")

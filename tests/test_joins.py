@@ -56,6 +56,16 @@ def test_broadcast_only_below_the_bound(spark, skewed):
     assert "strategy=broadcast" not in plan(joins.lookup(facts, dim, "track_id", max_rows=100)).lower()
 
 
+def test_salted_rows_are_not_broadcast(skewed):
+    """The estimate of the repeated dimension is below the threshold; its rows are `salts` times as many."""
+    facts, dim = skewed
+    joined = joins.salted_join(facts, dim, "track_id", salts=5)
+    executed = joined._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin" in executed and "BroadcastHashJoin" not in executed
+    joined.collect()
+    assert "BroadcastHashJoin" not in joined._jdf.queryExecution().executedPlan().toString()
+
+
 def test_country_by_name_or_code(spark):
     countries = spark.createDataFrame(
         [("gb", "United Kingdom", "Europe"), ("us", "United States", "America")],
