@@ -163,31 +163,40 @@ def chart_daily(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
-def charts(spark: SparkSession, folder: str) -> DataFrame:
-    """Typed chart entries from order lines: part as track, brand as artist, customer nation as region."""
+def plays(spark: SparkSession, folder: str) -> DataFrame:
+    """Chart entries before their titles, from order lines: part number as track, customer nation as region."""
     lines = table(spark, folder, "lineitem").select(
         "l_orderkey", "l_partkey", "l_linenumber", "l_quantity", "l_linestatus"
     )
     orders = table(spark, folder, "orders").select("o_orderkey", "o_custkey", "o_orderdate")
     customers = table(spark, folder, "customer").select("c_custkey", "c_nationkey")
-    parts = table(spark, folder, "part").select("p_partkey", "p_name", "p_brand")
     nations = table(spark, folder, "nation").select(F.col("n_nationkey").alias("c_nationkey"), "n_name")
     placed = orders.join(customers, F.col("o_custkey") == F.col("c_custkey")).join(nations, "c_nationkey", "left")
-    entries = (
-        lines.join(placed, F.col("l_orderkey") == F.col("o_orderkey"))
-        .join(parts, F.col("l_partkey") == F.col("p_partkey"))
-    )
     old = F.col("l_linestatus") == "F"
-    return entries.select(
-        F.col("l_partkey").cast("string").alias("track_id"),
-        F.col("p_name").alias("title"),
-        F.col("p_brand").alias("artist"),
+    return lines.join(placed, F.col("l_orderkey") == F.col("o_orderkey")).select(
+        F.col("l_partkey").alias("track_id"),
         F.col("n_name").alias("region"),
         F.when(old, "top200").otherwise("viral50").alias("chart"),
         F.col("l_linenumber").alias("rank"),
         F.col("o_orderdate").cast("date").alias("chart_date"),
         F.when(old, F.col("l_quantity").cast("bigint")).alias("streams"),
-    ).transform(cleaning.add_time_columns)
+    )
+
+
+def titled(spark: SparkSession, folder: str, rows: DataFrame) -> DataFrame:
+    """Rows of `plays`, or rows reduced from them, with part name as title and brand as artist."""
+    parts = table(spark, folder, "part").select("p_partkey", "p_name", "p_brand")
+    return rows.join(parts, F.col("track_id") == F.col("p_partkey")).select(
+        F.col("track_id").cast("string").alias("track_id"),
+        F.col("p_name").alias("title"),
+        F.col("p_brand").alias("artist"),
+        *[c for c in rows.columns if c != "track_id"],
+    )
+
+
+def charts(spark: SparkSession, folder: str) -> DataFrame:
+    """Typed chart entries from order lines: part as track, brand as artist, customer nation as region."""
+    return titled(spark, folder, plays(spark, folder)).transform(cleaning.add_time_columns)
 
 
 def raw_tracks(spark: SparkSession, folder: str) -> DataFrame:

@@ -24,6 +24,13 @@ def lookup(fact: DataFrame, dim: DataFrame, on: list[str] | str, max_rows: int =
     return fact.join(broadcast_if_small(dim, max_rows), on, "left")
 
 
+def repeats_a_key(dims: list[tuple[DataFrame, Column]]) -> bool:
+    """Whether in any of the dimensions two rows share their key; null keys match nothing and don't count."""
+    keys = [dim.select(F.lit(i).alias("dim"), key.cast("string").alias("key")) for i, (dim, key) in enumerate(dims)]
+    met = reduce(DataFrame.union, keys).where(F.col("key").isNotNull()).groupBy("dim", "key").agg(F.count(F.lit(1)).alias("n"))
+    return not met.where("n > 1").isEmpty()
+
+
 def not_in_target(incoming: DataFrame, target: DataFrame, keys: list[str]) -> DataFrame:
     """Rows of `incoming` without a match in `target`; null keys match null keys."""
     left, right = incoming.alias("incoming"), target.select(*keys).alias("target")

@@ -16,18 +16,15 @@ _DAY_RANGE = 10_000_000  # more days than any date needs, so rank and day pack i
 _DAY_SHIFT = _DAY_RANGE // 2  # days before 1970 are negative
 
 
-def chart_life(
-    charts: DataFrame, attributes: Sequence[str] = ATTRIBUTES, per_title: bool = False
-) -> DataFrame:
-    """First and last day, peak rank and its day, days, streams and mean rank per track and region.
+def chart_parts(charts: DataFrame, attributes: Sequence[str] = ATTRIBUTES) -> DataFrame:
+    """Entries reduced per key and attributes: what `settled_life` needs, in fixed-width buffers.
 
-    The span is the minimum and maximum of the same grouping, so no window is needed. Raw
-    rows are combined per (key, attributes) with fixed-width buffers; the attributes of a
-    retitled track are settled on the reduced frame, where its latest spelling wins.
-    With `per_title` every spelling keeps its own row under the span and peak of the key.
+    Without attributes the groups are as narrow as their keys, and the attributes can be joined
+    to the reduced rows: a join that repeats entries repeats their reduced row as often, so sums
+    and counts come out the same.
     """
     rank_then_day = F.col("rank").cast("bigint") * _DAY_RANGE + F.unix_date("chart_date") + _DAY_SHIFT
-    parts = charts.groupBy(*KEYS, *attributes).agg(
+    return charts.groupBy(*KEYS, *attributes).agg(
         F.min("chart_date").alias("first_chart_date"),
         F.max("chart_date").alias("last_chart_date"),
         F.min("rank").alias("peak_rank"),
@@ -37,14 +34,24 @@ def chart_life(
         F.sum(F.col("rank").cast("bigint")).alias("_rank_sum"),
         F.count("rank").alias("_ranked"),
     )
+
+
+def settled_life(
+    parts: DataFrame, attributes: Sequence[str] = ATTRIBUTES, per_title: bool = False, single: bool = False
+) -> DataFrame:
+    """Chart life per track and region from the rows of `chart_parts`; see `chart_life`.
+
+    `single` says that no key has several rows, so nothing is left to group.
+    """
     span = {
         "first_chart_date": F.min("first_chart_date"), "last_chart_date": F.max("last_chart_date"),
         "peak_rank": F.min("peak_rank"), "_peak": F.min("_peak"),
     }
-    if per_title:
+    if per_title or single:
         # `parts` holds one row per spelling, so a key's window is its number of spellings
         w = Window.partitionBy(*KEYS)
-        life = parts.withColumns({name: c.over(w) for name, c in span.items()}).withColumns({
+        spanned = parts if single else parts.withColumns({name: c.over(w) for name, c in span.items()})
+        life = spanned.withColumns({
             "_named": F.struct(*attributes),
             "avg_rank": F.try_divide(F.col("_rank_sum").cast("double"), "_ranked"),
         })
@@ -65,13 +72,29 @@ def chart_life(
     )
 
 
-def build_track_longevity(enriched: DataFrame, tracks: DataFrame) -> DataFrame:
-    """Chart life per track and region with the track's features."""
+def chart_life(
+    charts: DataFrame, attributes: Sequence[str] = ATTRIBUTES, per_title: bool = False
+) -> DataFrame:
+    """First and last day, peak rank and its day, days, streams and mean rank per track and region.
+
+    The span is the minimum and maximum of the same grouping, so no window is needed. Raw
+    rows are combined per (key, attributes) with fixed-width buffers; the attributes of a
+    retitled track are settled on the reduced frame, where its latest spelling wins.
+    With `per_title` every spelling keeps its own row under the span and peak of the key.
+    """
+    return settled_life(chart_parts(charts, attributes), attributes, per_title)
+
+
+def with_features(life: DataFrame, tracks: DataFrame) -> DataFrame:
     features = [*schemas.BOUNDED_AUDIO_FEATURES, "tempo", "mood_quadrant"]
-    life = chart_life(enriched.where(F.col("chart") == CHART))
     return life.join(tracks.select("track_id", *features), "track_id", "left")
 
 
+def build_track_longevity(enriched: DataFrame, tracks: DataFrame) -> DataFrame:
+    """Chart life per track and region with the track's features."""
+    return with_features(chart_life(enriched.where(F.col("chart") == CHART)), tracks)
+
+
 def rolling_avg_rank(charts: DataFrame, days: int = 7) -> DataFrame:
     """Mean rank over the last `days` calendar days, per track, region and day.
 

@@ -1,6 +1,7 @@
 """Streaks, lags, rolling frames, tiles, medians and shares against plain Python or Spark's own windows."""
 
 import random
+import re
 import statistics
 from datetime import date, timedelta
 
@@ -8,8 +9,10 @@ import pytest
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from chartloom.operators import positions, windows
+from chartloom import bindings
+from chartloom.operators import enrich, positions, windows
 from chartloom.plans import artists, longevity, mood, streaks, tiers
+from chartloom.registered.marts import longevity_mart
 
 DAY = date(2020, 1, 1)
 
@@ -153,6 +156,46 @@ def test_chart_life(spark):
     assert (row.total_chart_days, row.total_streams, row.avg_rank) == (4, 4, 2.25)
 
 
+def test_life_of_rows_reduced_before_their_joins(spark):
+    """Reduced first or enriched first, and with dimensions that repeat a key, the mart is the same."""
+    day = F.date_add(F.lit(DAY), (F.col("id") * 7 % 90).cast("int"))
+    plays = spark.range(600).select(
+        F.concat(F.lit("t"), (F.col("id") % 9).cast("string")).alias("track_id"),
+        F.when(F.col("id") % 5 > 0, F.concat(F.lit("c"), (F.col("id") % 4).cast("string"))).alias("region"),
+        F.lit("top200").alias("chart"), F.when(F.col("id") % 11 > 0, F.col("id") % 50).alias("rank"),
+        day.alias("chart_date"), F.when(F.col("id") % 3 > 0, F.col("id")).alias("streams"),
+    )
+    titles = spark.createDataFrame([(f"t{i}", f"T{i}", f"A{j}") for i in range(8) for j in range(1 + i % 2)], "track_id string, title string, artist string")
+    tracks = spark.createDataFrame([(f"t{i}", 1990 if i < 4 else None) for i in (1, 2, 2, 3, 7)], "track_id string, release_decade int")
+    countries = spark.createDataFrame([("c1", "x1", "E"), ("c2", "x2", "E"), ("c2", "x3", "A")], "country_name string, region_code string, continent string")
+    before = longevity.chart_life(enrich.enrich_charts(plays.join(titles, "track_id"), tracks, countries))
+    reduced = longevity.chart_parts(plays, []).join(titles, "track_id")
+    after = longevity.settled_life(enrich.enrich_charts(reduced, tracks, countries))
+    assert before.count() > 30 and before.columns == after.columns
+    assert before.exceptAll(after).count() == after.exceptAll(before).count() == 0
+
+
+def test_longevity_mart_groups_by_its_key_alone(spark, tmp_path):
+    """Attributes join the reduced rows, and these are not grouped again unless a dimension repeats a key."""
+    folder = "/root/testdata/sf0.001"
+    mart = longevity_mart(spark, folder)
+    executed = mart._jdf.queryExecution().executedPlan().toString()
+    assert "SortAggregate" not in executed
+    keys = re.findall(r"HashAggregate\(keys=\[(track_id.*?)\], ", executed)
+    assert keys and all(k.count(",") == 1 for k in keys), keys
+
+    for name in ("nation", "region", "customer", "orders", "lineitem"):
+        (tmp_path / f"{name}.parquet").symlink_to(f"{folder}/{name}.parquet")
+    parts = spark.read.parquet(f"{folder}/part.parquet")
+    again = parts.where("p_partkey < 30").withColumn("p_name", F.lit("zz"))
+    parts.union(again).write.parquet(str(tmp_path / "part.parquet"))
+    got = longevity_mart(spark, str(tmp_path))
+    plain = longevity.build_track_longevity(bindings.enriched(spark, str(tmp_path)), bindings.tracks(spark, str(tmp_path)))
+    assert got.count() > mart.count()
+    assert got.exceptAll(plain).count() == plain.exceptAll(got).count() == 0
+    assert mart.exceptAll(longevity.build_track_longevity(bindings.enriched(spark, folder), bindings.tracks(spark, folder))).count() == 0
+
+
 def test_chart_life_per_title_keeps_the_span(spark):
     df = chart(spark, [("t", "us", 0, 3, 1), ("t", "us", 9, 1, 1)]).withColumn(
         "title", F.when(F.col("chart_date") == DAY, "old").otherwise("new")
