@@ -27,7 +27,7 @@ import regex
 from pyspark.sql import DataFrame, SparkSession
 
 from chartloom.llm.catalog import query
-from chartloom.llm.common import documents
+from chartloom.llm.common import documents, kept, sliced
 
 DEAD = -1
 _START = array("i", (DEAD, DEAD, 0)).tobytes()
@@ -275,14 +275,12 @@ class Decoder:
         yield self.finish()
 
 
-_TOOLS: dict[tuple[str, str], tuple[Encoder, Decoder]] = {}  # of this worker process, by file and pattern
-
-
 def _tools(path: str, pattern: str) -> tuple[Encoder, Decoder]:
-    if (path, pattern) not in _TOOLS:
+    def made() -> tuple[Encoder, Decoder]:
         ranks = read_ranks(path)
-        _TOOLS[path, pattern] = Encoder(ranks, pattern), Decoder(ranks)
-    return _TOOLS[path, pattern]
+        return Encoder(ranks, pattern), Decoder(ranks)
+
+    return kept(("bpe", path, pattern), made)
 
 
 def encode(df: DataFrame, path: str, pattern: str, keep: tuple[str, ...] = ("doc_id",), text: str = "text",
@@ -295,7 +293,7 @@ def encode(df: DataFrame, path: str, pattern: str, keep: tuple[str, ...] = ("doc
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder, decoder = _tools(path, pattern)
         sha = hashlib.sha256
-        for batch in batches:
+        for batch in sliced(batches, len(keep)):
             lists, counts, digests, decoded = [], [], [], []
             for value in batch.column(len(keep)):
                 packed = encoder.packed(value.as_py())

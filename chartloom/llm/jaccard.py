@@ -32,6 +32,7 @@ sets are known by 64-bit hashes.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Iterator
 
 import numpy as np
@@ -40,7 +41,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from chartloom.llm.catalog import query
-from chartloom.llm.common import Words, bounded, chunks, documents, mix, text_bytes
+from chartloom.llm.common import Words, bounded, chunks, documents, give_back, kept, mix, sliced, text_bytes
 from chartloom.sinks.staging import stage
 
 COMMON_LEAST = 6  # documents that have a token, from which on it counts as common
@@ -98,25 +99,24 @@ def common_tokens(docs: DataFrame, width: int) -> tuple[np.ndarray, np.ndarray]:
     parts = 1 + size // BLOCK_BYTES
 
     def blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in sliced(batches, 0):
             data, offsets = text_bytes(batch.column(0))
-            for lo, hi in chunks(offsets):
-                own = []
-                for a, b in chunks(offsets[lo : hi + 1], SLICE_BYTES):
-                    h, _, at = shingles(data, offsets[lo + a : lo + b + 1], width)
-                    own += [np.unique((h[s:e] >> np.uint64(32)).astype(np.uint32)) for s, e in zip(at[:-1], at[1:])]
-                tokens, n = np.unique(np.concatenate(own), return_counts=True)
-                # sorted hashes, cut at equal distances
-                cuts = np.searchsorted(tokens.astype(np.uint64) * np.uint64(parts) >> np.uint64(32), np.arange(parts + 1))
-                full = np.flatnonzero(np.diff(cuts))
-                steps = np.diff(tokens, prepend=np.uint32(0))
-                steps[cuts[full]] = tokens[cuts[full]]
-                n = np.minimum(n, 65535).astype(np.uint16)
-                yield pa.RecordBatch.from_arrays([
-                    pa.array(full.astype(np.int32)),
-                    pa.array([planes(steps[cuts[p] : cuts[p + 1]]) for p in full], pa.binary()),
-                    pa.array([planes(n[cuts[p] : cuts[p + 1]]) for p in full], pa.binary()),
-                ], names=["part", "steps", "counts"])
+            own = []
+            for a, b in chunks(offsets, SLICE_BYTES):
+                h, _, at = shingles(data, offsets[a : b + 1], width)
+                own += [np.unique((h[s:e] >> np.uint64(32)).astype(np.uint32)) for s, e in zip(at[:-1], at[1:])]
+            tokens, n = np.unique(np.concatenate(own), return_counts=True)
+            # sorted hashes, cut at equal distances
+            cuts = np.searchsorted(tokens.astype(np.uint64) * np.uint64(parts) >> np.uint64(32), np.arange(parts + 1))
+            full = np.flatnonzero(np.diff(cuts))
+            steps = np.diff(tokens, prepend=np.uint32(0))
+            steps[cuts[full]] = tokens[cuts[full]]
+            n = np.minimum(n, 65535).astype(np.uint16)
+            yield pa.RecordBatch.from_arrays([
+                pa.array(full.astype(np.int32)),
+                pa.array([planes(steps[cuts[p] : cuts[p + 1]]) for p in full], pa.binary()),
+                pa.array([planes(n[cuts[p] : cuts[p + 1]]) for p in full], pa.binary()),
+            ], names=["part", "steps", "counts"])
 
     def counted(table: pa.Table) -> pa.Table:
         tokens = np.concatenate([np.cumsum(numbers(t.as_py(), np.uint32), dtype=np.uint32) for t in table["steps"]])
@@ -124,6 +124,8 @@ def common_tokens(docs: DataFrame, width: int) -> tuple[np.ndarray, np.ndarray]:
         names, place = np.unique(tokens, return_inverse=True)
         total = np.bincount(place, n, len(names)).astype(np.int64)
         many = total >= COMMON_LEAST
+        del tokens, n, place
+        give_back()
         return pa.table({"token": names[many].astype(np.int64), "n": total[many]})
 
     cut = docs.select("text").mapInArrow(blocks, "part int, steps binary, counts binary")
@@ -147,13 +149,18 @@ def sets(docs: DataFrame, width: int, percent: int) -> DataFrame:
     Prefix one holds token hashes; two and three, which only filter, hold 16 bits of them.
     """
     known = docs.sparkSession.sparkContext.broadcast(common_tokens(docs, width))
-    names = ["doc_id", "mark", "n", "node", "one", "two", "three"]
+    names, name = ["doc_id", "mark", "n", "node", "one", "two", "three"], ("common", uuid.uuid4().hex)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         common, levels = known.value
-        maybe = np.zeros(1 << 24, bool)  # by the first bits: most tokens need no look-up
-        maybe[common >> np.uint32(8)] = True
-        for batch in batches:
+
+        def by_first_bits() -> np.ndarray:
+            table = np.zeros(1 << 24, bool)
+            table[common >> np.uint32(8)] = True
+            return table
+
+        maybe = kept(name, by_first_bits)  # most tokens need no look-up
+        for batch in sliced(batches, 2):
             data, offsets = text_bytes(batch.column(2))
             sizes, nodes, prefixes = [], [], ([], [], [])
             for lo, hi in chunks(offsets, SLICE_BYTES):
@@ -201,7 +208,7 @@ def texts_of(docs: DataFrame, wanted: DataFrame) -> DataFrame:
 def verified(pairs: DataFrame, width: int, percent: int) -> DataFrame:
     """Of rows a, a_text, b, b_text the pairs (a, b) whose whole sets are similar enough."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in sliced(batches, 1):
             keep = np.zeros(batch.num_rows, bool)
             known: dict[int, np.ndarray] = {}
             for lo in range(0, batch.num_rows, 200):
@@ -277,7 +284,7 @@ def linked(pairs: DataFrame, filters: DataFrame, docs: DataFrame, width: int, pe
 def signatures(texts: DataFrame, width: int) -> DataFrame:
     """node and all tokens of its set, 16 bits of each; the k-th token with the same bits counts as another one."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in sliced(batches, 1):
             data, offsets = text_bytes(batch.column(1))
             own = []
             for lo, hi in chunks(offsets, SLICE_BYTES):

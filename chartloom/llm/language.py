@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from chartloom.llm.catalog import query
-from chartloom.llm.common import bounded, chunks, documents, held_out, text_bytes, trainable, with_made
+from chartloom.llm.common import bounded, chunks, documents, held_out, kept, sliced, text_bytes, trainable, with_made
 from chartloom.sinks.staging import stage
 
 UNDETERMINED = "und"
@@ -36,20 +36,20 @@ SMOOTHING = 0.5
 SLICE_BYTES = 256 << 10  # of text, whose n-grams are at hand at once (more for one longer text)
 
 _BLANK = 32
-_FOLDED: list[np.ndarray] = []
 
 
 def _folding() -> np.ndarray:
     """Code point -> its lower-case letter, or a blank for what is no letter."""
-    if not _FOLDED:
+    def made() -> np.ndarray:
         table = np.full(0x110000, _BLANK, np.uint32)
         for point in range(0x110000):
             letter = chr(point)
             if letter.isalpha():
                 low = letter.lower()
                 table[point] = ord(low) if len(low) == 1 else point
-        _FOLDED.append(table)
-    return _FOLDED[0]
+        return table
+
+    return kept("folding", made)
 
 
 def grams(data: np.ndarray, offsets: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
@@ -181,7 +181,7 @@ def keep_sure(docs: DataFrame, model: Model, least: float, text: str = "text") -
     shared, place = docs.sparkSession.sparkContext.broadcast(model), docs.columns.index(text)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in sliced(batches, place):
             best, scores = _scored(shared.value, batch.column(place))
             yield batch.filter(pa.array((best >= 0) & (scores >= least)))
 

@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from chartloom.llm.catalog import query
-from chartloom.llm.common import documents, with_made
+from chartloom.llm.common import documents, sliced, with_made
 
 BASE_KINDS = ("email", "ip", "card", "phone")
 ADDED_KINDS = ("account", "ssn", "secret", "url")
@@ -166,7 +166,7 @@ def mask(df: DataFrame, text: str = "text") -> DataFrame:
     place = df.columns.index(text)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in sliced(batches, place):
             clean = pa.array([masked(t.as_py()) for t in batch.column(place)], batch.schema.field(place).type)
             yield batch.set_column(place, batch.schema.field(place), clean)
 
