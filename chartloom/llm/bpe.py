@@ -7,7 +7,8 @@ positions from which a longer token may still start, with the chain of tokens th
 them. That set is the state. Where all chains agree on their first tokens, these are
 settled and are emitted: the lookahead never exceeds what the longest token can still
 reach. States and transitions are made when first met, kept in a table of bounded size, and
-made again after the table was emptied.
+made again after the table was emptied. Where the table has no step within the last bytes of an
+input, the positions are followed to the end without states, as few inputs share their ends.
 
 Defined results: a null or empty text has no tokens; text is never normalised; every byte
 sequence decodes back to itself; repeated rows give equal rows; other columns are ignored.
@@ -30,6 +31,8 @@ from chartloom.llm.catalog import query
 from chartloom.llm.common import documents, kept, sliced
 
 DEAD = -1
+HEAD = 4  # bytes at the start of an input that are looked up together
+TAIL = 3  # bytes at its end for which no new states are made
 _START = array("i", (DEAD, DEAD, 0)).tobytes()
 
 
@@ -86,6 +89,7 @@ class Transducer:
         self.number = {_START: 0}
         self.steps: dict[int, tuple[int, tuple[int, ...]]] = {}
         self.finals: dict[int, tuple[int, ...]] = {}
+        self.heads: dict[bytes, tuple[int, tuple[int, ...]]] = {}  # where the first bytes lead to, and what they emit
 
     @property
     def states(self) -> list[tuple[tuple[int, ...], ...]]:
@@ -171,29 +175,79 @@ class Transducer:
             i = entries[3 * i]
         return tuple(reversed(tokens))
 
+    def _learn(self, at: int, byte: int) -> tuple[int, tuple[int, ...]]:
+        """A step that is met for the first time."""
+        state, emitted = self._step(self.rows[at], byte)
+        to = self.number.get(state)
+        if to is None:
+            if len(self.rows) >= self.max_states:  # made again as they are met again; the present one stays
+                self._forget()
+                to = self.number.setdefault(state, len(self.rows))
+                if to == len(self.rows):
+                    self.rows.append(state)
+                return to, emitted
+            to = self.number[state] = len(self.rows)
+            self.rows.append(state)
+        step = self.steps[at << 8 | byte] = to, emitted
+        return step
+
+    def _tail(self, state: bytes, rest: bytes) -> list[int]:
+        """The tokens still to come when the input ends with `rest`: its positions are followed and no state is made."""
+        entries = array("i", state).tolist()
+        parents, tokens = entries[::3], entries[1::3]
+        trie, token_at, pairs = self.trie.get, self.token_at, self.pairs.get
+        alive = [(i, node) for i, node in enumerate(entries[2::3]) if node != DEAD]
+        for byte in rest:
+            owner, going = DEAD, []
+            for i, node in alive:
+                node = trie(node << 8 | byte)
+                if node is not None:
+                    going.append((i, node))
+                    if owner == DEAD and (found := token_at[node]) != DEAD:
+                        left = tokens[i]
+                        fits = pairs((left + 1) << 32 | found)
+                        if self._fits(left, found) if fits is None else fits:
+                            owner, token = i, found
+            if owner == DEAD:
+                raise ValueError(f"no token ends at byte {byte}: the vocabulary lacks single bytes")
+            going.append((len(parents), 0))
+            parents.append(owner)
+            tokens.append(token)
+            alive = going
+        out, i = [], len(parents) - 1
+        while i:
+            out.append(tokens[i])
+            i = parents[i]
+        out.reverse()
+        return out
+
     def encode(self, piece: bytes) -> list[int]:
-        out: list[int] = []
-        steps, at = self.steps, 0
-        for byte in piece:
+        head = piece[:HEAD]
+        known = self.heads.get(head)
+        if known is None:
+            out, at = [], 0
+            for byte in head:
+                at, emitted = self.steps.get(at << 8 | byte) or self._learn(at, byte)
+                out += emitted
+            if len(self.heads) >= self.max_states:
+                self.heads.clear()
+            self.heads[head] = at, tuple(out)
+        else:
+            at, emitted = known
+            out = [*emitted]
+        steps, left = self.steps, len(piece) - len(head)
+        for byte in piece[HEAD:]:
             step = steps.get(at << 8 | byte)
             if step is None:
-                state, emitted = self._step(self.rows[at], byte)
-                to = self.number.get(state)
-                if to is None:
-                    if len(self.rows) >= self.max_states:  # made again as they are met again; the present one stays
-                        self._forget()
-                        steps = self.steps
-                        at = self.number.setdefault(state, len(self.rows))
-                        if at == len(self.rows):
-                            self.rows.append(state)
-                        out += emitted
-                        continue
-                    to = self.number[state] = len(self.rows)
-                    self.rows.append(state)
-                step = steps[at << 8 | byte] = to, emitted
+                if left <= TAIL:
+                    out += self._tail(self.rows[at], piece[-left:])
+                    return out
+                step = self._learn(at, byte)
+                steps = self.steps
             at, emitted = step
             if emitted:
                 out += emitted
+            left -= 1
         final = self.finals.get(at)
         if final is None:
             final = self.finals[at] = self._rest(self.rows[at])
@@ -212,14 +266,17 @@ class Encoder:
         self.known: dict[str, bytes] = {}
         self.older: dict[str, bytes] = {}
         self.half = max_pieces // 2
+        self.code = {rank: rank.to_bytes(4, "little") for rank in ranks.values()}
 
     def _piece(self, piece: str) -> bytes:
         packed = self.older.get(piece)
         if packed is None:
             raw = piece.encode()
             whole = self.transducer.ranks.get(raw)
-            ids = [whole] if whole is not None else self.transducer.encode(raw)
-            packed = np.array(ids, "<u4").tobytes()
+            if whole is not None:
+                packed = self.code[whole]
+            else:
+                packed = b"".join(map(self.code.__getitem__, self.transducer.encode(raw)))
         if len(piece) <= 64:
             if len(self.known) >= self.half:
                 self.known, self.older = {}, self.known

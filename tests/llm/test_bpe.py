@@ -47,6 +47,18 @@ def test_small_tables_only_cost_time():
         assert small.encode(raw) == bpe.merge_pairs(RANKS, raw)
 
 
+def test_inputs_that_differ_in_their_ends_need_no_new_states():
+    machine = bpe.Transducer(RANKS)
+    letters = b"aeinrstxz\xc3\xa9"
+    machine.encode(b"thereo")
+    states, steps = len(machine.states), len(machine.steps)
+    for a in letters:
+        for b in letters:
+            for raw in (b"there" + bytes((a,)), b"there" + bytes((a, b)), b"ther" + bytes((a, b)), b"ther" + bytes((b,)), b"ther"):
+                assert machine.encode(raw) == bpe.merge_pairs(RANKS, raw)
+    assert (len(machine.states), len(machine.steps)) == (states, steps)
+
+
 def test_tokens_are_emitted_before_the_end():
     machine = bpe.Transducer(RANKS)
     machine.encode(b"internationalization and more words follow here")
