@@ -33,6 +33,7 @@ from chartloom.llm.common import documents, kept, sliced
 DEAD = -1
 HEAD = 4  # bytes at the start of an input that are looked up together
 TAIL = 3  # bytes at its end for which no new states are made
+ROOM = 200_000  # pieces, and states, that a worker remembers
 _START = array("i", (DEAD, DEAD, 0)).tobytes()
 
 
@@ -261,8 +262,8 @@ class Encoder:
     Pieces are remembered in two halves; when the newer one is full, the older one goes.
     """
 
-    def __init__(self, ranks: dict[bytes, int], pattern: str, max_pieces: int = 200_000) -> None:
-        self.transducer, self.find = Transducer(ranks), regex.compile(pattern).findall
+    def __init__(self, ranks: dict[bytes, int], pattern: str, max_pieces: int = ROOM) -> None:
+        self.transducer, self.find = Transducer(ranks, max_pieces, max_pieces * 3 // 2), regex.compile(pattern).findall
         self.known: dict[str, bytes] = {}
         self.older: dict[str, bytes] = {}
         self.half = max_pieces // 2
@@ -332,23 +333,24 @@ class Decoder:
         yield self.finish()
 
 
-def _tools(path: str, pattern: str) -> tuple[Encoder, Decoder]:
+def _tools(path: str, pattern: str, room: int = ROOM) -> tuple[Encoder, Decoder]:
     def made() -> tuple[Encoder, Decoder]:
         ranks = read_ranks(path)
-        return Encoder(ranks, pattern), Decoder(ranks)
+        return Encoder(ranks, pattern, room), Decoder(ranks)
 
-    return kept(("bpe", path, pattern), made)
+    return kept(("bpe", path, pattern, room), made)
 
 
 def encode(df: DataFrame, path: str, pattern: str, keep: tuple[str, ...] = ("doc_id",), text: str = "text",
-           with_ids: bool = True) -> DataFrame:
+           with_ids: bool = True, room: int = ROOM) -> DataFrame:
     """`keep`, then n_tokens, ids (if asked for), ids_sha256, decoded_sha256 of each row's whole text.
 
     The rank file must be at `path` on every executor. The decoded bytes are made from the
-    ids by the streaming decoder, so the last column proves the round trip.
+    ids by the streaming decoder, so the last column proves the round trip. A smaller `room`
+    saves memory of the workers and costs time; the result is the same.
     """
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder, decoder = _tools(path, pattern)
+        encoder, decoder = _tools(path, pattern, room)
         sha = hashlib.sha256
         for batch in sliced(batches, len(keep)):
             lists, counts, digests, decoded = [], [], [], []

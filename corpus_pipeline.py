@@ -12,20 +12,24 @@ Every stage works on all rows its predecessor kept. The first four return the co
 
 Null texts and texts without letters end at the first stage. Rows with a null id take
 part like any other. Columns beyond those of `documents` are carried along until the last stage.
+Each stage bounds the Arrow batches of the session by bytes, as whole texts go through Python.
 """
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from chartloom.llm import bpe, jaccard, language, mixture, pii
-from chartloom.llm.common import documents
+from chartloom.llm.common import bound_batches, documents
 from chartloom.sinks.staging import stage
 
 MIN_LANGUAGE_SCORE = 0.5
 TOKENIZER = "byte_bpe_50k.tiktoken"
+TOKENIZER_ROOM = 100_000  # half of the default: the workers stand beside heaps that the stages before have filled
 
 
 def _measured(docs: DataFrame) -> DataFrame:
@@ -49,15 +53,23 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def encode_tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return bpe.encode(docs, public_tokenizers.path(TOKENIZER), public_tokenizers.PATTERN, ("doc_id", "lang", "source"))
+    return bpe.encode(docs, public_tokenizers.path(TOKENIZER), public_tokenizers.PATTERN, ("doc_id", "lang", "source"), room=TOKENIZER_ROOM)
+
+
+def _bounded(step: Callable[[SparkSession, DataFrame, str], DataFrame]) -> Callable[[SparkSession, DataFrame, str], DataFrame]:
+    def bounded(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+        bound_batches(spark)
+        return step(spark, docs, sf_dir)
+
+    return bounded
 
 
 STAGES = [
-    ("language", identify_language),
-    ("near_copies", drop_near_copies),
-    ("personal_data", mask_personal_data),
-    ("mix", mix_sources),
-    ("tokens", encode_tokens),
+    ("language", _bounded(identify_language)),
+    ("near_copies", _bounded(drop_near_copies)),
+    ("personal_data", _bounded(mask_personal_data)),
+    ("mix", _bounded(mix_sources)),
+    ("tokens", _bounded(encode_tokens)),
 ]
 ORACLE_SQL = None  # models, components and token ids are beyond SQL; tests/llm/test_pipeline.py compares with plain code
 

@@ -58,3 +58,19 @@ def test_edges(spark):
     for name, _ in corpus_pipeline.STAGES:
         nothing = step(spark, name, nothing)
     assert nothing.count() == 0
+
+
+def test_workers_get_batches_bounded_by_bytes(spark, monkeypatch):
+    plain = bpe.sliced
+
+    def sliced(batches, text):  # local, so it goes to the workers by value
+        def seen():
+            for batch in batches:
+                assert batch.nbytes < 4 << 20, batch.nbytes
+                yield batch
+
+        yield from plain(seen(), text)
+
+    monkeypatch.setattr(bpe, "sliced", sliced)
+    docs = spark.range(0, 3000, 1, 1).selectExpr("id AS doc_id", "repeat('word and ', 400) AS text", "'en' AS lang", "'s0' AS source")
+    assert step(spark, "tokens", docs).count() == 3000
